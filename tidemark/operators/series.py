@@ -171,24 +171,25 @@ def _copies(slots: DataFrame, s: Series, lookback: int, lookahead: int) -> DataF
 def over_series(
     df: DataFrame,
     s: Series,
-    steps: Callable[[DataFrame, WindowSpec], DataFrame],
+    steps: Callable[[DataFrame, Series], DataFrame],
     lookback: int,
     lookahead: int = 0,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Apply window steps to every series, whatever its length.
 
-    ``steps(frame, window)`` adds columns using only windows derived from ``window``; together they
-    may look at most ``lookback`` rows back and ``lookahead`` rows ahead of a row.
+    ``steps(frame, series)`` adds columns using only windows of the series it is given (which may be
+    a chunk of the original one); together they may look at most ``lookback`` rows back and
+    ``lookahead`` rows ahead of a row.
     """
     layout = _layout(df, s, max(rows_per_chunk, lookback, lookahead))
     if layout is None:
-        return steps(df, s.window())
+        return steps(df, s)
     hot, slots = layout
     copies = small(pin(_copies(slots, s, lookback, lookahead)))
     placed = join_on(_with_slot(df, hot, s), copies, [*s.keys, "_slot"])
     placed = placed.withColumn("_context", F.coalesce(F.col("_context"), F.lit(False)))
-    done = steps(placed, s.window("_chunk"))
+    done = steps(placed, Series((*s.keys, "_chunk"), s.time, s.ties))
     return done.filter(~F.col("_context")).drop("_slot", "_chunk", "_context")
 
 
@@ -206,8 +207,7 @@ def running(
     """
     layout = _layout(df, s, rows_per_chunk)
     if layout is None:
-        w = s.window()
-        return df.withColumns({name: _local(kind, source, w) for name, (kind, source) in columns.items()})
+        return local_running(df, s, columns)
     hot, slots = layout
     home = small(pin(slots.select(*s.keys, "_slot", "_chunk")))
     placed = join_on(_with_slot(df, hot, s), home, [*s.keys, "_slot"])
@@ -234,6 +234,12 @@ def running(
     return rows.drop("_chunk", *[f"_in_{name}" for name in columns])
 
 
+def local_running(df: DataFrame, s: Series, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """``running`` for series that are known to fit a task, such as bars a calendar bounds."""
+    w = s.window()
+    return df.withColumns({name: _local(kind, source, w) for name, (kind, source) in columns.items()})
+
+
 def _local(kind: str, source: str, w: WindowSpec) -> Column:
     back = w.rowsBetween(Window.unboundedPreceding, 0)
     ahead = w.rowsBetween(0, Window.unboundedFollowing)
