@@ -100,7 +100,7 @@ def payload_klines(t):
 
 @query(
     """SELECT event_type AS symbol, date_trunc('second', ts)::TIMESTAMP AS timestamp, round(value, 6) AS open, user_id AS tick_volume,
-  CASE WHEN value > 50 THEN user_id END AS real_volume, substr(event_type, 1, 3) AS from_currency, substr(event_type, 4) AS to_currency FROM events"""
+  CASE WHEN value > 50 AND user_id > 0 THEN user_id END AS real_volume, substr(event_type, 1, 3) AS from_currency, substr(event_type, 4) AS to_currency FROM events"""
 )
 def payload_terminal(t):
     v = F.col("value")

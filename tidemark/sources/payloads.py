@@ -535,9 +535,10 @@ def dated_series(raw: DataFrame, newest: int | None = None) -> DataFrame:
     maps = F.from_json("payload", "map<string,string>")
     key = F.get(F.filter(F.map_keys(maps), lambda k: k.startswith("Time Series")), 0)
     inner = F.from_json(F.try_element_at(maps, key), "map<string,map<string,string>>")
-    entries = F.sort_array(F.map_entries(inner), asc=False)
+    entries = F.map_entries(inner)
     if newest is not None:
-        entries = F.slice(entries, 1, newest)
+        newer = lambda a, b: F.when(a.getField("key") > b.getField("key"), -1).otherwise(1)
+        entries = F.slice(F.array_sort(entries, newer), 1, newest)
     rows = raw.withColumn("_p", entries).select(*kept(raw), F.inline("_p"))
     value = lambda k, kind: F.try_element_at("value", F.lit(k)).try_cast(kind)
     return rows.select(

@@ -26,16 +26,22 @@ def read_payloads(raw: DataFrame, source: str, **options) -> DataFrame:
     return READERS[source](raw, **options)
 
 
+def _event_time(stream: DataFrame, time: str) -> DataFrame:
+    """Watermarks need a zoned timestamp."""
+    return stream.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def without_repeats(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
     """Drop re-delivered records; state is kept no longer than the watermark."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+    return _event_time(stream, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def bars(stream: DataFrame, keys: Sequence[str], time: str, price: str, volume: str, granularity: str, delay: str) -> DataFrame:
     """Open/high/low/close/volume per window, emitted once the watermark has passed its end."""
     w = F.window(time, _WINDOWS[granularity])
     return (
-        stream.withWatermark(time, delay)
+        _event_time(stream, time)
+        .withWatermark(time, delay)
         .groupBy(*keys, w.alias("_w"))
         .agg(*_bar_aggregates(time, price, volume))
         .select(*keys, F.col("_w.start").alias("bar"), "open", "high", "low", "close", "volume")
