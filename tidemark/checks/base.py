@@ -38,14 +38,13 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*columns)
 
 
-def query(sql: str | None = None, name: str | None = None):
+def query(sql: str | None = None, digits: int = 6):
     """Register ``fn(tables)`` under its name, with the SQL that must give the same rows."""
 
     def register(fn: Callable[[Tables], DataFrame]):
-        key = name or fn.__name__
-        QUERIES[key] = lambda spark, folder: tidy(fn(Tables(spark, folder)))
+        QUERIES[fn.__name__] = lambda spark, folder: tidy(fn(Tables(spark, folder)), digits)
         if sql is not None:
-            ORACLES[key] = sql
+            ORACLES[fn.__name__] = sql
         return fn
 
     return register

@@ -299,11 +299,13 @@ SCORED_SQL = f"""lex(w, p, s) AS (VALUES {_lexicon_sql()}),
 w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM documents),
 a AS (SELECT doc_id, avg(p) AS p, avg(s) AS s FROM w JOIN lex USING (w) GROUP BY 1),
 sc AS (SELECT d.doc_id, d.source, coalesce(p, 0) AS p, coalesce(s, 0) AS s FROM documents d LEFT JOIN a USING (doc_id))"""
-_LABEL = "CASE WHEN p > -1 AND p <= -0.1 THEN 'negative' WHEN p > -0.1 AND p <= 0.1 THEN 'neutral' WHEN p > 0.1 AND p <= 1 THEN 'positive' END"
+_P = "round(p, 9)"
+_LABEL = f"CASE WHEN {_P} > -1 AND {_P} <= -0.1 THEN 'negative' WHEN {_P} > -0.1 AND {_P} <= 0.1 THEN 'neutral' WHEN {_P} > 0.1 AND {_P} <= 1 THEN 'positive' END"
 
 
 @query(
-    f"""WITH {SCORED_SQL} SELECT doc_id, round(p, 6) AS sentiment_polarity, round(s, 6) AS sentiment_subjectivity, {_LABEL} AS sentiment_label FROM sc"""
+    f"""WITH {SCORED_SQL} SELECT doc_id, round(p, 9) AS sentiment_polarity, round(s, 9) AS sentiment_subjectivity, {_LABEL} AS sentiment_label FROM sc""",
+    digits=9,
 )
 def sentiment_scores(t):
     scored = sentiment.score(t.documents, "text", LEXICON)
@@ -312,8 +314,9 @@ def sentiment_scores(t):
 
 @query(
     f"""WITH {SCORED_SQL}, g AS (SELECT source, avg(p) AS mean, stddev_samp(p) AS std, count(p) AS n, avg(s) AS sub FROM sc GROUP BY 1)
-SELECT sc.doc_id, sc.source, round(p, 6) AS sentiment_polarity, round(g.mean, 6) AS sentiment_polarity_mean, round(g.std, 6) AS sentiment_polarity_std,
-  g.n AS sentiment_polarity_count, round(g.sub, 6) AS sentiment_subjectivity_mean FROM sc JOIN g USING (source)"""
+SELECT sc.doc_id, sc.source, round(p, 9) AS sentiment_polarity, round(g.mean, 9) AS sentiment_polarity_mean, round(g.std, 9) AS sentiment_polarity_std,
+  g.n AS sentiment_polarity_count, round(g.sub, 9) AS sentiment_subjectivity_mean FROM sc JOIN g USING (source)""",
+    digits=9,
 )
 def sentiment_daily(t):
     out = sentiment.features(t.documents.select("doc_id", "source", "text"), "text", "source", LEXICON)

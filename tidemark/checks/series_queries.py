@@ -91,13 +91,13 @@ def resample_gap_fill(t):
 
 
 @query(
-    """SELECT event_type AS location, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, round(avg(value), 6) AS temperature,
-  round(avg(user_id), 6) AS humidity FROM events GROUP BY 1, 2"""
+    """SELECT event_type AS location, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, round(avg(sqrt(value)), 6) AS temperature,
+  round(avg(sqrt(user_id)), 6) AS humidity FROM events GROUP BY 1, 2"""
 )
 def resample_weather(t):
     w = t.events.select(
-        F.col("event_type").alias("location"), F.col("ts").alias("timestamp"), F.col("value").alias("temperature"),
-        F.col("user_id").cast("double").alias("humidity"),
+        F.col("event_type").alias("location"), F.col("ts").alias("timestamp"), F.sqrt("value").alias("temperature"),
+        F.sqrt("user_id").alias("humidity"),
     )
     return bars.resample(w, ["location"], "timestamp", "1h", bars.RULES["weather"])
 

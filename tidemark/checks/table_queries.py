@@ -708,12 +708,16 @@ def pair_symbols(t):
 
 
 @query(
-    f"""WITH {DAILY} SELECT symbol, ts AS timestamp, CAST(ts AS DATE) AS date, round(open / 0.85, 6) AS open, round(high / 0.85, 6) AS high,
-  round(low / 0.85, 6) AS low, round(close / 0.85, 6) AS close, CAST(volume AS DOUBLE) AS volume, 'USD' AS currency, '1d' AS granularity, 'stock' AS data_type
-FROM (SELECT upper(symbol) AS symbol, ts, open, high, low, close, volume FROM bars)"""
+    f"""WITH {HOURLY}, g AS (SELECT symbol, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY symbol ORDER BY ts)) / 1e6 AS gap FROM bars),
+m AS (SELECT symbol, median(gap) AS m FROM g WHERE gap IS NOT NULL GROUP BY 1),
+b AS (SELECT bars.*, m <= 3600 AS fine, CASE WHEN m <= 3600 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) ELSE ts END AS bin
+  FROM bars JOIN m ON m.symbol = bars.symbol)
+SELECT upper(symbol) AS symbol, bin AS timestamp, CAST(bin AS DATE) AS date, round(arg_min(open, ts) / 0.85, 6) AS open, round(max(high) / 0.85, 6) AS high,
+  round(min(low) / 0.85, 6) AS low, round(arg_max(close, ts) / 0.85, 6) AS close, CAST(sum(volume) AS DOUBLE) AS volume, 'USD' AS currency, '1d' AS granularity,
+  'stock' AS data_type FROM b GROUP BY ALL"""
 )
 def standardize_stock(t):
-    """Ticks in euros, as hourly bars with foreign names, to daily dollar bars."""
+    """Hourly euro bars with foreign names to dollar bars; symbols with hourly rows become daily."""
     raw = bars_of(t, "1h").toDF("Ticker", "DateTime", "Open", "High", "Low", "Close", "Vol")
     raw = raw.withColumns({"Ticker": F.concat("Ticker", F.lit(".US")), "Currency": F.lit("EUR"), "Vol": F.col("Vol").cast("double")})
     out = standardize.standardize(raw, "stock")

@@ -20,8 +20,11 @@ def tokens(text: str | Column) -> Column:
 
 
 def label(polarity: str | Column) -> Column:
-    """(-1, -0.1] negative, (-0.1, 0.1] neutral, (0.1, 1] positive; null outside."""
-    p = F.col(polarity) if isinstance(polarity, str) else polarity
+    """(-1, -0.1] negative, (-0.1, 0.1] neutral, (0.1, 1] positive; null outside.
+
+    The ninth digit decides, so a mean on an edge does not depend on the order it was summed in.
+    """
+    p = F.round(F.col(polarity) if isinstance(polarity, str) else polarity, 9)
     return (
         F.when((p > -1) & (p <= -0.1), "negative")
         .when((p > -0.1) & (p <= 0.1), "neutral")
