@@ -233,7 +233,9 @@ def candles(raw: DataFrame, resolution: str = "D") -> DataFrame:
     """Parallel arrays ``t,o,h,l,c,v`` with status ``ok``; volume 0 when absent."""
     ddl = "s string, " + ",".join(f"`{n}` array<string>" for n in "tohlcv")
     p = parse(raw, ddl).filter("_p.s = 'ok'")
-    arrays = F.arrays_zip(*[F.col(f"_p.{n}").alias(n) for n in "tohlcv"])
+    # An absent array is zipped as an empty one; otherwise it would void all the others.
+    nothing = F.array().cast("array<string>")
+    arrays = F.arrays_zip(*[F.coalesce(F.col(f"_p.{n}"), nothing).alias(n) for n in "tohlcv"])
     rows = p.select(*kept(raw), F.posexplode(arrays).alias("_seq", "_r"))
     return rows.select(
         *kept(raw),
