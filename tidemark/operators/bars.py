@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators.series import ROWS_PER_CHUNK, Series, join_on, over_series
 from tidemark.operators.stats import quantiles
+from tidemark.session import stage
 
 _WINDOWS = {
     "1m": "1 minute", "5m": "5 minutes", "15m": "15 minutes", "30m": "30 minutes", "1h": "1 hour",
@@ -146,5 +147,6 @@ def granularity_label(seconds: str | Column) -> Column:
 def granularity(df: DataFrame, s: Series, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Granularity label of each series from the median gap between its rows."""
     spaced = gaps(df.select(*s.keys, *s.order), s, rows_per_chunk).filter(F.col("gap").isNotNull())
+    spaced = stage(spaced.select(*s.keys, "gap"))
     medians = quantiles(spaced, s.keys, {"gap": [0.5]})
     return medians.select(*s.keys, F.col("gap_p50").alias("median_gap"), granularity_label("gap_p50").alias("granularity"))

@@ -217,17 +217,16 @@ def running(
     summaries = placed.groupBy(*s.keys, "_chunk").agg(
         *[_summary(kind, source, order).alias(f"_sum_{name}") for name, (kind, source) in columns.items()]
     )
-    by_chunk = Window.partitionBy(*s.keys).orderBy("_chunk")
     carried = summaries.select(
         *s.keys,
         "_chunk",
-        *[_carry(kind, f"_sum_{name}", by_chunk).alias(f"_in_{name}") for name, (kind, _) in columns.items()],
+        *[_carry(kind, f"_sum_{name}", s.keys).alias(f"_in_{name}") for name, (kind, _) in columns.items()],
     )
-    w = s.window("_chunk")
+    chunk = Series((*s.keys, "_chunk"), s.time, s.ties)
     rows = join_on(placed, small(pin(carried)), [*s.keys, "_chunk"])
     rows = rows.withColumns(
         {
-            name: _combine(kind, _local(kind, source, w), F.col(f"_in_{name}"))
+            name: _combine(kind, _local(kind, source, chunk), F.col(f"_in_{name}"))
             for name, (kind, source) in columns.items()
         }
     )
@@ -236,13 +235,11 @@ def running(
 
 def local_running(df: DataFrame, s: Series, columns: dict[str, tuple[str, str]]) -> DataFrame:
     """``running`` for series that are known to fit a task, such as bars a calendar bounds."""
-    w = s.window()
-    return df.withColumns({name: _local(kind, source, w) for name, (kind, source) in columns.items()})
+    return df.withColumns({name: _local(kind, source, s) for name, (kind, source) in columns.items()})
 
 
-def _local(kind: str, source: str, w: WindowSpec) -> Column:
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+def _local(kind: str, source: str, s: Series) -> Column:
+    back = s.window().rowsBetween(Window.unboundedPreceding, 0)
     if kind == "max":
         return F.max(source).over(back)
     if kind == "sum":
@@ -250,7 +247,10 @@ def _local(kind: str, source: str, w: WindowSpec) -> Column:
     if kind == "last":
         return F.last(source, ignorenulls=True).over(back)
     if kind == "next":
-        return F.first(source, ignorenulls=True).over(ahead)
+        # A frame that ends at the last row is evaluated anew for every row, so it would take time
+        # in the square of the series; the reversed order needs one more sort instead.
+        reverse = Window.partitionBy(*s.keys).orderBy(*[F.col(c).desc_nulls_last() for c in s.order])
+        return F.last(source, ignorenulls=True).over(reverse.rowsBetween(Window.unboundedPreceding, 0))
     raise ValueError(f"unknown running kind: {kind}")
 
 
@@ -261,11 +261,10 @@ def _summary(kind: str, source: str, order: Column) -> Column:
     return F.max_by(source, held) if kind == "last" else F.min_by(source, held)
 
 
-def _carry(kind: str, source: str, w: WindowSpec) -> Column:
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    if kind == "next":
-        return F.first(source, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
-    if kind == "last":
+def _carry(kind: str, source: str, keys: Sequence[str]) -> Column:
+    order = F.desc("_chunk") if kind == "next" else F.asc("_chunk")
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    if kind in ("last", "next"):
         return F.last(source, ignorenulls=True).over(before)
     return getattr(F, kind)(source).over(before)
 

@@ -17,7 +17,7 @@ from tidemark.operators.bars import gaps
 from tidemark.operators.clean import SEQ, is_numeric, zscore_flags
 from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach, join_on
 from tidemark.operators.stats import quantiles
-from tidemark.session import pin, small
+from tidemark.session import pin, small, stage
 
 RESULT_COLUMNS = ("check_name", "level", "passed", "violations", "detail")
 
@@ -146,7 +146,8 @@ def _duplicates(df: DataFrame, s: Series, unique: Sequence[str]) -> DataFrame:
 
 def _time_gaps(df: DataFrame, s: Series, rows_per_chunk: int) -> DataFrame:
     """Gaps of more than twice the median gap, per series."""
-    spaced = gaps(df.select(*s.keys, *s.order), s, rows_per_chunk).filter("gap IS NOT NULL").select(*s.keys, "gap")
+    spaced = gaps(df.select(*s.keys, *s.order), s, rows_per_chunk)
+    spaced = stage(spaced.filter("gap IS NOT NULL").select(*s.keys, "gap"))
     wide = attach(spaced, quantiles(spaced, s.keys, {"gap": [0.5]}), s.keys)
     large = F.when(F.col("gap") > 2 * F.col("gap_p50"), F.col("gap"))
     found = wide.groupBy(*s.keys).agg(

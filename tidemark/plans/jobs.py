@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import catalogue, clean, features, standardize, validate
 from tidemark.operators.series import Series
-from tidemark.session import pin
+from tidemark.session import pin, stage
 from tidemark.sinks import tables
 from tidemark.sources import payloads, tables as sources
 
@@ -70,15 +70,17 @@ def transform(job: Job, rows: DataFrame, with_features: bool = False) -> tuple[D
     name = schemas.SERIES_KEYS[job.kind][0]
     time = "timestamp" if "timestamp" in rows.columns else "date"
     ties = (clean.SEQ,) if clean.SEQ in rows.columns else ()
+    # Statistics and rows are both taken from each step, so steps are staged between.
+    rows = stage(rows)
     cleaned = clean.clean(rows, job.schema, Series((name,), time, ties))
     if with_features:
         value = "close" if "close" in cleaned.columns else "value"
         cleaned = features.time_features(cleaned, Series((name,), time, ties), value)
-    standard = standardize.standardize(cleaned, job.kind)
+    standard = standardize.standardize(stage(cleaned), job.kind)
     standard = standard.drop(clean.SEQ)
     if "temperature" in standard.columns and "weather_main" in standard.columns:
         standard = standard.withColumn("weather_condition", F.col("weather_main"))
-    return validate.validate(standard, job.kind, Series((name,), "timestamp"))
+    return validate.validate(stage(standard), job.kind, Series((name,), "timestamp"))
 
 
 def run(
@@ -112,13 +114,16 @@ def run(
     good, invalid = validate.quarantine(good, job.table)
     partitioned, parts = tables.by_period(good, entity.time)
     # Both the table and the quarantine count need the rows, so they are computed once.
-    staged = pin(partitioned)
+    staged = stage(partitioned)
     outcome.counts = tables.merge_upsert(
         spark, f"{target}/{job.table}", staged, list(entity.keys), parts, ["updated_at"], entity.null_keys
     )
-    failed = pin(bad.select(F.to_json(F.struct(*bad.columns)).alias("record"), F.col("rejected").alias("failed_checks")).unionByName(
-        invalid.select(F.to_json(F.struct(*invalid.columns)).alias("record"), "failed_checks")
-    ))
+    record = lambda df: F.to_json(F.struct(*df.columns)).alias("record")
+    failed = stage(
+        bad.select(record(bad), F.col("rejected").alias("failed_checks")).unionByName(
+            invalid.select(record(invalid), "failed_checks")
+        )
+    )
     outcome.counts["failed"] = failed.count()
     if outcome.counts["failed"]:
         tables.append(failed.withColumns({"table_name": F.lit(job.table), "run_id": F.lit(run_id)}), f"{target}/quarantine")

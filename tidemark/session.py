@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,18 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Write an intermediate table of any size to the shared folder and read it back.
+
+    Used where several aggregates and the rows themselves come from one costly plan. Unlike a
+    checkpoint the copy is columnar, so each of them reads only its columns. Its folder belongs to
+    the checkpoint folder and is cleared with it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small(pinned: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a pinned table for broadcast if, and only if, its counted size is within the bound.
 
