@@ -262,6 +262,147 @@ def payload_errors(t):
     return bad.groupBy("error_kind").agg(F.count(F.lit(1)).alias("n"))
 
 
+# The records below carry one event each.
+
+
+def one_each(t: Tables, body: Column) -> DataFrame:
+    return t.events.select("event_id", F.col("event_type").alias("item"), F.to_json(body).alias("payload"))
+
+
+@query(
+    """SELECT event_id, event_type AS company_name, round(value, 6) AS market_cap, CAST(ts AS DATE) AS ipo_date, 'USD' AS currency FROM events"""
+)
+def payload_profiles(t):
+    body = F.struct(F.col("event_type").alias("name"), F.col("value").alias("marketCapitalization"), F.date_format("ts", "yyyy-MM-dd").alias("ipo"))
+    return payloads.profiles(one_each(t, body)).select("event_id", "company_name", "market_cap", "ipo_date", "currency")
+
+
+@query(
+    f"""SELECT {_EVENT}, event_id, round(value, 6)::VARCHAR AS actual FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND date_trunc('second', ts) <= TIMESTAMP '2024-01-20'"""
+)
+def payload_calendar(t):
+    record = F.struct(
+        F.col("event_id").alias("id"), F.col("event_type").alias("event"), text("value").alias("actual"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"),
+    )
+    raw = blocks(t, record, lambda r: F.to_json(F.struct(r.alias("economicCalendar"))))
+    start, end = F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-20").cast("timestamp")
+    rows = payloads.calendar(raw, start, end)
+    return rows.select(F.col("item").alias("symbol"), F.col("date").alias("timestamp"), F.col("event_id").cast("bigint").alias("event_id"), "actual")
+
+
+@query("SELECT p_partkey::VARCHAR AS series_id, p_name AS title, p_size AS popularity, p_type AS frequency FROM part")
+def payload_series_list(t):
+    """Part lists in blocks, as search results."""
+    record = F.struct(text("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_size").alias("popularity"), F.col("p_type").alias("frequency"))
+    grouped = t.part.groupBy(F.floor(F.col("p_partkey") / BLOCK).alias("block")).agg(F.collect_list(record).alias("seriess"))
+    raw = grouped.select(F.to_json(F.struct("seriess")).alias("payload"))
+    return payloads.series_list(raw).select("series_id", "title", "popularity", "frequency")
+
+
+@query("SELECT min(p_partkey)::VARCHAR AS series_id FROM part GROUP BY p_partkey // 64")
+def payload_series_info(t):
+    """The first series of each block."""
+    grouped = t.part.groupBy(F.floor(F.col("p_partkey") / BLOCK).alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("p_partkey"))).alias("r")
+    )
+    ids = F.transform("r", lambda x: F.struct(x.getField("p_partkey").cast("string").alias("id")))
+    return payloads.series_info(grouped.select(F.to_json(F.struct(ids.alias("seriess"))).alias("payload"))).select("series_id")
+
+
+@query("SELECT concat('P', p_partkey) AS symbol, p_name AS name, p_size > 25 AS active FROM part")
+def payload_tickers(t):
+    """Large parts as single details, the others as search results."""
+    one = F.struct(F.concat(F.lit("P"), "p_partkey").alias("ticker"), F.col("p_name").alias("name"), (F.col("p_size") > 25).alias("active"))
+    body = F.when(F.col("p_size") > 25, F.to_json(F.struct(one.alias("results")))).otherwise(F.to_json(F.struct(F.array(one).alias("results"))))
+    return payloads.tickers(t.part.select(body.alias("payload"))).select("symbol", "name", "active")
+
+
+@query(
+    """SELECT event_id, n AS day, round(value + n, 6) AS temp_day, round(value, 6) AS uvi, CAST(ts AS DATE) AS date FROM events, unnest([1, 2, 3]) AS u(n)"""
+)
+def payload_daily_forecast(t):
+    """Four days delivered, three asked for."""
+    day = lambda n: F.struct(
+        seconds().alias("dt"), F.struct((F.col("value") + n).alias("day"), F.lit(n).alias("min")).alias("temp"), F.col("value").alias("uvi")
+    )
+    rows = payloads.daily_forecast(one_each(t, F.struct(F.array(*[day(n) for n in (1, 2, 3, 4)]).alias("daily"))), days=3)
+    return rows.select("event_id", F.col("temp_min").cast("bigint").alias("day"), "temp_day", "uvi", "date")
+
+
+@query(
+    """SELECT event_id, 'historical' AS data_type, round(value, 6) AS temperature, NULL::DOUBLE AS rain_1h FROM events
+UNION ALL SELECT event_id, 'historical_hourly', round(value / 2, 6), round(CASE WHEN value > 50 THEN value / 10 END, 6) FROM events"""
+)
+def payload_historical(t):
+    rain = F.when(F.col("value") > 50, F.struct((F.col("value") / 10).alias("1h")))
+    hour = F.struct(seconds().alias("dt"), (F.col("value") / 2).alias("temp"), rain.alias("rain"))
+    body = F.struct(F.struct(seconds().alias("dt"), F.col("value").alias("temp")).alias("current"), F.array(hour).alias("hourly"))
+    return payloads.historical_weather(one_each(t, body)).select("event_id", "data_type", "temperature", "rain_1h")
+
+
+@query("SELECT event_id, round(value, 6) AS latitude, round(value / 2, 6) AS longitude FROM events WHERE value > 5")
+def payload_places(t):
+    place = F.struct(F.col("event_type").alias("name"), F.col("value").alias("lat"), (F.col("value") / 2).alias("lon"))
+    body = F.when(F.col("value") > 5, F.to_json(F.array(place))).otherwise("[]")
+    return payloads.places(t.events.select("event_id", body.alias("payload"))).select("event_id", "latitude", "longitude")
+
+
+@query("SELECT event_id, user_id AS spread, round(value, 6) AS bid, round(value * 2, 6) AS max_volume FROM events")
+def payload_symbol_records(t):
+    body = F.struct(F.col("user_id").alias("spread"), F.lit(0.1).alias("point"), F.col("value").alias("bid"), (F.col("value") * 2).alias("volume_max"))
+    return payloads.symbol_records(one_each(t, body)).select("event_id", "spread", "bid", "max_volume")
+
+
+@query("SELECT event_id, concat(event_type, '/USD') AS pair, round(value, 6) AS rate, date_trunc('second', ts)::TIMESTAMP AS timestamp FROM events")
+def payload_spot_rates(t):
+    inner = F.create_map(
+        F.lit("1. From_Currency Code"), F.col("event_type"), F.lit("3. To_Currency Code"), F.lit("USD"),
+        F.lit("5. Exchange Rate"), text("value"), F.lit("6. Last Refreshed"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+    )
+    raw = one_each(t, F.struct(inner.alias("Realtime Currency Exchange Rate")))
+    return payloads.spot_rates(raw).select("event_id", "pair", "rate", "timestamp")
+
+
+@query("SELECT event_id, event_type AS symbol, round(value, 6) AS last_price, user_id AS trades FROM events")
+def payload_day_tickers(t):
+    one = F.struct(F.col("event_type").alias("symbol"), text("value").alias("lastPrice"), F.col("user_id").alias("count"))
+    body = F.when(F.col("value") > 50, F.to_json(one)).otherwise(F.to_json(F.array(one)))
+    return payloads.day_tickers(t.events.select("event_id", body.alias("payload"))).select("event_id", "symbol", "last_price", "trades")
+
+
+@query(f"SELECT {_EVENT}, round(value, 6) AS open, round(value + 2, 6) AS high, round(value - 2, 6) AS low, 3600 AS granularity_seconds FROM events")
+def payload_exchange_candles(t):
+    v = F.col("value")
+    record = F.array(text(seconds()), text(v - 2), text(v + 2), text(v), text(v), text("user_id"))
+    rows = payloads.exchange_candles(blocks(t, record, F.to_json), "1h").withColumnRenamed("item", "symbol")
+    return rows.select("symbol", "timestamp", "open", "high", "low", "granularity_seconds")
+
+
+@query("SELECT event_id, round(value, 6) AS price, CASE WHEN value > 20 THEN date_trunc('second', ts)::TIMESTAMP END AS time FROM events")
+def payload_exchange_tickers(t):
+    stamp = F.when(F.col("value") > 20, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    body = F.struct(text("value").alias("price"), stamp.alias("time"))
+    return payloads.exchange_tickers(one_each(t, body)).select("event_id", "price", "time")
+
+
+_REGION = "CASE WHEN user_id < 50 THEN 'N225' WHEN user_id < 100 THEN 'FTSE' ELSE 'OTHER' END"
+
+
+@query(
+    f"""WITH q AS (SELECT event_id, {_REGION} AS symbol, round(value - 40, 6) AS percent_change FROM events)
+SELECT event_id, symbol, percent_change, CASE symbol WHEN 'N225' THEN 'Japan' WHEN 'FTSE' THEN 'UK' ELSE 'Unknown' END AS region,
+  CASE WHEN (SELECT count_if(percent_change > 0) > count(*) / 2.0 FROM q) THEN 'Positive' ELSE 'Negative' END AS market_sentiment FROM q"""
+)
+def index_summary(t):
+    """Index quotes with region and market mood."""
+    user = F.col("user_id")
+    symbol = F.when(user < 50, "N225").when(user < 100, "FTSE").otherwise("OTHER")
+    body = F.struct(symbol.alias("symbol"), text(F.round(F.col("value") - 40, 6)).alias("percent_change"))
+    rows = jobs.market_summary(one_each(t, body))
+    return rows.select("event_id", "symbol", "percent_change", "region", "market_sentiment")
+
+
 # --- sinks -------------------------------------------------------------------------------------------------
 
 
@@ -425,6 +566,27 @@ def stream_quarantine(t):
     return count("valid").unionByName(count("invalid"))
 
 
+@query(
+    """SELECT event_type AS pipeline_id, 'r' || event_id AS run_id, CASE WHEN value > 60 THEN 'failed' ELSE 'success' END AS status,
+  round(value, 6) AS duration_seconds FROM events"""
+)
+def run_log(t):
+    """Every event as a run: opened, then closed by an upsert that sets status and duration."""
+    path = scratch(t, "runs")
+    opened = t.events.select(
+        F.col("event_type").alias("pipeline_id"), F.concat(F.lit("r"), "event_id").alias("run_id"), F.lit("running").alias("status"),
+        F.col("ts").alias("start_time"), F.lit(None).cast("double").alias("duration_seconds"),
+    )
+    sinks.append(opened, path)
+    closed = t.events.select(
+        F.col("event_type").alias("pipeline_id"), F.concat(F.lit("r"), "event_id").alias("run_id"),
+        F.when(F.col("value") > 60, "failed").otherwise("success").alias("status"), F.col("ts").alias("start_time"),
+        F.col("value").alias("duration_seconds"),
+    )
+    sinks.merge_upsert(t.spark, path, closed, ["run_id"], order=["start_time"])
+    return t.spark.read.parquet(path).select("pipeline_id", "run_id", "status", "duration_seconds")
+
+
 # --- whole jobs --------------------------------------------------------------------------------------------
 
 
@@ -445,3 +607,18 @@ def item_batches(t):
 
     items = {name: hourly.filter(F.col("symbol") == name).drop("symbol") for name in ("click", "view", "error", "signup", "purchase")}
     return combine(items, "symbol").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """WITH d AS (SELECT upper(event_type) AS symbol, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT 'bronze' AS layer, count(*) AS "rows" FROM (SELECT DISTINCT event_type, event_id // 64 FROM events)
+UNION ALL SELECT 'gold', count(*) FROM d"""
+)
+def medallion_layers(t):
+    """Payloads, clean rows and daily statistics as three table layers."""
+    path = scratch(t, "layers")
+    price = F.col("value") + 1
+    jobs.medallion(t.spark, jobs.JOBS["stock"], bar_payloads(t, price, price), path)
+    layer = lambda name, folder: t.spark.read.parquet(f"{path}/{folder}").agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("rows"))
+    gold = t.spark.read.parquet(f"{path}/gold/daily_stats_stock").select("symbol", "date").distinct()
+    return layer("bronze", "bronze/stock").unionByName(gold.agg(F.lit("gold").alias("layer"), F.count(F.lit(1)).alias("rows")))

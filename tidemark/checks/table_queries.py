@@ -806,3 +806,56 @@ def serialised_rows(t):
     rows = t.events.select("event_id", "event_type", "value", "ts")
     out = as_json(rows)
     return out.select(F.get_json_object("record", "$.event_id").cast("bigint").alias("event_id"), "record")
+
+
+@query(
+    """SELECT o_orderkey, concat(p, '/EUR') AS quoted, p AS symbol FROM (SELECT o_orderkey, substr(o_orderpriority, 3, 3) AS p FROM orders)"""
+)
+def quote_substitution(t):
+    bare = F.substring("o_orderpriority", 3, 3)
+    return t.orders.select("o_orderkey", scalar.with_quote(F.concat(bare, F.lit("/USD")), "EUR").alias("quoted"), bare.alias("symbol"))
+
+
+@query(
+    """SELECT o_orderkey, o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-07-01'"""
+)
+def released_on(t):
+    dated = t.orders.withColumn("data_release_date", F.to_date("o_orderdate"))
+    return catalogue.released_on(dated, F.lit("1998-07-01").cast("date")).select("o_orderkey", "o_custkey")
+
+
+@query(
+    """SELECT user_id, event_id, CASE WHEN user_id < 50 THEN 'Japan' WHEN user_id < 100 THEN 'UK' ELSE 'Unknown' END AS region,
+  CASE WHEN user_id < 50 THEN 'price_weighted' WHEN user_id < 100 THEN 'market_cap_weighted' ELSE 'Unknown' END AS index_type FROM events"""
+)
+def index_metadata(t):
+    from tidemark.sources.payloads import with_index_metadata
+
+    user = F.col("user_id")
+    named = t.events.select("user_id", "event_id", F.when(user < 50, "N225").when(user < 100, "FTSE").otherwise("X").alias("symbol"))
+    return with_index_metadata(named).drop("symbol")
+
+
+@query(
+    """SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view')"""
+)
+def universe_filter(t):
+    """Semi-join with the listed items."""
+    listed = t.events.select("event_type").distinct().filter(F.col("event_type").isin("click", "view"))
+    return t.events.join(listed, "event_type", "left_semi").select("event_id", "event_type")
+
+
+@query(
+    """WITH r AS (SELECT event_type, user_id, ts, event_id, CASE WHEN value >= 2 THEN value END AS price FROM events),
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id, price ORDER BY event_id, ts) AS k FROM r) WHERE k = 1),
+m AS (SELECT event_type, median(price) AS med, avg(CASE WHEN price IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS miss FROM u GROUP BY 1)
+SELECT u.event_type, u.user_id, ts, round(CASE WHEN miss <= 0.1 THEN coalesce(price, med) ELSE price END, 6) AS price FROM u JOIN m ON m.event_type = u.event_type"""
+)
+def clean_pipeline(t):
+    """Text prices through the whole cleaner: duplicates, types, nulls, UTC."""
+    raw = t.events.select(
+        "event_type", "user_id", "ts", F.col("event_id").alias("_seq"),
+        F.when(F.col("value") >= 2, F.col("value").cast("string")).otherwise("n/a").alias("price"),
+    )
+    out = clean.clean(raw, {"price": "float", "ts": "datetime"}, series("event_type", "ts", "_seq"))
+    return out.select("event_type", "user_id", "ts", "price")

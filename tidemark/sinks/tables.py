@@ -133,6 +133,7 @@ def merge_upsert(
     Of several incoming rows with one key the last in ``order`` wins. Without ``parts`` the whole
     table is the one partition that is rewritten, through a pinned copy.
     """
+    delivered = incoming
     incoming = keep_one(incoming, [_canonical(k, null_keys) for k in keys], order or [F.xxhash64(*incoming.columns)], "last")
     if not exists(spark, path):
         counted = Observation()
@@ -144,8 +145,10 @@ def merge_upsert(
         return {"total": counted.get["n"], "inserted": counted.get["n"], "updated": 0}
     target = spark.read.parquet(path)
     for p in parts:  # partition values read back from folder names may come with another type
+        delivered = delivered.withColumn(p, F.col(p).cast(target.schema[p].dataType))
         incoming = incoming.withColumn(p, F.col(p).cast(target.schema[p].dataType))
-    rows = merged_rows(touched(target, incoming, parts), incoming, keys, null_keys, revisions)
+    # The partitions are those of the delivered rows, so listing them needs no window.
+    rows = merged_rows(touched(target, delivered, parts), incoming, keys, null_keys, revisions)
     counted = Observation()
     rows = rows.observe(
         counted,
