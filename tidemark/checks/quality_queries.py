@@ -160,7 +160,7 @@ SELECT l.pipeline_id, runs, round(error_rate, 6) AS error_rate, last_success,
 )
 def source_alerts(t):
     failed = runs(t).withColumn("failed", F.col("status") == "failed")
-    return validate.source_status(failed, "pipeline_id", "start_time", "failed", ["run_id"])
+    return validate.source_status(failed, "pipeline_id", "start_time", "failed")
 
 
 @query(

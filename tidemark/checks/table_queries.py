@@ -817,10 +817,10 @@ def quote_substitution(t):
 
 
 @query(
-    """SELECT o_orderkey, o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-07-01'"""
+    """SELECT o_orderkey, o_custkey FROM orders WHERE date_trunc('month', o_orderdate) = DATE '1998-07-01'"""
 )
 def released_on(t):
-    dated = t.orders.withColumn("data_release_date", F.to_date("o_orderdate"))
+    dated = t.orders.withColumn("data_release_date", F.to_date(F.date_trunc("month", "o_orderdate")))
     return catalogue.released_on(dated, F.lit("1998-07-01").cast("date")).select("o_orderkey", "o_custkey")
 
 

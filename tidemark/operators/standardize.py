@@ -120,12 +120,14 @@ def to_granularity(
     finer = F.col("granularity").isin([g for g, n in ranks.items() if n < ranks.get(target, 0)])
     fine = F.coalesce(finer, F.lit(False))
     rules = dict(bars.RULES[kind])
-    for c in ("currency", "units"):
-        if c in df.columns:
-            rules[c] = "first"
+    # Known to be the same in every row by now; aggregating text would force a sort on the map side.
+    constants = {"weather": {"units": "metric"}, "sentiment": {}}.get(kind, {"currency": "USD"})
+    constants = {c: F.lit(v) for c, v in constants.items() if c in df.columns}
+    if kind == "economic" and "units" in df.columns:
+        rules["units"] = "first"
     coarse = tagged.filter(~fine)
     binned = bars.resample(tagged.filter(fine), keys, "timestamp", target, rules, ties, fill_gaps)
-    binned = binned.withColumn("granularity", F.lit(target))
+    binned = binned.withColumns({"granularity": F.lit(target), **constants})
     dates = {c: e for c, e in scalar.time_parts("timestamp").items() if c in df.columns}
     return coarse.unionByName(binned.withColumns(dates), allowMissingColumns=True)
 

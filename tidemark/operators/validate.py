@@ -310,28 +310,27 @@ def metrics(checks: DataFrame, table: str, day: Column, threshold: float = schem
 # --- run health ----------------------------------------------------------------------------------
 
 
-def source_status(runs: DataFrame, source: str, started: str, failed: str, ties: Sequence[str] = ()) -> DataFrame:
+def source_status(runs: DataFrame, source: str, started: str, failed: str) -> DataFrame:
     """Per source: runs, error rate, last success and failures in a row since then, with alerts.
 
     The streak is the number of failures after the last success, so it needs two small aggregates
     and no window over a source's whole history.
     """
-    order = F.struct(started, *ties)
-    success = F.max(F.when(~F.col(failed), order))
+    success = F.max(F.when(~F.col(failed), F.col(started)))
     status = runs.groupBy(source).agg(
         F.count(F.lit(1)).alias("runs"),
         F.avg(F.col(failed).cast("double")).alias("error_rate"),
         success.alias("_last"),
     )
     marked = join_on(runs, small(pin(status.select(source, "_last"))), [source])
-    after = marked.filter(F.col("_last").isNull() | (order > F.col("_last")))
+    after = marked.filter(F.col("_last").isNull() | (F.col(started) > F.col("_last")))
     streaks = after.groupBy(source).agg(F.count_if(F.col(failed)).alias("_streak"))
     streak = F.coalesce(F.col("_streak"), F.lit(0)).cast("bigint")
     return join_on(status, streaks, [source]).select(
         source,
         "runs",
         "error_rate",
-        F.col(f"_last.{started}").alias("last_success"),
+        F.col("_last").alias("last_success"),
         streak.alias("consecutive_failures"),
         (F.col("error_rate") > schemas.ERROR_RATE_ALERT).alias("high_error_rate"),
         (streak >= schemas.FAILURE_STREAK_ALERT).alias("failing"),
