@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.checks.base import Tables, query
 from tidemark.operators import bars, catalogue, clean, features
-from tidemark.operators.series import running, series
+from tidemark.operators.series import over_series, running, series
 
 BAR = series("symbol", "ts")
 
@@ -255,13 +255,47 @@ def running_max(t):
   round(avg(v) OVER ({TW} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS ma_30 FROM g"""
 )
 def tick_windows(t):
-    from tidemark.operators.series import over_series
+    return over_series(gappy(t), TICK, _tick_steps, 30).select("symbol", "event_id", "lag_1", "lag_7", "ma_30")
 
-    def steps(frame, part):
-        w = part.window()
-        return frame.withColumns({"lag_1": F.lag("v", 1).over(w), "lag_7": F.lag("v", 7).over(w), "ma_30": features.rolling("v", w, 30)})
 
-    return over_series(gappy(t), TICK, steps, 30).select("symbol", "event_id", "lag_1", "lag_7", "ma_30")
+def _tick_steps(frame, part):
+    w = part.window()
+    return frame.withColumns(
+        {"lag_1": F.lag("v", 1).over(w), "lag_7": F.lag("v", 7).over(w), "ma_30": features.rolling("v", w, 30)}
+    )
+
+
+# The same over series that count as too long for one task, so that they are cut into chunks.
+CUT = 1000
+
+
+@query(
+    f"""WITH {GAPPY} SELECT symbol, event_id, round(lag(v, 1) OVER ({TW}), 6) AS lag_1, round(lag(v, 7) OVER ({TW}), 6) AS lag_7,
+  round(avg(v) OVER ({TW} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS ma_30 FROM g"""
+)
+def cut_windows(t):
+    out = over_series(gappy(t), TICK, _tick_steps, 30, rows_per_chunk=CUT)
+    return out.select("symbol", "event_id", "lag_1", "lag_7", "ma_30")
+
+
+@query(
+    f"""WITH {GAPPY} SELECT symbol, event_id, round(coalesce(
+  last_value(v IGNORE NULLS) OVER ({TW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(v IGNORE NULLS) OVER ({TW} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS v FROM g"""
+)
+def cut_fills(t):
+    return clean.fill_both_ways(gappy(t), TICK, ["v"], rows_per_chunk=CUT).select("symbol", "event_id", "v")
+
+
+@query(
+    f"""WITH {HOURLY}, r AS (SELECT *, max(close) OVER {rows(100000000)} AS top FROM bars)
+SELECT symbol, ts, round((close - top) / top * 100, 6) AS drawdown,
+  CASE WHEN count(close) OVER {rows(199)} = 200 THEN round(avg(close) OVER {rows(199)}, 6) END AS sma_200 FROM r"""
+)
+def cut_index_metrics(t):
+    # Shorter chunks than the longest look-back are widened to it.
+    out = features.asset_metrics(bars_of(t, "1h"), BAR, "index", rows_per_chunk=100)
+    return out.select("symbol", "ts", "drawdown", "sma_200")
 
 
 @query(
