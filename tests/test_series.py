@@ -89,14 +89,16 @@ def test_sketched_quantiles_are_exact(skewed, monkeypatch, accuracy):
     monkeypatch.setattr(stats, "SKETCH_ACCURACY", accuracy)
     wanted = {"v": [0.25, 0.5, 0.9], "id": [0.5]}
     exact = stats.quantiles(skewed, ["k"], wanted).toPandas().sort_values("k").reset_index(drop=True)
-    sketched = stats.quantiles(skewed, ["k"], wanted, buffered_rows=1).toPandas().sort_values("k").reset_index(drop=True)
-    pd.testing.assert_frame_equal(exact, sketched)
+    for limit in (10**6, 0):  # counted by value, bracketed by a sketch
+        other = stats.quantiles(skewed, ["k"], wanted, buffered_rows=1, counted_values=limit)
+        other = other.toPandas().sort_values("k").reset_index(drop=True)
+        pd.testing.assert_frame_equal(exact, other)
 
 
 def test_quantiles_interpolate(frame):
     df = frame("v double", (1.0,), (2.0,), (3.0,), (10.0,))
-    for limit in (100, 1):
-        row = stats.quantiles(df, [], {"v": [0.25, 0.5, 0.75]}, buffered_rows=limit).first()
+    for rows, values in ((100, 0), (1, 100), (1, 0)):
+        row = stats.quantiles(df, [], {"v": [0.25, 0.5, 0.75]}, rows, values).first()
         assert (row["v_p25"], row["v_p50"], row["v_p75"]) == (1.75, 2.5, 4.75)
 
 

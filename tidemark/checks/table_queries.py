@@ -522,11 +522,21 @@ def exact_quantiles(t):
   AS l_extendedprice_p50 FROM lineitem GROUP BY 1"""
 )
 def sketched_quantiles(t):
-    """The path for keys too large for one buffer."""
-    out = stats.quantiles(t.lineitem, ["l_returnflag"], {"l_extendedprice": [0.25, 0.5]}, buffered_rows=1000)
+    """The path for keys too large for one buffer, with too many distinct values to count."""
+    out = stats.quantiles(t.lineitem, ["l_returnflag"], {"l_extendedprice": [0.25, 0.5]}, buffered_rows=1000, counted_values=0)
     return out.select("l_returnflag", *[F.round(c, 4).alias(c) for c in out.columns if c != "l_returnflag"])
 
 
+@query(
+    """SELECT l_returnflag, round(quantile_cont(l_discount, 0.25), 6) AS l_discount_p25, round(median(l_quantity), 6) AS l_quantity_p50,
+  round(quantile_cont(l_quantity, 0.9), 6) AS l_quantity_p90 FROM lineitem GROUP BY 1"""
+)
+def counted_quantiles(t):
+    """The path for large keys with few distinct values."""
+    wanted = {"l_discount": [0.25], "l_quantity": [0.5, 0.9]}
+    return stats.quantiles(t.lineitem, ["l_returnflag"], wanted, buffered_rows=1000)
+
+
 @query(
     """WITH c AS (SELECT l_suppkey, l_quantity, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT l_suppkey, l_quantity AS l_quantity_mode FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_quantity) AS k FROM c)

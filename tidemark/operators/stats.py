@@ -12,6 +12,8 @@ from tidemark.session import pin, small
 
 # Up to this many rows per key, Spark's exact ``percentile`` (one buffer per key) is used.
 BUFFERED_ROWS = 1_000_000
+# Larger keys with up to this many distinct values per column are counted by value first.
+COUNTED_VALUES = 1_000_000
 SKETCH_ACCURACY = 10_000
 _ALL = "_all"
 
@@ -21,24 +23,39 @@ def quantiles(
     keys: Sequence[str],
     wanted: Mapping[str, Sequence[float]],
     buffered_rows: int = BUFFERED_ROWS,
+    counted_values: int = COUNTED_VALUES,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per key, as columns ``<col>_p<100 * prob>``.
 
-    ``percentile`` keeps every distinct value of a key in one aggregation buffer, so it is used only
-    when the largest key is known to fit. For larger keys a mergeable sketch brackets each quantile
-    within 2/10,000 of the ranks, a second scan counts the values below the bracket and the distinct
-    values inside it, and the exact order statistics are read from those counts.
+    ``percentile`` keeps every distinct value of a key in one aggregation buffer, so it runs on the
+    rows only when the largest key is known to fit. A larger key with few distinct values (prices
+    move in ticks) is first counted by value, which spreads it, and the counts are the frequencies.
+    Otherwise a mergeable sketch brackets each quantile within 2/10,000 of the ranks, a second scan
+    counts the values below the bracket and the distinct values inside it, and the exact order
+    statistics are read from those counts.
     """
     columns = [(c, p, f"{c}_p{p * 100:g}".replace(".", "_")) for c, probs in wanted.items() for p in probs]
     if not keys:
         keyed = df.withColumn(_ALL, F.lit(0))
-        return quantiles(keyed, [_ALL], wanted, buffered_rows).drop(_ALL)
+        return quantiles(keyed, [_ALL], wanted, buffered_rows, counted_values).drop(_ALL)
     largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
     if largest <= buffered_rows:
         return df.groupBy(*keys).agg(*[F.percentile(c, F.lit(p)).alias(name) for c, p, name in columns])
+    used = sorted({c for c, _, _ in columns})
+    distinct = df.groupBy(*keys).agg(F.greatest(F.lit(0), *[F.approx_count_distinct(c) for c in used]).alias("_n"))
+    if distinct.agg(F.max("_n")).first()[0] <= counted_values:
+        return _counted(df, keys, used, columns)
     return _bracketed(df, keys, columns)
 
 
+def _counted(df: DataFrame, keys: Sequence[str], used: Sequence[str], columns: list[tuple[str, float, str]]) -> DataFrame:
+    pairs = [F.struct(F.lit(c).alias("stat"), F.col(c).cast("double").alias("v")) for c in used]
+    counts = df.select(*keys, F.inline(F.array(*pairs))).groupBy(*keys, "stat", "v").agg(F.count(F.lit(1)).alias("c"))
+    return counts.groupBy(*keys).agg(
+        *[F.percentile(F.when(F.col("stat") == c, F.col("v")), F.lit(p), F.col("c")).alias(name) for c, p, name in columns]
+    )
+
+
 def _bracketed(df: DataFrame, keys: Sequence[str], columns: list[tuple[str, float, str]]) -> DataFrame:
     margin = 2.0 / SKETCH_ACCURACY
     used = sorted({c for c, _, _ in columns})
