@@ -500,7 +500,7 @@ def model_rows(t):
 # --- streams -----------------------------------------------------------------------------------------------
 
 
-def event_stream(t: Tables, files: int | None = None) -> DataFrame:
+def event_stream(t: Tables) -> DataFrame:
     """The events file of the folder as a stream."""
     schema = t.events.schema
     reader = t.spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")

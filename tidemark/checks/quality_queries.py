@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.checks.base import query
-from tidemark.checks.series_queries import bars_of, ticks
 from tidemark.checks.table_queries import runs
 from tidemark.operators import bars, clean, sentiment, validate, weather
 from tidemark.operators.series import series

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.checks.base import query
-from tidemark.checks.series_queries import DAILY, HOURLY, OHLCV, TICK, bars_of, gappy, ticks
+from tidemark.checks.series_queries import DAILY, HOURLY, OHLCV, bars_of, ticks
 from tidemark.functions import scalar
 from tidemark.operators import catalogue, clean, standardize, stats
 from tidemark.operators.series import series

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import pct_change, safe_div, volatility_level
 from tidemark.operators.features import rolling, true_range
 from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach, join_on, over_series
-from tidemark.session import pin
 
 Keys = Sequence[str]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.scalar import clip, integral, parse_time
-from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach, running
+from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach, join_on, running
 from tidemark.operators.stats import modes, quantiles
 
 SEQ = "_seq"
@@ -147,8 +147,6 @@ def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
     """Two per-key tables side by side; both hold exactly one row per key."""
     if not keys:
         return left.crossJoin(right)
-    from tidemark.operators.series import join_on
-
     return join_on(left, right, keys)
 
 

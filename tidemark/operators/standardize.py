@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import scalar
 from tidemark.operators import bars
-from tidemark.operators.clean import SEQ, is_numeric, is_time, keep_one
+from tidemark.operators.clean import SEQ, is_time, keep_one
 from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach
 
 METADATA = ("standardized_at", "data_type", "granularity", "units")

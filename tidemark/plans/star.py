@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import calendar_features
 from tidemark.operators.series import join_on
-from tidemark.operators.stats import modes  # noqa: F401  (re-exported for dimension attributes)
 from tidemark.session import pin, small
 
 UNKNOWN = -1

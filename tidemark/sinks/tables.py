@@ -19,7 +19,6 @@ from tidemark.schemas import Entity
 from tidemark.session import pin, small
 
 STAMPS = ("created_at", "updated_at")
-RUN_ORDER = ("running", "success", "partial_success", "failed", "cancelled")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -95,7 +94,7 @@ def merged_rows(
     now = F.current_timestamp() if now is None else now
     both = matched(target, incoming, keys, null_keys)
     has_new, has_old = F.col("new").isNotNull(), F.col("old").isNotNull()
-    old_columns, new_columns = set(target.columns), set(incoming.columns)
+    new_columns = set(incoming.columns)
     columns = []
     for c in target.columns:
         old = F.col(f"old.{c}")
@@ -114,7 +113,6 @@ def merged_rows(
             value = old
         columns.append(value.cast(target.schema[c].dataType).alias(c))
     state = F.when(has_new & has_old, "updated").when(has_new, "inserted").otherwise("kept")
-    assert old_columns
     return both.select(*columns, state.alias("_state"))
 
 
