@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("query_tokens", "query_layout")
+_MODULES = ("query_tokens", "query_layout", "query_text", "query_pairs", "query_vectors")
 
 
 def _collect(attribute: str) -> dict:
