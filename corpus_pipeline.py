@@ -4,11 +4,58 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import decontamination, jaccard, language, packing, repeats
+from tidemark.llm.query_layout import CAPACITY, END
+from tidemark.llm.query_text import FOLD, fold
 from tidemark.session import shared_folder
 
-STAGES: list = []
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language; those without a letter go. Learned from the labelled rows outside the held-out fold."""
+    model = language.learn(docs, "doc_id", "text", "lang", fold("doc_id") != FOLD)
+    return language.with_language(docs, "text", model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of like documents the one with the smallest doc_id."""
+    return jaccard.one_of_each_group(docs, "doc_id", "text")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the bytes of passages that occur earlier; ``n_chars`` follows the text.
+
+    A document that is repeated as a whole stays, with an empty text.
+    """
+    found = repeats.without_repeats(docs, "doc_id", "text", with_text=True, carry=docs.columns)
+    changed = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
+    return found.select(*[changed.get(c, F.col("carry").getField(c)).alias(c) for c in docs.columns])
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.without_leaks(docs, "doc_id", decontamination.leaks(docs, "doc_id", "text", items, "item_id", "text"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    found = packing.pack(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), CAPACITY, END)
+    return found.withColumnRenamed("key", "doc_id")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard", near_duplicates),
+    ("suffix_dedup", repeated_passages),
+    ("decontamination", benchmark_leaks),
+    ("packing", packed),
+]
+
+# Trained classifiers and tokenizers cannot be said in SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -20,12 +20,12 @@ class KeySet:
         return (self.words[at >> 6] >> (at & 63)) & 1 == 1
 
 
-def key_set(hashes: DataFrame, most_bits: int = MOST_BITS) -> KeySet:
-    """The set of the hashes in column ``h``: some 16 bits for each, and never more than 2^``most_bits`` bits (8 MB).
+def key_set(hashes: DataFrame, most_bits: int = MOST_BITS, each: int = 16) -> KeySet:
+    """The set of the hashes in column ``h``: ``each`` bits or more for one, and never more than 2^``most_bits`` bits (8 MB).
 
     Beyond that size more rows pass the test than need to, which the join behind it sorts out.
     """
-    bits = min(most_bits, max(10, int(hashes.count() * 16).bit_length()))
+    bits = min(most_bits, max(10, int(hashes.count() * each).bit_length()))
     at = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
     flag = F.expr("shiftleft(1L, cast(at & 63 as int))")
     words = hashes.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), flag.alias("flag"))

@@ -13,6 +13,7 @@ import math
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -156,21 +157,28 @@ def learn(df: DataFrame, key: str, text: str, label: str, allowed: Column, rows:
     return model
 
 
+def _predictor(df: DataFrame, model: Model):
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score", "ambiguous"])
+
+    return predict
+
+
 def identify(df: DataFrame, text: str, model: Model) -> DataFrame:
     """All rows and columns of ``df``, and ``lang_pred``, ``score`` and ``ambiguous`` (replacing columns of these names).
 
     Only the text decides. A text that is null or has no letter is ``und`` with score 0, as is every text
     if no language was learned. Nothing is shuffled.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
-    def predict(texts):
-        import pandas as pd
-
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score", "ambiguous"])
-
     taken = own(df, "_found")
     kept = [named(df, c) for c in df.columns if c.lower() not in ("lang_pred", "score", "ambiguous")]
-    found = df.select(*kept, predict(named(df, text).cast("string")).alias(taken))
+    found = df.select(*kept, _predictor(df, model)(named(df, text).cast("string")).alias(taken))
     return found.select(*[named(found, c) for c in found.columns if c != taken], f"{taken}.*")
+
+
+def with_language(df: DataFrame, text: str, model: Model) -> DataFrame:
+    """The rows whose text has a language, with the columns they came with."""
+    return df.where(_predictor(df, model)(named(df, text).cast("string"))["lang_pred"] != UNKNOWN)

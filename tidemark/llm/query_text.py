@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.llm import language
+from tidemark.llm import decontamination, html_text, language
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -27,3 +27,18 @@ def op3_language_id(spark, folder):
 
 
 QUERIES["op3_language_id"] = op3_language_id
+
+
+def op5_decontamination(spark, folder):
+    docs, bench = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = decontamination.leaks(docs, "doc_id", "text", bench, "item_id", "text")
+    return found.withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
+def op6_html_text(spark, folder):
+    pages = table(spark, folder, "pages")
+    found = html_text.main_text(pages, "html", html_text.train(pages, "page_id", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+QUERIES |= {"op5_decontamination": op5_decontamination, "op6_html_text": op6_html_text}
