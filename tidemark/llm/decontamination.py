@@ -2,7 +2,7 @@
 
 Texts are turned into templates: numbers, units behind a number, and names become typed placeholders, the
 other words are lower-cased, and marks are left out. Windows of ``WINDOW`` template words of the documents
-are joined by hash with those of the benchmark. Windows on one diagonal (the same distance between the two
+are joined by hash with those of the benchmark, and so are windows of the words as they are. Windows on one diagonal (the same distance between the two
 places) must also fill their slots consistently: one value of the question always stands for the same value
 of the document and the other way round. A document leaks an item if consistent diagonals cover at least
 ``COVERAGE`` of the item's windows.
@@ -106,19 +106,27 @@ def template(data: np.ndarray, edges: np.ndarray):
 
 
 def _windows(data: np.ndarray, edges: np.ndarray, width: int):
-    """Windows of ``width`` template words with at most half of them placeholders: text, place, hash, words before the first."""
+    """Windows of ``width`` words: text, place, hash, first word, placeholder kinds and literal words.
+
+    First those of the template that have placeholders, at most half of their words, then those of the words themselves,
+    so that a difference in case alone, which makes a name of a word or not, hides nothing.
+    """
     for a, b in chunks(edges, 4_000_000):
         part = np.concatenate([data[edges[a] : edges[b]], np.zeros(16, np.uint8)])
         places, shown, slot, literal = template(part, edges[a : b + 1] - edges[a])
         total = max(0, len(shown) - width + 1)
-        hashes, filled = np.full(total, width, np.uint64), np.zeros(total, np.int64)
+        owner = np.searchsorted(places, np.arange(total), "right") - 1
+        whole = np.arange(total) + width <= places[owner + 1]
+        filled = np.zeros(total, np.int64)
         for k in range(width):
-            hashes = _join(hashes, shown[k : k + total])
             filled += slot[k : k + total] > 0
-        owner = np.searchsorted(places, np.arange(total), "right") - 1
-        fits = (np.arange(total) + width <= places[owner + 1]) & (2 * filled <= width)
-        at = np.flatnonzero(fits)
-        yield a + owner[at], at - places[owner[at]], hashes[at], at, slot, literal
+        plain = np.zeros_like(slot)
+        for words, kinds, fits in ((shown, slot, whole & (filled > 0) & (2 * filled <= width)), (literal, plain, whole)):
+            hashes = np.full(total, width + (kinds is plain), np.uint64)
+            for k in range(width):
+                hashes = _join(hashes, words[k : k + total])
+            at = np.flatnonzero(fits)
+            yield a + owner[at], at - places[owner[at]], hashes[at], at, kinds, literal
 
 
 def _slots(at: np.ndarray, slot: np.ndarray, literal: np.ndarray, width: int) -> list[list[int]]:
@@ -155,8 +163,7 @@ def leaks(
     """One row for each document and item that it leaks: key, item, n_windows, item_windows, coverage, verbatim.
 
     ``n_windows`` counts the item's windows that the document holds consistently; ``verbatim`` says whether all
-    slots have the item's own values. Items with fewer than ``width`` words, or without a window in which words
-    outnumber placeholders, cannot be told from chance and take no part, nor do null texts and rows with a null
+    slots have the item's own values. Items with fewer than ``width`` words cannot be told from chance and take no part, nor do null texts and rows with a null
     key. Items or documents with a repeated key are judged together under it.
     """
     bank = stage(_template_windows(items, item_key, item_text, width).where("key is not null"))

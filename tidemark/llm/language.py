@@ -27,6 +27,8 @@ BITS = 14
 # Bits of a codeword for more than seven languages, for each doubling of their number.
 BITS_PER_DOUBLING = 15
 AMBIGUOUS = 0.2
+# What an n-gram that was never seen gets of all chances, the same in each language.
+SMOOTH = 0.02
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _TABLE: list[np.ndarray] = []
@@ -74,7 +76,7 @@ class Model:
     def __init__(self, languages: list[str], counts: np.ndarray) -> None:
         self.languages, self.code = languages, codebook(len(languages))
         # Each language counts alike, however many texts it has.
-        rates = (counts + 0.5) / (counts + 0.5).sum(1, keepdims=True) if len(languages) else counts
+        rates = (1 - SMOOTH) * counts / np.maximum(counts.sum(1, keepdims=True), 1) + SMOOTH / counts.shape[1]
         sides = [(rates[bit > 0].mean(0), rates[bit < 0].mean(0)) for bit in self.code.T]
         self.weights = np.array([np.log(a) - np.log(b) for a, b in sides]).reshape(-1, 1 << BITS).T.copy()
         self.trust = np.full(self.code.shape, 1.0)

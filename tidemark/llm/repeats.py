@@ -358,8 +358,10 @@ def _with_text(docs: DataFrame, marks: DataFrame, kind: str) -> DataFrame:
 
 def repeated_spans(
     df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, carry: list[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """The documents (key, tid, text, and a struct of the ``carry`` columns) and their marks (key, tid, place): windows that also start earlier.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows (key, tid, text, and a struct of the ``carry`` columns), the distinct documents, and their marks.
+
+    Marks (key, tid, place) are windows that also start earlier.
 
     ``tid`` is 0 unless a key occurs more than once; then it is a hash of the text, and such documents are in
     the order of key and hash. Rows that are equal in key and text are one document.
@@ -369,12 +371,14 @@ def repeated_spans(
     carried = [F.struct(*[named(df, c) for c in carry]).alias("carry")] if carry else []
     slim = df.select(named(df, key).alias("key"), named(df, text).cast("string").alias("text"), *carried)
     kind = dict(slim.dtypes)["key"]
-    twice = slim.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("_key"), F.lit(1).alias("_twice"))
+    twice = slim.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("_key"))
     twice = small(stage(twice))
-    docs = slim.join(twice, slim["key"].eqNullSafe(twice["_key"]), "left")
-    tid = F.when(F.col("_twice").isNotNull(), F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(F.lit(0).cast("bigint"))
-    whole = docs.select("key", tid.alias("tid"), "text", *["carry"] * bool(carry))
-    docs = whole.select("key", "tid", "text")
+    known = slim["key"].eqNullSafe(twice["_key"])
+    content = F.xxhash64(F.coalesce("text", F.lit("")))
+    single = slim.join(twice, known, "left_anti").withColumn("tid", F.lit(0).cast("bigint"))
+    several = slim.join(twice, known, "left_semi").withColumn("tid", content)
+    whole = single.unionByName(several)
+    docs = single.select("key", "tid", "text").unionByName(several.select("key", "tid", "text").dropDuplicates(["key", "tid"]))
     rows = docs.mapInArrow(_find(length, gram), f"digit bigint, span bigint, key {kind}, tid bigint, place bigint")
     rows = rows.repartition(partitions(rows), "digit").sortWithinPartitions("digit", "span", "key", "tid", "place")
     marks = stage(rows.mapInArrow(_sort_out, f"key {kind}, tid bigint, place bigint"))
@@ -386,7 +390,7 @@ def repeated_spans(
     dealt = contents.join(crowded, contents["digit"] == crowded["_digit"], "left").drop("_digit").mapInArrow(_deal(length, gram), row)
     dealt = dealt.repartition(partitions(dealt), "digit").sortWithinPartitions("digit", "key", "tid", "first")
     resolved = dealt.mapInArrow(_resolve(length, gram), f"key {kind}, tid bigint, place bigint")
-    return whole, marks.where(~is_open).unionByName(resolved)
+    return whole, docs, marks.where(~is_open).unionByName(resolved)
 
 
 def _remove(length: int):
@@ -425,14 +429,14 @@ def without_repeats(
     documents. Null texts count as empty (the kept text is then null). A character of which only a part remains
     is left out of the kept text; checksum and counts are those of the bytes. See ``repeated_spans`` for repeated keys.
     """
-    docs, marks = repeated_spans(df, key, text, length, gram, carry)
+    rows, docs, marks = repeated_spans(df, key, text, length, gram, carry)
     kind = dict(docs.dtypes)["key"]
     schema = f"key {kind}, tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
-    cut = _with_text(docs.select("key", "tid", "text"), marks, kind).mapInArrow(_remove(length), schema).dropDuplicates(["key", "tid"])
+    cut = _with_text(docs, marks, kind).mapInArrow(_remove(length), schema)
     cut = cut if with_text else cut.drop("kept")
     cut = cut.withColumnsRenamed({"key": "_key", "tid": "_tid", "kept_sha256": "_sha"})
     content = F.coalesce("text", F.lit("")).cast("binary")
-    whole = docs.select("key", "tid", F.length(content).cast("bigint").alias("n_bytes"), F.sha2(content, 256).alias("sha"), *["text"] * with_text, *["carry"] * bool(carry))
+    whole = rows.select("key", "tid", F.length(content).cast("bigint").alias("n_bytes"), F.sha2(content, 256).alias("sha"), *["text"] * with_text, *["carry"] * bool(carry))
     joined = whole.join(cut, whole["key"].eqNullSafe(cut["_key"]) & (whole["tid"] == cut["_tid"]), "left")
     zero = F.lit(0).cast("bigint")
     text_out = [F.when(F.col("_sha").isNull(), F.col("text")).otherwise(F.col("kept")).alias("kept")] if with_text else []
