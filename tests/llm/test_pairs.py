@@ -62,7 +62,9 @@ def test_near_duplicates(frame):
 
 def test_near_duplicates_in_small_blocks(frame, monkeypatch):
     monkeypatch.setattr(jaccard, "COLUMN_ROWS", 5)
-    monkeypatch.setattr(jaccard, "GROUP_ROWS", 3)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(jaccard, "DENSE_FROM", 3)
+    monkeypatch.setattr(jaccard, "_DENSE_COLUMNS", 5)
     docs = crowd(120, 4)
     assert found_groups(frame, docs) == groups(docs)
 
@@ -126,12 +128,14 @@ def test_repeats(frame, monkeypatch, rows):
     monkeypatch.setattr(passages, "DIGIT_ROWS", rows[0])
     monkeypatch.setattr(passages, "ANCHOR_ROWS", rows[1])
     docs = passage_docs()
-    found = passages.without_repeats(frame(DDL, *wrap(docs)).repartition(5), "doc_id", "text", with_text=True, carry=["node", "digit"]).collect()
+    df = frame(DDL, *wrap(docs)).repartition(5)
+    found = passages.without_repeats(df, "doc_id", "text").collect()
     expected = repeats(docs)
     assert {r.key: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == {d: e[:4] for d, e in expected.items()}
-    texts = dict(docs)
-    for r in found:
-        assert r.kept == (texts[r.key] if not r.n_removed else expected[r.key][4].decode("utf-8", "ignore")) and r.carry.digit == "x"
+    texts, kept = dict(docs), passages.trimmed(df, "doc_id", "text")
+    assert kept.columns == df.columns and kept.count() == len(docs)
+    for r in kept.collect():
+        assert r.text == (texts[r.doc_id] if not expected[r.doc_id][1] else expected[r.doc_id][4].decode("utf-8", "ignore")) and r.digit == "x"
 
 
 def test_repeats_in_other_sizes(frame, monkeypatch):

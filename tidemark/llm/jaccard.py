@@ -1,16 +1,23 @@
 """Documents whose sets of word n-grams are alike (Jaccard), and the groups that such links form.
 
 The overlap of two documents is an entry of the product of the document-by-n-gram incidence matrix with
-its transpose. It is never formed as a whole. Rows that are equal are one row (a class). Two sets of n
-n-grams that are alike share at least ``ceil(t * n)`` of them, so in one common order of all n-grams they
-share one of the first ``n - ceil(t * n) + 1`` of each; only these columns enter the first product. The
-order puts n-grams that stand in very many documents last; a count sketch of fixed size says which do.
-Of the pairs left, those whose sizes allow no such overlap are discarded, and for the others the overlap
-is added up exactly, n-gram by n-gram, from the whole texts.
-
-Only groups are asked for, so links that lie within a known group need no proof. A first round pairs every
-class of a column with the smallest class there. A second round takes all pairs of a column that are
-still in different groups, block by block. Together they miss no link between different groups.
+its transpose. It is never formed as a whole. Rows that are equal are one row (a class). Two sets that are
+alike overlap in at least ``t`` of the larger one, so in one common order of all n-grams they share one of
+the first ``n - ceil(t * n) + 1`` of each (its prefix), and only these columns enter the product.
+
+The order has rare n-grams first. For a fixed share of all n-grams (by their hash) the columns are formed
+and counted; an n-gram that occurs once cannot be shared, so it only takes up a place of the prefix. Those
+left follow by their counts, then the n-grams outside the share. A set with enough n-grams of its own has
+an empty prefix. Of the pairs left, those whose sizes and places in the prefix allow no such overlap are
+discarded, and for the others the overlap is added up exactly from the whole texts.
+
+The classes that columns connect form blocks of rows; a class can be like those of its block only. The
+product is taken block by block: within a task the overlaps of its classes are added up from their whole
+sets, as a dense product for n-grams of many classes and pair by pair for the others. Pairs below the bound
+that their sizes set are discarded. Large blocks are cut, and each pair of parts is a task. A task returns
+no pairs but a forest that connects what is linked, since groups are what is asked for.
+
+A count sketch of fixed size tells which columns are very long; these are dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -26,16 +33,23 @@ from pyspark.sql import functions as F
 from tidemark.llm.bytes_of import utf8
 from tidemark.llm.common import named, partitions
 from tidemark.llm.components import components
+from tidemark.llm.keyset import KeySet, key_set
 from tidemark.session import small, stage
 
 PERCENT = 75
+# Share of all n-grams whose columns are counted; above 1 - PERCENT / 100, so that frequent ones can be passed over.
+SHARE = 0.35
 SKETCH_BITS = 20
 _SKETCH_BLOCK = 4096
 # A column with more classes than this is dealt over several tasks.
 COLUMN_ROWS = 4096
-# Members that are compared with one class in one task.
-GROUP_ROWS = 1000
+# Classes of a part of a block; a task has two parts at most.
+BLOCK_ROWS = 1024
+# N-grams of so many classes of a task enter its dense product, so many at a time.
+DENSE_FROM = 12
+_DENSE_COLUMNS = 512
 _SEEN = 500_000
+_LIMIT = np.uint64(int(SHARE * 2**32) << 32)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -57,9 +71,11 @@ def _classes(batches):
     for batch in batches:
         sets = shingle_sets(*utf8(batch.column(1)))
         sids = _sids(sets)
+        counted = [int(np.searchsorted(s, _LIMIT)) for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sids, pa.binary()), pa.array(_nodes(sids), pa.int64())],
-            names=["key", "n", "sid", "node"],
+            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sids, pa.binary()), pa.array(_nodes(sids), pa.int64()),
+             pa.array(counted, pa.int64())],
+            names=["key", "n", "sid", "node", "counted"],
         )
 
 
@@ -97,21 +113,19 @@ def count_sketch(texts: DataFrame) -> np.ndarray:
 
 
 def _columns(sketch, percent: int):
-    """The entries of the first product: n-gram, node, and size and salt in one number."""
+    """The entries of the counted columns: n-gram, node, and (for long columns) estimated length and salt in one number."""
 
     def run(batches):
         from tidemark.llm.shingles import shingle_sets
 
         counts = sketch.value
         usual = 2 * counts.mean() + 16
-        level = np.maximum(0, np.ceil(np.log(np.maximum(counts, 1) / usual) / np.log(1.25))).astype(np.int64)
         salts = 1 + np.maximum(0, counts - usual).astype(np.int64) // COLUMN_ROWS
         seen: set[int] = set()
         for batch in batches:
             sets = shingle_sets(*utf8(batch.column(0)))
-            nodes = _nodes(_sids(sets))
-            grams, owner, salted, sizes = [], [], [], []
-            for s, node in zip(sets, nodes, strict=True):
+            grams, owner, about = [], [], []
+            for s, node in zip(sets, _nodes(_sids(sets)), strict=True):
                 # Equal sets of one task are one class already here.
                 if not len(s) or int(node) in seen:
                     continue
@@ -119,47 +133,116 @@ def _columns(sketch, percent: int):
                     seen.clear()
                 seen.add(int(node))
                 n = len(s)
-                cell = (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                prefix = n - -(-percent * n // 100) + 1
-                if level[cell].any():
-                    first = np.argsort(level[cell], kind="stable")[:prefix]
-                else:
-                    first = np.arange(prefix)
-                parts = salts[cell[first]]
-                mixed = (s[first] ^ np.uint64(node & 0x7FFFFFFFFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
-                grams.append(s[first])
+                # All of the counted share, and further ones in order of hash if these are fewer than the prefix.
+                first = s[: max(n - -(-percent * n // 100) + 1, int(np.searchsorted(s, _LIMIT)))]
+                cell = (first >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+                parts = salts[cell]
+                mixed = (first ^ np.uint64(node & 0x7FFFFFFFFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+                grams.append(first)
                 owner.append(np.full(len(first), node))
-                # Salt 0: the column is not dealt out.
-                salted.append(np.where(parts > 1, 1 + mixed.astype(np.int64) % parts, 0))
-                sizes.append(np.full(len(first), n))
+                about.append(np.where(parts > 1, counts[cell] << 24 | np.minimum(1 + mixed.astype(np.int64) % parts, (1 << 24) - 1), 0))
             if grams:
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(np.concatenate(grams)), pa.array(np.concatenate(owner)),
-                     pa.array(np.concatenate(sizes) << 24 | np.minimum(np.concatenate(salted), (1 << 24) - 1))],
+                    [_signed(np.concatenate(grams)), pa.array(np.concatenate(owner)), pa.array(np.concatenate(about))],
                     names=["gram", "node", "about"],
                 )
 
     return run
 
 
-def _blobs(batches):
-    """Every text, compressed, under the id of its set."""
-    import zstandard
+def _prefixes(entries: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(gram, node) of the columns that enter the product: the prefix of each class, without what occurs once."""
+    column = Window.partitionBy("gram", "about")
+    counted = entries.withColumn("lo", F.min("node").over(column)).withColumn("hi", F.max("node").over(column))
+    counted = counted.withColumn("size", F.count(F.lit(1)).over(column)).where("lo <> hi or about > 0")
+    counted = counted.select("gram", "node", F.when(F.col("about") > 0, F.shiftright("about", 24)).otherwise(F.col("size")).alias("size"))
+    # A class that several tasks have met is in a column once. The counts hold it as often, which is all the same: the
+    # order only has to be the same for everybody.
+    counted = counted.distinct()
+    late = (F.shiftrightunsigned("gram", 32) >= F.lit(int(_LIMIT) >> 32)).cast("int")
+    own_order = Window.partitionBy("node").orderBy(late, "size", "gram")
+    ranked = counted.withColumn("late", late).withColumn("rank", F.row_number().over(own_order) - 1)
+    ranked = ranked.withColumn("early", F.sum(F.lit(1) - F.col("late")).over(Window.partitionBy("node")))
+    sizes = sizes.withColumnRenamed("node", "_node")
+    joined = ranked.join(sizes, ranked["node"] == sizes["_node"])
+    # Before the shared n-grams of the share come those that occur once. Outside of it this is a lower bound.
+    place = F.col("rank") + F.col("counted") - F.col("early")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return joined.where(place < prefix).select("gram", "node")
+
+
+def _blobs(wanted: KeySet):
+    """The texts whose node may be wanted, compressed, under the id of their set."""
 
-    from tidemark.llm.shingles import shingle_sets
+    def run(batches):
+        import zstandard
 
-    pack = zstandard.ZstdCompressor(3)
-    for batch in batches:
-        data, edges = utf8(batch.column(0))
-        sids = _sids(shingle_sets(data, edges))
-        cells = [pack.compress(data[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(sids, pa.binary()), pa.array(_nodes(sids), pa.int64()), pa.array(cells, pa.binary())], names=["sid", "node", "blob"]
-        )
+        from tidemark.llm.shingles import shingle_sets
+
+        pack, seen = zstandard.ZstdCompressor(3), set()
+        for batch in batches:
+            data, edges = utf8(batch.column(0))
+            sids = _sids(shingle_sets(data, edges))
+            rows = [int(k) for k in np.flatnonzero(wanted.may_hold(_nodes(sids)))] if sids else []
+            # One text of a set is enough.
+            rows = [k for k in rows if sids[k] not in seen and not seen.add(sids[k])]
+            if len(seen) > _SEEN:
+                seen.clear()
+            chosen = [sids[k] for k in rows]
+            cells = [pack.compress(data[edges[k] : edges[k + 1]].tobytes()) for k in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chosen, pa.binary()), pa.array(_nodes(chosen), pa.int64()), pa.array(cells, pa.binary())], names=["sid", "node", "blob"]
+            )
+
+    return run
 
 
-def _compare(percent: int):
-    """Rows sorted by (hub, slot, member): the hub's own sets come first, then the members, which are compared with them."""
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The overlap of every two sets: the incidence matrix times its transpose."""
+    m = len(sets)
+    total = np.zeros((m, m), np.int32)
+    grams = np.concatenate(sets) if m else np.zeros(0, np.uint64)
+    order = np.argsort(grams, kind="stable")
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])[order]
+    edges = np.flatnonzero(np.concatenate([[True], grams[order][1:] != grams[order][:-1], [True]])) if len(grams) else np.zeros(1, np.int64)
+    starts, sizes = edges[:-1], np.diff(edges)
+    for size in range(2, DENSE_FROM):
+        rows = owner[starts[sizes == size][:, None] + np.arange(size)]
+        for a in range(size if len(rows) else 0):
+            for b in range(a + 1, size):
+                np.add.at(total, (rows[:, a], rows[:, b]), 1)
+    dense = np.flatnonzero(sizes >= DENSE_FROM)
+    for at in range(0, len(dense), _DENSE_COLUMNS):
+        part = dense[at : at + _DENSE_COLUMNS]
+        block = np.zeros((m, len(part)), np.float32)
+        # Whole numbers below 2^24 are exact here, and a part has far fewer columns.
+        block[np.concatenate([owner[starts[c] : starts[c] + sizes[c]] for c in part]), np.repeat(np.arange(len(part)), sizes[part])] = 1
+        total += np.triu(block @ block.T, 1).astype(np.int32)
+    return total + total.T
+
+
+def forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect what is alike among the sets: of each group its first member with each other one."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    common = overlaps(sets).astype(np.int64)
+    linked = (100 * common >= percent * (sizes[:, None] + sizes - common)) & (common > 0)
+    left, out = linked.any(1), []
+    for seed in np.flatnonzero(left):
+        if not left[seed]:
+            continue
+        group = np.zeros(len(sets), bool)
+        edge = np.array([seed])
+        group[seed] = True
+        while len(edge):
+            edge = np.flatnonzero(linked[edge].any(0) & ~group)
+            group[edge] = True
+        left &= ~group
+        out += [(int(seed), int(k)) for k in np.flatnonzero(group) if k != seed]
+    return out
+
+
+def _products(percent: int):
+    """Rows sorted by task (block, two parts): the links of each task's classes."""
 
     def run(batches):
         import zstandard
@@ -167,69 +250,46 @@ def _compare(percent: int):
         from tidemark.llm.shingles import shingle_sets
 
         unpack = zstandard.ZstdDecompressor()
-        at, hubs = None, []
-        for batch in batches:
-            texts = [unpack.decompress(b) for b in batch.column(4).to_pylist()]
+
+        def links(sids: list[bytes], texts: list[bytes]) -> pa.RecordBatch:
             edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
             sets = shingle_sets(np.frombuffer(b"".join(texts) + bytes(16), np.uint8), edges)
-            left, right = [], []
-            for hub, slot, member, sid, s in zip(*(batch.column(k).to_pylist() for k in range(4)), sets, strict=True):
-                if (hub, slot) != at:
-                    at, hubs = (hub, slot), []
-                if not member:
-                    if all(sid != other for other, _ in hubs):
-                        hubs.append((sid, s))
-                    continue
-                for other, h in hubs:
-                    if other == sid or 100 * min(len(s), len(h)) < percent * max(len(s), len(h)):
-                        continue
-                    common = len(s) + len(h) - len(np.union1d(s, h))
-                    if 100 * common >= percent * (len(s) + len(h) - common):
-                        left.append(other)
-                        right.append(sid)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+            found = forest(sets, percent)
+            ends = [pa.array([sids[pair[side]] for pair in found], pa.binary()) for side in (0, 1)]
+            return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+        at, sids, texts = None, [], []
+        for batch in batches:
+            for *task, sid, blob in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if task != at:
+                    if len(sids) > 1:
+                        yield links(sids, texts)
+                    at, sids, texts = task, [], []
+                sids.append(sid)
+                texts.append(unpack.decompress(blob))
+        if len(sids) > 1:
+            yield links(sids, texts)
 
     return run
 
 
-def _verify(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between sets, of the pairs of nodes (hub, node) whose sets are alike."""
-    many = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("slots"))
-    many = stage(many)
-    members = pairs.join(many, "hub").select(
-        F.col("node").alias("want"), "hub", F.pmod(F.xxhash64("node"), "slots").cast("int").alias("slot"), F.lit(1).alias("member")
-    )
-    hubs = many.select(
-        F.col("hub").alias("want"), "hub", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.lit(0).alias("member")
-    )
-    # One text of a set is enough.
-    wanted = stage(members.union(hubs))
-    asked = wanted.select("want").distinct()
-    blobs = texts.mapInArrow(_blobs, "sid binary, node bigint, blob binary")
+def _links(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect the alike sets of the product's columns."""
+    first = entries.groupBy("gram").agg(F.min("node").alias("first"), F.max("node").alias("other")).where("first <> other")
+    star = entries.join(first.withColumnRenamed("gram", "_gram"), F.col("gram") == F.col("_gram"))
+    star = star.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    blocks = components(stage(star))
+    parts = blocks.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
+    rows = blocks.join(parts, "comp").withColumn("own", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = stage(rows.select(F.col("comp").alias("block"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.col("node").alias("want")))
+    asked = stage(rows.select("want").distinct())
+    blobs = texts.mapInArrow(_blobs(key_set(asked.select(F.col("want").alias("h")))), "sid binary, node bigint, blob binary")
     blobs = blobs.join(asked, blobs["node"] == asked["want"], "left_semi")
     blobs = stage(blobs.dropDuplicates(["sid"]))
-    rows = wanted.join(blobs, wanted["want"] == blobs["node"]).select("hub", "slot", "member", "sid", "blob")
-    rows = rows.repartition(partitions(rows), "hub", "slot").sortWithinPartitions("hub", "slot", "member", "sid")
-    return rows.mapInArrow(_compare(percent), "a binary, b binary")
-
-
-def _cross(labelled: DataFrame, percent: int) -> DataFrame:
-    """Pairs (hub, node) of one column that are in different groups and whose sizes allow a link.
-
-    A column with many classes is cut into blocks, and each pair of blocks is a task of its own.
-    """
-    open_ = labelled.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
-    open_ = open_.where("lo <> hi").select(F.col("gram").alias("_gram"), F.ceil(F.col("size") / COLUMN_ROWS).cast("int").alias("blocks"))
-    cells = labelled.join(open_, labelled["gram"] == open_["_gram"]).drop("_gram")
-    cells = stage(cells.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = cells.select("gram", F.col("own").alias("low"), every.alias("high"), "node", "n", "comp").where("low <= high")
-    right = cells.select("gram", every.alias("low"), F.col("own").alias("high"), F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    right = right.where("low <= high").withColumnsRenamed({"gram": "gram2", "low": "low2", "high": "high2"})
-    same = (F.col("gram") == F.col("gram2")) & (F.col("low") == F.col("low2")) & (F.col("high") == F.col("high2"))
-    fits = F.lit(100) * F.least("n", "n2") >= F.lit(percent) * F.greatest("n", "n2")
-    pairs = left.join(right, same & (F.col("comp") != F.col("comp2")) & fits & (F.col("node") != F.col("node2")))
-    return pairs.select(F.least("node", "node2").alias("hub"), F.greatest("node", "node2").alias("node")).distinct()
+    rows = rows.join(blobs, rows["want"] == blobs["node"]).select("block", "low", "high", "sid", "blob")
+    rows = rows.repartition(partitions(rows), "block", "low", "high").sortWithinPartitions("block", "low", "high", "sid")
+    return rows.mapInArrow(_products(percent), "a binary, b binary").distinct()
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, percent: int = PERCENT) -> DataFrame:
@@ -242,35 +302,29 @@ def near_duplicates(df: DataFrame, key: str, text: str, percent: int = PERCENT)
     """
     slim = df.select(named(df, key).alias("key"), named(df, text).cast("string").alias("text"))
     texts = slim.select("text")
-    rows = stage(slim.mapInArrow(_classes, f"key {dict(slim.dtypes)['key']}, n bigint, sid binary, node bigint"))
+    kind = dict(slim.dtypes)["key"]
+    rows = stage(slim.mapInArrow(_classes, f"key {kind}, n bigint, sid binary, node bigint, counted bigint"))
     sketch = df.sparkSession.sparkContext.broadcast(count_sketch(texts))
     entries = texts.mapInArrow(_columns(sketch, percent), "gram bigint, node bigint, about bigint")
-    salt = F.col("about").bitwiseAND(F.lit((1 << 24) - 1))
-    entries = entries.withColumn("n", F.shiftright("about", 24)).withColumn("salt", salt).drop("about")
-    column = Window.partitionBy("gram", "salt")
-    least = F.min(F.struct("n", "node")).over(column)
-    entries = entries.withColumn("first", least).withColumn("most", F.max(F.struct("n", "node")).over(column))
-    # Columns with one class end here.
-    entries = stage(entries.where("first <> most or salt > 0").select("gram", "node", "n", "first"))
-    fits = F.lit(100) * F.col("first.n") >= F.lit(percent) * F.col("n")
-    star = entries.where(fits & (F.col("first.node") != F.col("node"))).select(F.col("first.node").alias("hub"), "node")
-    star = stage(star.distinct())
-    links = stage(_verify(texts, star, percent))
-    found = components(links)
-
-    # Second round: columns that still hold several groups.
-    known = rows.join(found, rows["sid"] == found["node"], "left_semi").select("sid", F.col("node").alias("_node")).distinct()
-    label = F.conv(F.hex(F.substring("comp", 1, 8)), 16, -10).cast("bigint")
-    groups = stage(known.join(found, known["sid"] == found["node"]).select("_node", label.alias("_comp")))
-    labelled = entries.select("gram", "node", "n").distinct().join(small(groups), F.col("node") == F.col("_node"), "left")
-    cross = _cross(labelled.select("gram", "node", "n", F.coalesce("_comp", "node").alias("comp")), percent)
-    tried = star.select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node"))
-    cross = stage(cross.join(tried, ["hub", "node"], "left_anti"))
-    more = _verify(texts, cross, percent)
-    found = components(stage(links.union(more)))
-
+    sizes = rows.groupBy("node").agg(F.min("n").alias("n"), F.min("counted").alias("counted"))
+    entries = stage(_prefixes(entries, sizes, percent))
+    found = components(stage(_links(texts, entries, percent)))
     labelled = rows.join(found.withColumnRenamed("node", "_sid"), F.col("sid") == F.col("_sid"), "left")
     labelled = stage(labelled.select("key", "n", F.when(F.col("n") > 0, F.coalesce("comp", "sid")).alias("comp")))
     smallest = labelled.where("comp is not null").groupBy(F.col("comp").alias("_comp")).agg(F.min("key").alias("least"))
     out = labelled.join(smallest, F.col("comp") == F.col("_comp"), "left")
     return out.select("key", F.col("n").alias("n_shingles"), F.when(F.col("comp").isNull(), F.col("key")).otherwise(F.col("least")).alias("component_id"))
+
+
+def one_of_each_group(df: DataFrame, key: str, text: str, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df``, with all their columns, whose key is the smallest of its group; equal rows of one key are one.
+
+    Rows with a null key stay. The texts are shuffled only where the keys to leave out are too many to broadcast.
+    """
+    found = near_duplicates(df, key, text, percent).where(F.col("key").isNotNull())
+    found = stage(found.groupBy("key").agg(F.min("component_id").alias("least"), F.count(F.lit(1)).alias("times")))
+    out = small(stage(found.where(F.col("key") != F.col("least")).select(F.col("key").alias("_out"))))
+    twice = small(stage(found.where((F.col("key") == F.col("least")) & (F.col("times") > 1)).select(F.col("key").alias("_twice"))))
+    rows = df.join(out, named(df, key) == out["_out"], "left_anti")
+    several = rows.join(twice, named(rows, key) == twice["_twice"], "left_semi").dropDuplicates([key, text])
+    return rows.join(twice, named(rows, key) == twice["_twice"], "left_anti").unionByName(several)
