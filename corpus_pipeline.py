@@ -30,9 +30,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document that is repeated as a whole stays, with an empty text.
     """
-    found = repeats.without_repeats(docs, "doc_id", "text", with_text=True, carry=docs.columns)
-    changed = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("bigint")}
-    return found.select(*[changed.get(c, F.col("carry").getField(c)).alias(c) for c in docs.columns])
+    found = repeats.trimmed(docs, "doc_id", "text")
+    changed = {"n_chars": F.char_length("text").cast("bigint")} if "n_chars" in docs.columns else {}
+    return found.withColumns(changed).select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

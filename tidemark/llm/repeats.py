@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.bytes_of import chunks, utf8
 from tidemark.llm.common import named, partitions
@@ -329,8 +330,8 @@ def spans_of(places, length: int) -> tuple[np.ndarray, np.ndarray]:
     return lo[heads], end[np.concatenate([heads[1:] - 1, [len(lo) - 1]])]
 
 
-def _blobs(wanted: KeySet):
-    """Compressed texts of the rows whose document may be in the set."""
+def _blobs(wanted: KeySet, names: list[str]):
+    """Compressed texts, and further columns, of the rows whose document may be in the set."""
 
     def run(batches):
         import zstandard
@@ -341,19 +342,26 @@ def _blobs(wanted: KeySet):
             chosen = batch.take(pa.array(rows))
             data, edges = utf8(chosen.column(2))
             cells = [pack.compress(data[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1), pa.array(cells, pa.binary())], names=["key", "tid", "blob"])
+            more = [chosen.column(k) for k in range(4, chosen.num_columns)]
+            yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1), pa.array(cells, pa.binary()), *more], names=names)
 
     return run
 
 
-def _with_text(docs: DataFrame, marks: DataFrame, kind: str) -> DataFrame:
-    """(key, tid, blob, places) of the documents that have marks."""
-    per_doc = stage(marks.groupBy("key", "tid").agg(F.collect_list("place").alias("places")))
+def _places(marks: DataFrame) -> DataFrame:
+    return stage(marks.groupBy("key", "tid").agg(F.collect_list("place").alias("places")))
+
+
+def _with_text(docs: DataFrame, per_doc: DataFrame) -> DataFrame:
+    """(key, tid, blob, places, and what else ``docs`` has) of the documents that have marks."""
     wanted = key_set(per_doc.select(F.xxhash64("key", "tid").alias("h")))
-    blobs = docs.withColumn("h", F.xxhash64("key", "tid")).mapInArrow(_blobs(wanted), f"key {kind}, tid bigint, blob binary")
+    more = docs.columns[3:]
+    fields = {f.name: f for f in docs.schema}
+    schema = T.StructType([fields["key"], fields["tid"], T.StructField("blob", T.BinaryType()), *[fields[c] for c in more]])
+    blobs = docs.select("key", "tid", "text", F.xxhash64("key", "tid").alias("h"), *more).mapInArrow(_blobs(wanted, schema.names), schema)
     per_doc = per_doc.toDF("_key", "_tid", "places")
     match = blobs["key"].eqNullSafe(per_doc["_key"]) & (blobs["tid"] == per_doc["_tid"])
-    return blobs.join(per_doc, match).select("key", "tid", "blob", "places")
+    return blobs.join(per_doc, match).select("key", "tid", "blob", "places", *more)
 
 
 def repeated_spans(
@@ -377,14 +385,14 @@ def repeated_spans(
     content = F.xxhash64(F.coalesce("text", F.lit("")))
     single = slim.join(twice, known, "left_anti").withColumn("tid", F.lit(0).cast("bigint"))
     several = slim.join(twice, known, "left_semi").withColumn("tid", content)
-    whole = single.unionByName(several)
+    whole = single.unionByName(several).select("key", "tid", "text", *["carry"] * bool(carry))
     docs = single.select("key", "tid", "text").unionByName(several.select("key", "tid", "text").dropDuplicates(["key", "tid"]))
     rows = docs.mapInArrow(_find(length, gram), f"digit bigint, span bigint, key {kind}, tid bigint, place bigint")
     rows = rows.repartition(partitions(rows), "digit").sortWithinPartitions("digit", "span", "key", "tid", "place")
     marks = stage(rows.mapInArrow(_sort_out, f"key {kind}, tid bigint, place bigint"))
     is_open = F.col("place").bitwiseAND(F.lit(3)) == OPEN
     row = f"digit bigint, key {kind}, tid bigint, first bigint, before int, rest binary"
-    contents = stage(_with_text(docs, marks.where(is_open), kind).mapInArrow(_contents(length, gram), row))
+    contents = stage(_with_text(docs, _places(marks.where(is_open))).mapInArrow(_contents(length, gram), row))
     crowded = contents.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > DIGIT_ROWS)
     crowded = small(stage(crowded.select(F.col("digit").alias("_digit"), F.lit(1).alias("crowded"))))
     dealt = contents.join(crowded, contents["digit"] == crowded["_digit"], "left").drop("_digit").mapInArrow(_deal(length, gram), row)
@@ -393,54 +401,80 @@ def repeated_spans(
     return whole, docs, marks.where(~is_open).unionByName(resolved)
 
 
-def _remove(length: int):
+def _rest_of(data: bytes, places, length: int) -> tuple[bytes, int]:
+    """What is left of a text, and how many runs are gone."""
+    begin, end = spans_of(places, length)
+    edges = [0, *(int(x) for pair in zip(begin, end, strict=True) for x in pair), len(data)]
+    return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)), len(begin)
+
+
+def _digests(length: int):
     def run(batches):
         import zstandard
 
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            removed, count, sums, kept = [], [], [], []
+            removed, count, sums = [], [], []
             for blob, places in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 data = unpack.decompress(blob)
-                begin, end = spans_of(places, length)
-                edges = [0, *(int(x) for pair in zip(begin, end, strict=True) for x in pair), len(data)]
-                rest = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                rest, runs = _rest_of(data, places, length)
                 removed.append(len(data) - len(rest))
-                count.append(len(begin))
+                count.append(runs)
                 sums.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest.decode("utf-8", "ignore"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sums, pa.string()), pa.array(kept, pa.string())],
-                names=["key", "tid", "n_removed", "n_spans", "kept_sha256", "kept"],
+                [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sums, pa.string())],
+                names=["key", "tid", "n_removed", "n_spans", "kept_sha256"],
             )
 
     return run
 
 
-def without_repeats(
-    df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM, with_text: bool = False, carry: list[str] | None = None
-) -> DataFrame:
-    """One row for each row of ``df``: key, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept text.
+def _kept(length: int):
+    def run(batches):
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            cells = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            kept = [_rest_of(unpack.decompress(blob), places, length)[0].decode("utf-8", "ignore") for blob, places in cells]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), batch.column(4)], names=["text", "carry"])
+
+    return run
+
 
-    ``carry`` names further columns, which come along in a struct.
+def without_repeats(df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """One row for each row of ``df``: key, n_bytes, n_removed, n_spans and kept_sha256.
 
     A byte goes if it lies in a string of ``length`` bytes that also starts earlier: in a document with a smaller
     key (null is smallest), or earlier in the same one. Strings are judged on the input and do not cross
-    documents. Null texts count as empty (the kept text is then null). A character of which only a part remains
-    is left out of the kept text; checksum and counts are those of the bytes. See ``repeated_spans`` for repeated keys.
+    documents. Null texts count as empty. See ``repeated_spans`` for repeated keys.
     """
-    rows, docs, marks = repeated_spans(df, key, text, length, gram, carry)
-    kind = dict(docs.dtypes)["key"]
-    schema = f"key {kind}, tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
-    cut = _with_text(docs, marks, kind).mapInArrow(_remove(length), schema)
-    cut = cut if with_text else cut.drop("kept")
+    rows, docs, marks = repeated_spans(df, key, text, length, gram)
+    schema = f"key {dict(docs.dtypes)['key']}, tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    cut = _with_text(docs, _places(marks)).mapInArrow(_digests(length), schema)
     cut = cut.withColumnsRenamed({"key": "_key", "tid": "_tid", "kept_sha256": "_sha"})
     content = F.coalesce("text", F.lit("")).cast("binary")
-    whole = rows.select("key", "tid", F.length(content).cast("bigint").alias("n_bytes"), F.sha2(content, 256).alias("sha"), *["text"] * with_text, *["carry"] * bool(carry))
+    whole = rows.select("key", "tid", F.length(content).cast("bigint").alias("n_bytes"), F.sha2(content, 256).alias("sha"))
     joined = whole.join(cut, whole["key"].eqNullSafe(cut["_key"]) & (whole["tid"] == cut["_tid"]), "left")
     zero = F.lit(0).cast("bigint")
-    text_out = [F.when(F.col("_sha").isNull(), F.col("text")).otherwise(F.col("kept")).alias("kept")] if with_text else []
     return joined.select(
         "key", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
-        F.coalesce("_sha", "sha").alias("kept_sha256"), *text_out, *["carry"] * bool(carry),
+        F.coalesce("_sha", "sha").alias("kept_sha256"),
     )
+
+
+def trimmed(df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """All rows and columns of ``df``, without the repeated bytes of the text; the rules are those of ``without_repeats``.
+
+    A null text stays null. A character of which only a part remains is left out. Rows that lose nothing are not
+    shuffled, unless the documents that do are too many to broadcast their keys.
+    """
+    others = [c for c in df.columns if c != text]
+    rows, _, marks = repeated_spans(df, key, text, length, gram, others)
+    per_doc = _places(marks)
+    schema = T.StructType([T.StructField("text", T.StringType()), rows.schema["carry"]])
+    cut = _with_text(rows, per_doc).mapInArrow(_kept(length), schema)
+    keys = small(per_doc.select(F.col("key").alias("_key"), F.col("tid").alias("_tid")))
+    same = rows["key"].eqNullSafe(keys["_key"]) & (rows["tid"] == keys["_tid"])
+    out = rows.join(keys, same, "left_anti").select("text", "carry").unionByName(cut)
+    return out.select(*[F.col("text").alias(text) if c == text else F.col("carry").getField(c).alias(c) for c in df.columns])
