@@ -17,10 +17,11 @@ T = [dt.datetime(2024, 1, d) for d in range(1, 8)]
 def test_duplicates_ignore_time_and_keep_the_first(frame):
     df = frame(
         "symbol string, price double, volume bigint, timestamp timestamp",
-        ("AAPL", 150.5, 1000, T[0]), ("AAPL", 150.5, 1000, T[1]), ("GOOGL", 2800.0, 500, T[2]), ("GOOGL", 2800.0, 500, T[3]),
+        ("QQX", 7.25, 12, T[0]), ("QQX", 7.25, 12, T[1]), ("ZRH", 61.5, 3, T[2]), ("ZRH", 61.5, 3, T[3]),
     )
     rows = clean.drop_duplicates(df, ["timestamp"]).orderBy("symbol").collect()
-    assert [(r["symbol"], r["timestamp"]) for r in rows] == [("AAPL", T[0]), ("GOOGL", T[2])]
+    assert [(r["symbol"], r["timestamp"]) for r in rows] == [("QQX", T[0]), ("ZRH", T[2])]
+    assert clean.drop_repeats(df, ["timestamp"]).count() == 4 and clean.drop_repeats(df.union(df), ["timestamp"]).count() == 4
 
 
 def test_keep_last(frame):
@@ -120,19 +121,19 @@ def test_canonical_names_are_not_overwritten(frame):
 def test_stock(frame):
     df = frame(
         "Open bigint, High bigint, Low bigint, Close double, Volume bigint, Ticker string, Date date, Currency string",
-        *[(100, 110, 90, 105.0, 1000, "AAPL.US", dt.date(2026, 1, d), "USD") for d in (1, 2, 3)],
+        *[(7, 9, 6, 8.5, 40, "QQX.US", dt.date(2023, 5, d), "USD") for d in (1, 2, 3)],
     )
     out = standardize.standardize(df, "stock")
     row = out.first()
-    assert row["symbol"] == "AAPL" and row["timestamp"] is not None and row["data_type"] == "stock" and row["granularity"] == "1d"
+    assert row["symbol"] == "QQX" and row["timestamp"] is not None and row["data_type"] == "stock" and row["granularity"] == "1d"
     assert out.columns[-3:] == ["standardized_at", "data_type", "granularity"]
 
 
 def test_crypto_and_forex_symbols(frame):
-    df = frame("timestamp timestamp, symbol string, close double", *[(dt.datetime(2026, 1, 1, h), "BTC-USD", 1.0) for h in range(3)])
+    df = frame("timestamp timestamp, symbol string, close double", *[(dt.datetime(2023, 5, 1, h), "BTC-USD", 1.0) for h in range(3)])
     row = standardize.standardize(df, "crypto").first()
     assert (row["symbol"], row["granularity"]) == ("BTCUSDT", "1h")
-    fx = frame("Pair string, Time timestamp, Close double", *[("EUR/USD", dt.datetime(2026, 1, 1, h), 1.0) for h in range(3)])
+    fx = frame("Pair string, Time timestamp, Close double", *[("EUR/USD", dt.datetime(2023, 5, 1, h), 1.5) for h in range(3)])
     assert standardize.standardize(fx, "forex").first()["symbol"] == "EURUSD"
 
 

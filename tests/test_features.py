@@ -35,12 +35,12 @@ def test_rolling_statistics(frame):
 
 
 def test_percent_changes(frame):
-    values = [100, 110, 110, 121, 121, 133, 133, 146.3, 146.3, 161]
+    values = [40, 50, 50, 60, 60, 75, 75, 60, 90, 45]
     out = time_features(daily(frame, values), S, "value")
     one = column(out, "value_pct_change_1", "date")
-    assert one[0] is None and one[1:4] == pytest.approx([0.10, 0, 0.10]) and one[5] == pytest.approx(12 / 121)
+    assert one[0] is None and one[1:4] == pytest.approx([0.25, 0, 0.2]) and one[5] == pytest.approx(0.25)
     seven = column(out, "value_pct_change_7", "date")
-    assert seven[:7] == [None] * 7 and seven[7:] == pytest.approx([0.463, 0.33, 161 / 110 - 1])
+    assert seven[:7] == [None] * 7 and seven[7:] == pytest.approx([0.5, 0.8, -0.1])
 
 
 def test_percent_change_fills_nulls_and_survives_zero(frame):

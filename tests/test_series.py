@@ -106,3 +106,12 @@ def test_mode_ties_go_to_the_smallest(frame):
     df = frame("k string, a string, n int", ("x", "b", 10), ("x", "a", 9), ("x", "a", 10), ("x", "b", 9), ("y", None, None))
     rows = {r["k"]: (r["a_mode"], r["n_mode"]) for r in stats.modes(df, ["k"], ["a", "n"]).collect()}
     assert rows == {"x": ("a", 9), "y": (None, None)}
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    rows = spark.range(0, 4000, 1, 4).select((F.col("id") % 2).alias("k"), (F.col("id") * F.col("id") % 977).cast("double").alias("v"))
+    exact = {r["k"]: r["v_p30"] for r in rows.groupBy("k").agg(F.percentile("v", F.lit(0.3)).alias("v_p30")).collect()}
+    # A sketch this coarse puts its edges far from the ranks.
+    monkeypatch.setattr(stats, "SKETCH_ACCURACY", 3)
+    found = stats._bracketed(rows, ["k"], [("v", 0.3, "v_p30")], margin=1e-6)
+    assert {r["k"]: r["v_p30"] for r in found.collect()} == exact

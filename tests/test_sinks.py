@@ -152,8 +152,16 @@ def test_folded_bars_take_late_ticks_and_replays(spark, frame, tmp_path):
     expected = {0: (3, 7, 3, 4, 4), 1: (1, 1, 1, 1, 1), 2: (9, 9, 9, 9, 1)}
     assert run() == expected
     batch = streams.partial_bars(frame("symbol string, ts timestamp, price double, volume bigint", tick(0, 1, 3.0)), ["symbol"], "ts", "price", "volume", "1h")
-    streams.combine_bars(spark, out, batch, 1, ["symbol"])  # batch 1 has been applied already
+    known = streams.stream_id(spark, f"{tmp_path}/cp")
+    streams.combine_bars(spark, out, batch, 1, ["symbol"], known)  # batch 1 has been applied already
     assert run() == expected
+    # A stream with a new checkpoint counts its batches from 0 again, and is another stream.
+    late = f"{tmp_path}/late"
+    land(spark, frame, late, tick(1, 30, 8.0))
+    streams.keep_bars(
+        streams.ingest(spark, late, schema), out, f"{tmp_path}/cp2", ["symbol"], "ts", "price", "volume", "1h"
+    ).awaitTermination()
+    assert run() == {**expected, 1: (1, 8, 1, 8, 2)}
 
 
 def test_stream_upsert_equals_batch(spark, frame, tmp_path):
@@ -196,7 +204,7 @@ def test_stock_job(spark, frame, tmp_path):
         ('{"code": 429, "message": "slow"}', "GOOGL"),
     )
     out = jobs.run(spark, jobs.JOBS["stock"], raw, f"{tmp_path}/t", runs=f"{tmp_path}/runs", run_id="r1")
-    assert out.counts == {"total": 20, "inserted": 20, "updated": 0, "failed": 0}
+    assert out.counts == {"total": 20, "inserted": 20, "updated": 0, "failed": 0, "merged": 0}
     assert [r["error_kind"] for r in out.rejected.collect()] == ["rate_limit"]
     stored = spark.read.parquet(f"{tmp_path}/t/stock_prices")
     assert {r["symbol"] for r in stored.select("symbol").distinct().collect()} == {"AAPL", "MSFT"}
@@ -248,3 +256,51 @@ def test_job_with_features_and_layers(spark, frame, tmp_path):
 @pytest.mark.parametrize("counts, ok", [([(95, 5), (100, 0)], True), ([(90, 10)], False)])
 def test_load_check(frame, counts, ok):
     assert jobs.load_check(frame("loaded bigint, failed bigint", *counts)).first()["ok"] is ok
+
+
+def test_an_older_row_in_a_later_batch_changes_nothing(spark, frame, tmp_path):
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    ddl = "k string, at timestamp, v int"
+
+    def batch(*rows):
+        frame(ddl, *rows).write.mode("append").parquet(source)
+        stream = streams.ingest(spark, source, frame(ddl).schema)
+        streams.upsert(stream, out, f"{tmp_path}/cp", ["k"], order=["at", "v"]).awaitTermination()
+        return sorted((r["k"], r["v"]) for r in spark.read.parquet(out).collect())
+
+    day = lambda n: dt.datetime(2024, 1, n)
+    assert batch(("a", day(5), 1), ("b", day(1), 2)) == [("a", 1), ("b", 2)]
+    assert batch(("a", day(4), 9), ("b", day(2), 3), ("c", None, 7)) == [("a", 1), ("b", 3), ("c", 7)]
+
+
+def test_daily_stream_bars_with_ties(spark, frame, tmp_path):
+    rows = frame("symbol string, ts timestamp, seq int, price double, volume bigint", *[
+        ("s", dt.datetime(2024, 1, 1, 9), n, float(p), 1) for n, p in ((2, 5), (1, 3), (3, 4))
+    ])
+    bar = streams.partial_bars(rows, ["symbol"], "ts", "price", "volume", "1d", ["seq"]).first()
+    assert (bar["open"], bar["high"], bar["low"], bar["close"], bar["volume"]) == (3, 5, 3, 4, 3)
+
+
+def test_retention_keeps_rows_without_a_time(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    day = lambda y, m: dt.datetime(y, m, 1)
+    rows = [("x y", day(2020, 1)), ("x y", None), ("z=1", day(2019, 1)), (None, day(2019, 2)), (None, day(2022, 1)), ("w", day(2023, 1))]
+    tables.store(frame("p string, at timestamp", *rows), path, ["p"])
+    assert tables.retain(spark, path, ["p"], "at", "2021-01-01") == 1
+    kept = spark.read.parquet(path).collect()
+    assert sorted((r["p"] or "", r["at"] and r["at"].year) for r in kept) == [("", 2022), ("w", 2023), ("x y", None)]
+
+
+def test_a_failed_run_is_closed(spark, frame, tmp_path, monkeypatch):
+    from tidemark.plans import jobs
+
+    runs = str(tmp_path / "runs")
+    monkeypatch.setattr(jobs, "load", lambda *a: (_ for _ in ()).throw(ValueError("x" * 900)))
+    monkeypatch.setattr(jobs, "read_job", lambda job, raw: (raw, raw))
+    monkeypatch.setattr(jobs, "transform", lambda *a: (raw, frame("symbol string, check_name string, status string")))
+    monkeypatch.setattr(jobs.validate, "summary", lambda *a: None)
+    raw = frame("symbol string", ("a",))
+    with pytest.raises(ValueError):
+        jobs.run(spark, jobs.JOBS["stock"], raw, str(tmp_path), runs=runs, run_id="r1")
+    found = spark.read.parquet(runs).first()
+    assert (found["status"], found["error_message"]) == ("failed", "x" * 900)

@@ -466,11 +466,14 @@ def revision_upsert(t):
 
 
 @query(
-    """SELECT year(o_orderdate) AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-15' GROUP BY 1"""
+    """WITH o AS (SELECT CASE WHEN o_orderkey % 7 > 0 THEN o_orderdate END AS day, o_totalprice FROM orders)
+SELECT year(day) AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM o WHERE day >= TIMESTAMP '1998-06-15' OR day IS NULL GROUP BY 1"""
 )
 def retention(t):
     path = scratch(t, "retention")
-    stored, parts = sinks.by_period(t.orders, "o_orderdate", "year")
+    # Every seventh order has no date, and stays.
+    dated = t.orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderdate")))
+    stored, parts = sinks.by_period(dated, "o_orderdate", "year")
     sinks.store(stored, path, parts)
     sinks.retain(t.spark, path, parts, "o_orderdate", "1998-06-15")
     kept = t.spark.read.parquet(path)
@@ -500,6 +503,9 @@ def model_rows(t):
 # --- streams -----------------------------------------------------------------------------------------------
 
 
+BATCHES = 3
+
+
 def event_stream(t: Tables) -> DataFrame:
     """The events file of the folder as a stream."""
     schema = t.events.schema
@@ -507,6 +513,14 @@ def event_stream(t: Tables) -> DataFrame:
     return reader.parquet(t.folder)
 
 
+def event_batches(t: Tables, path: str) -> DataFrame:
+    """The events in ``BATCHES`` files, one file to a batch; times of a batch lie before and after those of the next."""
+    parts = t.events.withColumn("_part", F.pmod(F.xxhash64("event_id"), F.lit(BATCHES)))
+    for k in range(BATCHES):
+        parts.filter(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return streams.ingest(t.spark, path, t.events.schema, files_per_trigger=1)
+
+
 def finish(q) -> None:
     q.awaitTermination()
 
@@ -526,9 +540,13 @@ def stream_bars(t):
 
 @query(f"WITH {HOURLY} SELECT symbol, ts AS bar, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close, volume FROM bars")
 def stream_folded_bars(t):
+    """Bars folded over batches that each hold ticks of all times; the last batch comes with a checkpoint of its own."""
     path = scratch(t, "folded-bars")
-    ticks = event_stream(t).withColumnRenamed("event_type", "symbol")
-    finish(streams.keep_bars(ticks, path, f"{path}-checkpoint", ["symbol"], "ts", "value", "user_id", "1h"))
+    fold = lambda ticks, checkpoint: finish(
+        streams.keep_bars(ticks.withColumnRenamed("event_type", "symbol"), path, checkpoint, ["symbol"], "ts", "value", "user_id", "1h", ties=["event_id"])
+    )
+    fold(event_batches(t, f"{path}-in").filter("event_id % 5 > 0"), f"{path}-checkpoint")
+    fold(event_stream(t).filter("event_id % 5 = 0"), f"{path}-checkpoint-2")
     return t.spark.read.parquet(path).select("symbol", "bar", "open", "high", "low", "close", "volume")
 
 
@@ -550,7 +568,7 @@ WHERE k = 1"""
 def stream_upsert(t):
     """The latest event of each user, kept by continuous upsert."""
     path = scratch(t, "latest")
-    finish(streams.upsert(event_stream(t), path, f"{path}-checkpoint", ["user_id"], order=["ts", "event_id"]))
+    finish(streams.upsert(event_batches(t, f"{path}-in"), path, f"{path}-checkpoint", ["user_id"], order=["ts", "event_id"]))
     return t.spark.read.parquet(path).select("user_id", "event_id", "value")
 
 
@@ -590,13 +608,62 @@ def run_log(t):
 # --- whole jobs --------------------------------------------------------------------------------------------
 
 
-@query("SELECT DISTINCT upper(event_type) AS symbol, CAST(ts AS DATE) AS date FROM events")
+def job_bars(name: str, moment: str) -> str:
+    """Daily bars of all events, first and last by time and by the place inside a payload."""
+    order = f"{moment}, event_id % {BLOCK}, event_id"
+    return f"""SELECT {name} AS symbol, CAST(ts AS DATE) AS date, first(value + 1 ORDER BY {order}) AS open, max(value + 1) AS high,
+  min(value + 1) AS low, last(value + 1 ORDER BY {order}) AS close, CAST(sum(user_id) AS BIGINT) AS volume FROM events GROUP BY 1, 2"""
+
+
+@query(
+    f"""WITH b AS ({job_bars("upper(event_type)", "date_trunc('second', ts)")})
+SELECT symbol, date, round(open, 4) AS open, round(high, 4) AS high, round(low, 4) AS low, round(close, 4) AS close, volume FROM b"""
+)
 def stock_job(t):
     """Landed payloads through the whole stock job into its table: one bar per symbol and day."""
     path = scratch(t, "job")
     price = F.col("value") + 1  # the table accepts positive prices only
     jobs.run(t.spark, jobs.JOBS["stock"], bar_payloads(t, price, price), path, source="driver")
-    return t.spark.read.parquet(f"{path}/stock_prices").select("symbol", "date").distinct()
+    return t.spark.read.parquet(f"{path}/stock_prices").select("symbol", "date", "open", "high", "low", "close", "volume")
+
+
+PAIRS = {"click": "EURUSD", "view": "GBPUSD", "error": "USDJPY", "signup": "AUDUSD", "purchase": "USDCHF"}
+
+
+@query(
+    f"""WITH b AS ({job_bars("CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PAIRS.items()) + " ELSE 'NZDUSD' END", "epoch_ms(ts)")})
+SELECT symbol[1:3] AS from_currency, symbol[4:6] AS to_currency, date, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low,
+  round(close, 6) AS close, volume FROM b"""
+)
+def fx_job(t):
+    """Currency ticks through their job: one bar per pair and day, whatever the ticks' times."""
+    path, price = scratch(t, "fx"), F.col("value") + 1
+    record = F.struct(
+        F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000).alias("t"), price.alias("o"), price.alias("h"), price.alias("l"),
+        price.alias("c"), F.col("user_id").alias("v"),
+    )
+    pair = F.coalesce(F.create_map(*[F.lit(x) for kv in PAIRS.items() for x in kv])[F.col("item")], F.lit("NZDUSD"))
+    raw = blocks(t, record, lambda r: F.to_json(F.struct(r.alias("results")))).withColumn("item", pair)
+    jobs.run(t.spark, jobs.JOBS["forex"], raw, path, source="driver")
+    stored = t.spark.read.parquet(f"{path}/forex_rates")
+    return stored.select("from_currency", "to_currency", "date", "open", "high", "low", "close", "volume")
+
+
+@query(
+    """WITH d AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS date, floor(max(value) / 50) AS value FROM events GROUP BY 1, 2)
+SELECT upper(series_id) AS series_id, date, value FROM d"""
+)
+def fred_job(t):
+    """Observations of a value that stands still for days: every one of them is stored."""
+    path = scratch(t, "fred")
+    daily = t.events.groupBy(F.upper("event_type").alias("item"), F.to_date("ts").alias("date")).agg(F.floor(F.max("value") / 50).alias("value"))
+    record = F.struct(text("date").alias("date"), text("value").alias("value"), text("date").alias("realtime_start"), text("date").alias("realtime_end"))
+    months = daily.withColumn("record", record).groupBy("item", F.trunc("date", "month")).agg(
+        F.sort_array(F.collect_list(F.struct("date", "record"))).alias("r")
+    )
+    raw = months.select("item", F.to_json(F.struct(F.transform("r", lambda x: x.getField("record")).alias("observations"))).alias("payload"))
+    jobs.run(t.spark, jobs.JOBS["fred"], raw, path, source="driver")
+    return t.spark.read.parquet(f"{path}/economic_indicators").select("series_id", "date", "value")
 
 
 @query(f"WITH {HOURLY} SELECT symbol, count(*) AS n FROM bars GROUP BY 1")

@@ -11,8 +11,11 @@ from tidemark import schemas
 from tidemark.functions.scalar import clip, integral, parse_time
 from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach, join_on, running
 from tidemark.operators.stats import modes, quantiles
+from tidemark.session import stage
 
 SEQ = "_seq"
+# Columns that do not make a row another one when duplicates are dropped by default.
+STAMP_NAMES = ("timestamp", "date", "created_at")
 _NUMERIC = ("double", "float", "bigint", "int", "smallint", "tinyint", "decimal")
 
 
@@ -46,11 +49,19 @@ def keep_one(
 
 
 def drop_duplicates(df: DataFrame, order: Sequence[str], subset: Sequence[str] | None = None) -> DataFrame:
-    """Keep the first row of equal rows. By default time columns do not count as part of a row."""
-    subset = subset or [c for c in df.columns if not is_time_name(c) and c not in order]
+    """Keep the first row of equal rows. By default the stamps ``STAMP_NAMES`` do not count as part of a row."""
+    subset = subset or [c for c in df.columns if c not in STAMP_NAMES and c not in order]
     return keep_one(df, subset or df.columns, order)
 
 
+def drop_repeats(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Keep the first of the rows that are equal in everything that was delivered, times included.
+
+    Jobs use this: two observations with the same value at different times are two observations.
+    """
+    return keep_one(df, [c for c in df.columns if c != SEQ], order)
+
+
 # --- coercion ------------------------------------------------------------------------------------
 
 
@@ -240,14 +251,18 @@ def clean(
     on_error: str = "keep",
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Duplicates, types, nulls, time zone. ``on_error='fail'`` raises when a check other than the
-    anomaly one finds something."""
+    """Repeated rows, types, nulls, time zone. ``on_error='fail'`` raises when a check other than the
+    anomaly one finds something.
+
+    The rows are staged once after the repeats are gone, so that the statistics of the later steps do not
+    repeat the shuffle.
+    """
     order = [c for c in (SEQ, *s.order) if c in df.columns]
-    one = drop_duplicates(df, order)
+    one = stage(drop_repeats(df, order))
     out = to_utc(impute(coerce(one, schema), s, threshold=threshold, rows_per_chunk=rows_per_chunk))
     if on_error == "fail":
         found = problems(out, schema, s.keys).filter(~F.col("problem").startswith("anomaly"))
-        names = [r[0] for r in found.select("problem").distinct().orderBy("problem").take(20)]
+        names = [r[0] for r in found.select("problem").distinct().orderBy("problem").collect()]
         if names:
             raise ValueError(f"cleaned data has problems: {names}")
     return out

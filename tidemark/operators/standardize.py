@@ -96,40 +96,45 @@ def standardize(
     target: str | None = None,
     fill_gaps: bool = False,
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    every: bool = False,
 ) -> DataFrame:
     """The whole chain for one data type.
 
-    Series whose detected granularity is finer than the target are resampled; the others are kept.
+    Series whose detected granularity is finer than the target are resampled; the others are kept. With ``every``
+    all series are resampled, so that there is one row per bin, as a table whose key is the bin needs it.
     """
     df = add_required(set_units(set_symbols(set_time(set_types(rename(df))), kind), kind), kind)
     keys = [c for c in schemas.SERIES_KEYS.get(kind, ()) if c in df.columns]
     target = target or schemas.TARGET_GRANULARITY.get(kind)
     if keys and target and "timestamp" in df.columns:
-        df = to_granularity(df, kind, keys, target, fill_gaps, rows_per_chunk)
+        df = to_granularity(df, kind, keys, target, fill_gaps, rows_per_chunk, every)
     return finalize(df, kind)
 
 
 def to_granularity(
-    df: DataFrame, kind: str, keys: list[str], target: str, fill_gaps: bool, rows_per_chunk: int
+    df: DataFrame, kind: str, keys: list[str], target: str, fill_gaps: bool, rows_per_chunk: int, every: bool = False
 ) -> DataFrame:
-    """Resample the series that are finer than ``target``."""
+    """Resample the series that are finer than ``target``, or all of them."""
     ranks = {label: n for n, (label, _) in enumerate(schemas.GRANULARITY_LIMITS)}
     ties = (SEQ,) if SEQ in df.columns else ()
-    found = bars.granularity(df, Series(tuple(keys), "timestamp", ties), rows_per_chunk)
-    tagged = attach(df, found.select(*keys, "granularity"), keys)
-    finer = F.col("granularity").isin([g for g, n in ranks.items() if n < ranks.get(target, 0)])
-    fine = F.coalesce(finer, F.lit(False))
+    if every:
+        coarse, finer = None, df
+    else:
+        found = bars.granularity(df, Series(tuple(keys), "timestamp", ties), rows_per_chunk)
+        tagged = attach(df, found.select(*keys, "granularity"), keys)
+        fine = F.coalesce(F.col("granularity").isin([g for g, n in ranks.items() if n < ranks.get(target, 0)]), F.lit(False))
+        coarse, finer = tagged.filter(~fine), tagged.filter(fine)
     rules = dict(bars.RULES[kind])
     # Known to be the same in every row by now; aggregating text would force a sort on the map side.
     constants = {"weather": {"units": "metric"}, "sentiment": {}}.get(kind, {"currency": "USD"})
     constants = {c: F.lit(v) for c, v in constants.items() if c in df.columns}
     if kind == "economic" and "units" in df.columns:
         rules["units"] = "first"
-    coarse = tagged.filter(~fine)
-    binned = bars.resample(tagged.filter(fine), keys, "timestamp", target, rules, ties, fill_gaps)
+    binned = bars.resample(finer, keys, "timestamp", target, rules, ties, fill_gaps)
     binned = binned.withColumns({"granularity": F.lit(target), **constants})
     dates = {c: e for c, e in scalar.time_parts("timestamp").items() if c in df.columns}
-    return coarse.unionByName(binned.withColumns(dates), allowMissingColumns=True)
+    binned = binned.withColumns(dates)
+    return binned if coarse is None else coarse.unionByName(binned, allowMissingColumns=True)
 
 
 def standardize_all(tables: Mapping[str, DataFrame], kind: str, **options) -> DataFrame:

@@ -56,8 +56,10 @@ def _counted(df: DataFrame, keys: Sequence[str], used: Sequence[str], columns: l
     )
 
 
-def _bracketed(df: DataFrame, keys: Sequence[str], columns: list[tuple[str, float, str]]) -> DataFrame:
-    margin = 2.0 / SKETCH_ACCURACY
+def _bracketed(
+    df: DataFrame, keys: Sequence[str], columns: list[tuple[str, float, str]], margin: float = 2.0 / SKETCH_ACCURACY
+) -> DataFrame:
+    """Quantiles from the counts inside brackets. If a wanted rank lies outside its bracket, all brackets are widened."""
     used = sorted({c for c, _, _ in columns})
     edges = [
         F.percentile_approx(
@@ -65,10 +67,8 @@ def _bracketed(df: DataFrame, keys: Sequence[str], columns: list[tuple[str, floa
         ).alias(f"_edge_{name}")
         for c, p, name in columns
     ]
-    sketch = small(
-        pin(df.groupBy(*keys).agg(*[F.count(c).alias(f"_n_{c}") for c in used], *edges))
-    )
-    rows = join_on(df.select(*keys, *used), sketch, keys)
+    sketch = pin(df.groupBy(*keys).agg(*[F.count(c).alias(f"_n_{c}") for c in used], *edges))
+    rows = join_on(df.select(*keys, *used), small(sketch), keys)
 
     def probe(c: str, p: float, name: str):
         """Null when the value lies above the bracket; a null ``v`` counts a value below it."""
@@ -102,13 +102,19 @@ def _bracketed(df: DataFrame, keys: Sequence[str], columns: list[tuple[str, floa
         F.min(F.when(F.col("seen") > F.floor("rank"), F.col("v"))).alias("lo"),
         F.min(F.when(F.col("seen") > F.ceil("rank"), F.col("v"))).alias("hi"),
         F.first("rank").alias("rank"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("c"))), F.lit(0)).alias("below"),
+        F.max("seen").alias("reached"),
     )
+    picked = pin(picked)
+    outside = (F.floor("rank") < F.col("below")) | (F.ceil("rank") >= F.col("reached"))
+    if margin < 1.0 and not picked.filter(outside).isEmpty():
+        return _bracketed(df, keys, columns, min(1.0, margin * 16))
     value = F.col("lo") + (F.col("rank") - F.floor("rank")) * (F.col("hi") - F.col("lo"))
     found = picked.groupBy(*keys).agg(
         *[F.max(F.when(F.col("stat") == name, value)).alias(name) for _, _, name in columns]
     )
     # Keys whose values are all null have no counted rows and still get a (null) result.
-    return join_on(df.select(*keys).distinct(), found, keys)
+    return join_on(sketch.select(*keys), found, keys)
 
 
 def modes(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

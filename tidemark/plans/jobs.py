@@ -26,6 +26,8 @@ class Job:
     table: str
     schema: Mapping[str, str]
     options: Mapping[str, object] = field(default_factory=dict)
+    # The bin that the table's key holds one row of. None: rows keep their own times, which are part of the key.
+    granularity: str | None = None
 
 
 _QUOTE = {
@@ -34,11 +36,11 @@ _QUOTE = {
 }
 
 JOBS = {
-    "stock": Job("stock", "stock", "bars", "stock_prices", {**_QUOTE}, {"asset_type": "stock"}),
+    "stock": Job("stock", "stock", "bars", "stock_prices", {**_QUOTE}, {"asset_type": "stock"}, "1d"),
     "crypto": Job("crypto", "crypto", "klines", "crypto_prices", {**_QUOTE, "volume": "float", "exchange": "str"}),
-    "forex": Job("forex", "forex", "aggregates", "forex_rates", {**_QUOTE}, {"forex": True}),
+    "forex": Job("forex", "forex", "aggregates", "forex_rates", {**_QUOTE}, {"forex": True}, "1d"),
     "fred": Job("fred", "economic", "observations", "economic_indicators", schemas.CLEAN_SCHEMAS["economic"]),
-    "finnhub": Job("finnhub", "stock", "candles", "stock_prices", {**_QUOTE}),
+    "finnhub": Job("finnhub", "stock", "candles", "stock_prices", {**_QUOTE}, {}, "1d"),
     "weather": Job("weather", "weather", "current_weather", "weather_data", schemas.CLEAN_SCHEMAS["weather"]),
 }
 
@@ -76,7 +78,7 @@ def transform(job: Job, rows: DataFrame, with_features: bool = False) -> tuple[D
     if with_features:
         value = "close" if "close" in cleaned.columns else "value"
         cleaned = features.time_features(cleaned, Series((name,), time, ties), value)
-    standard = standardize.standardize(stage(cleaned), job.kind)
+    standard = standardize.standardize(stage(cleaned), job.kind, job.granularity, every=job.granularity is not None)
     standard = standard.drop(clean.SEQ)
     if "temperature" in standard.columns and "weather_main" in standard.columns:
         standard = standard.withColumn("weather_condition", F.col("weather_main"))
@@ -105,6 +107,26 @@ def run(
         return outcome
     if runs and run_id:
         tables.start_run(spark, runs, job.name, run_id)
+    try:
+        outcome.counts = load(spark, job, valid, target, source, run_id)
+    except Exception as error:
+        if runs and run_id:
+            tables.complete_run(spark, runs, run_id, 0, 0, error=str(error))
+        raise
+    if runs and run_id:
+        tables.complete_run(
+            spark, runs, run_id, outcome.counts["total"] + outcome.counts["failed"], outcome.counts["failed"]
+        )
+    return outcome
+
+
+def load(
+    spark: SparkSession, job: Job, valid: DataFrame, target: str, source: str | None, run_id: str | None
+) -> dict[str, int]:
+    """Rows into the job's table, rows it cannot hold into the quarantine: {total, inserted, updated, failed, merged}.
+
+    ``merged`` counts delivered rows that gave way to a later row of the same key, so every row is accounted for.
+    """
     entity = schemas.entity(job.table)
     if job.kind == "forex":
         valid = valid.withColumns(
@@ -112,11 +134,13 @@ def run(
         )
     good, bad = tables.model_rows(valid, entity, source or job.name)
     good, invalid = validate.quarantine(good, job.table)
+    # The granularity of a job fits its key, so rows of one key tie in time and differ in content at most.
     partitioned, parts = tables.by_period(good, entity.time)
     # Both the table and the quarantine count need the rows, so they are computed once.
     staged = stage(partitioned)
-    outcome.counts = tables.merge_upsert(
-        spark, f"{target}/{job.table}", staged, list(entity.keys), parts, ["updated_at"], entity.null_keys
+    columns = [c for c in staged.columns if c not in tables.STAMPS]
+    counts = tables.merge_upsert(
+        spark, f"{target}/{job.table}", staged, list(entity.keys), parts, [entity.time, F.xxhash64(*columns)], entity.null_keys
     )
     record = lambda df: F.to_json(F.struct(*df.columns)).alias("record")
     failed = stage(
@@ -124,14 +148,11 @@ def run(
             invalid.select(record(invalid), "failed_checks")
         )
     )
-    outcome.counts["failed"] = failed.count()
-    if outcome.counts["failed"]:
+    counts["failed"] = failed.count()
+    counts["merged"] = staged.count() - counts["total"]
+    if counts["failed"]:
         tables.append(failed.withColumns({"table_name": F.lit(job.table), "run_id": F.lit(run_id)}), f"{target}/quarantine")
-    if runs and run_id:
-        tables.complete_run(
-            spark, runs, run_id, outcome.counts["total"] + outcome.counts["failed"], outcome.counts["failed"]
-        )
-    return outcome
+    return counts
 
 
 def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], target: str, runs: str, run_id: str) -> DataFrame:
@@ -143,7 +164,7 @@ def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], target: str, runs
             status = tables.run_status(counts["total"] + counts["failed"], counts["failed"])
             lines.append((name, status, counts["total"], counts["failed"], None))
         except Exception as error:  # one source must not stop the others
-            lines.append((name, "failed", 0, 0, str(error)[:500]))
+            lines.append((name, "failed", 0, 0, str(error)))
     return spark.createDataFrame(lines, "job string, status string, loaded bigint, failed bigint, error string")
 
 

@@ -8,7 +8,10 @@ moves between partitions. Plain Parquet has no transactions; one writer per tabl
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.clean import keep_one
 from tidemark.schemas import Entity
-from tidemark.session import pin, small
+from tidemark.session import pin, small, stage
 
 STAMPS = ("created_at", "updated_at")
 
@@ -85,14 +88,21 @@ def merged_rows(
     null_keys: Mapping[str, str] = {},
     revisions: str | None = None,
     now: Column | None = None,
+    newest_by: Sequence[str] = (),
 ) -> DataFrame:
     """Result of the upsert: the new row where there is one, ``created_at`` kept from the old row.
 
+    With ``newest_by`` an old row whose values in these columns are greater stays as it is.
+
     ``revisions`` names the value column of a revision-aware table: on a conflict the row is marked
     ``is_revised`` and its ``revision_number`` grows by one. Adds ``_state``: inserted, updated or kept.
     """
     now = F.current_timestamp() if now is None else now
     both = matched(target, incoming, keys, null_keys)
+    if newest_by:
+        place = lambda side: F.struct(*[F.col(f"{side}.{c}").cast(target.schema[c].dataType) for c in newest_by])
+        late = F.col("old").isNotNull() & F.coalesce(place("old") > place("new"), F.lit(False))
+        both = both.withColumn("new", F.when(~late, F.col("new")))
     has_new, has_old = F.col("new").isNotNull(), F.col("old").isNotNull()
     new_columns = set(incoming.columns)
     columns = []
@@ -125,13 +135,16 @@ def merge_upsert(
     order: Sequence[str] = (),
     null_keys: Mapping[str, str] = {},
     revisions: str | None = None,
+    newest_by: Sequence[str] = (),
 ) -> dict[str, int]:
     """Upsert into the table and return {total, inserted, updated}.
 
-    Of several incoming rows with one key the last in ``order`` wins. Without ``parts`` the whole
-    table is the one partition that is rewritten, through a pinned copy.
+    Of several incoming rows with one key the last in ``order`` wins. ``newest_by`` names columns of the table
+    that order the rows of a key across deliveries: a row that is older than the stored one changes nothing.
+    Without ``parts`` the whole table is the one partition that is rewritten, through a staged copy.
     """
-    delivered = incoming
+    # The partitions and the rows both come from the delivery.
+    delivered = incoming = stage(incoming)
     incoming = keep_one(incoming, [_canonical(k, null_keys) for k in keys], order or [F.xxhash64(*incoming.columns)], "last")
     if not exists(spark, path):
         counted = Observation()
@@ -146,18 +159,36 @@ def merge_upsert(
         delivered = delivered.withColumn(p, F.col(p).cast(target.schema[p].dataType))
         incoming = incoming.withColumn(p, F.col(p).cast(target.schema[p].dataType))
     # The partitions are those of the delivered rows, so listing them needs no window.
-    rows = merged_rows(touched(target, delivered, parts), incoming, keys, null_keys, revisions)
+    rows = merged_rows(touched(target, delivered, parts), incoming, keys, null_keys, revisions, newest_by=newest_by)
     counted = Observation()
     rows = rows.observe(
         counted,
         F.count_if(F.col("_state") == "inserted").alias("inserted"),
         F.count_if(F.col("_state") == "updated").alias("updated"),
     ).drop("_state")
-    store(rows if parts else pin(rows), path, parts, mode="overwrite")
+    if parts:
+        store(rows, path, parts, mode="overwrite")
+    else:
+        replace_whole(spark, stage(rows), path)
     done = counted.get
     return {"total": done["inserted"] + done["updated"], **done}
 
 
+def replace_whole(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Write ``rows`` beside an unpartitioned table, then put the new folder in its place.
+
+    The old folder is moved aside first and deleted last, so at any moment one of the two is complete.
+    """
+    named = lambda suffix: spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{suffix}")
+    mark = uuid.uuid4().hex
+    fresh, old, root = named(f"._new-{mark}"), named(f"._old-{mark}"), named("")
+    store(rows, fresh.toString())
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not (fs.rename(root, old) and fs.rename(fresh, root)):
+        raise RuntimeError(f"could not replace {path}; the rows are in {fresh.toString()}")
+    fs.delete(old, True)
+
+
 def insert_ignore(
     spark: SparkSession,
     path: str,
@@ -274,8 +305,11 @@ def start_run(spark: SparkSession, path: str, pipeline_id: str, run_id: str) ->
             F.lit(None).cast("double").alias("duration_seconds"),
             *[F.lit(0).cast("bigint").alias(c) for c in ("records_processed", "records_failed", "warning_count")],
             F.lit(None).cast("string").alias("error_message"),
+            # Closing a run rewrites the runs of its month only.
+            F.date_format(F.current_timestamp(), "yyyyMM").cast("int").alias("month"),
         ),
         path,
+        ["month"],
     )
 
 
@@ -284,7 +318,7 @@ def complete_run(
 ) -> str:
     """Close a run: status, counters and duration in seconds. Returns a message."""
     runs = spark.read.parquet(path)
-    mine = runs.filter(F.col("run_id") == run_id)
+    mine = stage(runs.filter(F.col("run_id") == run_id))
     if mine.isEmpty():
         return f"run {run_id} not found"
     now = F.current_timestamp()
@@ -299,7 +333,7 @@ def complete_run(
             "error_message": F.lit(error).cast("string"),
         }
     )
-    merge_upsert(spark, path, pin(closed), ["run_id"], order=["start_time"])
+    merge_upsert(spark, path, closed, ["run_id"], ["month"], ["start_time"])
     return f"run {run_id} completed"
 
 
@@ -321,7 +355,8 @@ def retain(
 ) -> int:
     """Remove what is older than ``cutoff``; first archive it, or write a summary, when asked to.
 
-    A partition that is wholly older is dropped as a folder; one that holds the cutoff is rewritten.
+    A partition that is wholly older is dropped as a folder; one that holds the cutoff is rewritten. Rows
+    without a time are kept.
     ``summary`` is (path, group columns, aggregates). Returns the number of partitions dropped.
     """
     table = spark.read.parquet(path)
@@ -332,14 +367,24 @@ def retain(
     if summary:
         where, by, aggregates = summary
         store(old.groupBy(*by).agg(*[e.alias(n) for n, e in aggregates.items()]), where)
-    spans = pin(table.groupBy(*parts).agg(F.min(time).alias("_from"), F.max(time).alias("_to")))
-    mixed = spans.filter((F.col("_from") < limit) & (F.col("_to") >= limit)).select(*parts)
+    # One row for each partition that holds something old; partitions that hold nothing old are left alone.
+    held = table.groupBy(*parts).agg(F.count_if(F.col(time) < limit).alias("_old"), F.count(F.lit(1)).alias("_all"))
+    held = pin(held.filter("_old > 0"))
+    inside = lambda chosen: table.join(chosen, reduce(and_, [table[p].eqNullSafe(chosen[p]) for p in parts]), "left_semi")
+    # The folders are those that Spark itself lists for the files, whatever their values look like.
+    files = inside(small(pin(held.filter("_old = _all").select(*parts))))
+    folders = pin(files.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")).distinct())
+    mixed = small(pin(held.filter("_old < _all").select(*parts)))
     if not mixed.isEmpty():
-        store(table.join(F.broadcast(mixed), list(parts), "left_semi").filter(F.col(time) >= limit), path, parts, "overwrite")
-    dropped = 0
+        # A row without a time is not old.
+        kept = stage(inside(mixed).filter((F.col(time) >= limit) | F.col(time).isNull()))
+        store(kept, path, parts, "overwrite")
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in spans.filter(F.col("_to") < limit).select(*parts).toLocalIterator():
-        folder = "/".join(f"{p}={row[p]}" for p in parts)
-        dropped += bool(fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True))
+    dropped = 0
+    for row in folders.toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"]))
+        if not fs.delete(folder, True):
+            raise RuntimeError(f"could not delete {row['folder']}")
+        dropped += 1
     return dropped

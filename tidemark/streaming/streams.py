@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.bars import _WINDOWS
+from tidemark.operators.bars import _STEPS
 from tidemark.operators.validate import quarantine
+from tidemark.session import stage
 from tidemark.sinks.tables import exists, matched, merge_upsert, store, touched
 from tidemark.sources.payloads import READERS
 
@@ -36,34 +38,43 @@ def without_repeats(stream: DataFrame, keys: Sequence[str], time: str, delay: st
     return _event_time(stream, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def bars(stream: DataFrame, keys: Sequence[str], time: str, price: str, volume: str, granularity: str, delay: str) -> DataFrame:
-    """Open/high/low/close/volume per window, emitted once the watermark has passed its end."""
-    w = F.window(time, _WINDOWS[granularity])
+def bars(
+    stream: DataFrame, keys: Sequence[str], time: str, price: str, volume: str, granularity: str, delay: str, ties: Sequence[str] = ()
+) -> DataFrame:
+    """Open/high/low/close/volume per window (up to a day), emitted once the watermark has passed its end.
+
+    ``ties`` order ticks of the same time; without them one of these is taken.
+    """
+    w = F.window(time, _STEPS[granularity])
     return (
         _event_time(stream, time)
         .withWatermark(time, delay)
         .groupBy(*keys, w.alias("_w"))
-        .agg(*_bar_aggregates(time, price, volume))
+        .agg(*_bar_aggregates(time, price, volume, ties))
         .select(*keys, F.col("_w.start").alias("bar"), "open", "high", "low", "close", "volume")
     )
 
 
-def _bar_aggregates(time: str, price: str, volume: str) -> list:
+def _bar_aggregates(time: str, price: str, volume: str, ties: Sequence[str] = ()) -> list:
+    order = F.struct(time, *ties)
     return [
-        F.min_by(price, time).alias("open"),
+        F.min_by(price, order).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        F.max_by(price, time).alias("close"),
+        F.max_by(price, order).alias("close"),
         F.sum(volume).alias("volume"),
     ]
 
 
-def partial_bars(rows: DataFrame, keys: Sequence[str], time: str, price: str, volume: str, granularity: str) -> DataFrame:
-    """Bars of one batch with the times of their first and last tick, so that they can be combined."""
-    w = F.window(time, _WINDOWS[granularity])
+def partial_bars(
+    rows: DataFrame, keys: Sequence[str], time: str, price: str, volume: str, granularity: str, ties: Sequence[str] = ()
+) -> DataFrame:
+    """Bars of one batch with the places of their first and last tick, so that they can be combined."""
+    w = F.window(time, _STEPS[granularity])
+    order = F.struct(F.col(time).alias("at"), *ties)
     return (
         rows.groupBy(*keys, w.alias("_w"))
-        .agg(*_bar_aggregates(time, price, volume), F.min(time).alias("open_at"), F.max(time).alias("close_at"))
+        .agg(*_bar_aggregates(time, price, volume, ties), F.min(order).alias("open_at"), F.max(order).alias("close_at"))
         .select(
             *keys, F.col("_w.start").alias("bar"), "open", "high", "low", "close", "volume", "open_at", "close_at",
             F.to_date("_w.start").alias("day"),
@@ -71,26 +82,32 @@ def partial_bars(rows: DataFrame, keys: Sequence[str], time: str, price: str, vo
     )
 
 
-def combine_bars(spark: SparkSession, path: str, batch: DataFrame, batch_id: int, keys: Sequence[str]) -> None:
-    """Fold the bars of a batch into the table. A bar remembers the last batch it took in, so a batch
-    that is delivered again changes nothing; late ticks are just another batch."""
-    stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+def combine_bars(spark: SparkSession, path: str, batch: DataFrame, batch_id: int, keys: Sequence[str], stream: str = "") -> None:
+    """Fold the bars of a batch into the table. A bar remembers, for each stream that has fed it, the last batch
+    it took in, so a batch that is delivered again changes nothing; late ticks are just another batch.
+
+    ``stream`` names the run of batch ids: a stream with a new checkpoint counts from 0 again and is another stream.
+    """
+    mark = F.create_map(F.lit(stream), F.lit(batch_id).cast("bigint"))
+    stamped = stage(batch.withColumn("batches", mark))
     if not exists(spark, path):
         store(stamped, path, ["day"])
         return
     target = spark.read.parquet(path)
     both = matched(touched(target, stamped, ["day"]), stamped, [*keys, "bar", "day"], {})
     old, new = (lambda c: F.col(f"old.{c}")), (lambda c: F.col(f"new.{c}"))
-    applied = new("batch_id").isNull() | F.coalesce(old("batch_id") >= new("batch_id"), F.lit(False))
+    seen = F.try_element_at(old("batches"), F.lit(stream))
+    applied = F.col("new").isNull() | F.coalesce(seen >= batch_id, F.lit(False))
+    others = F.map_filter(F.coalesce(old("batches"), F.create_map().cast("map<string,bigint>")), lambda k, _: k != stream)
     fold = {
         "open": F.when(new("open_at") < old("open_at"), new("open")).otherwise(F.coalesce(old("open"), new("open"))),
         "close": F.when(old("close_at") > new("close_at"), old("close")).otherwise(new("close")),
         "high": F.greatest(old("high"), new("high")),
         "low": F.least(old("low"), new("low")),
-        "volume": F.coalesce(old("volume"), F.lit(0)) + new("volume"),
+        "volume": F.coalesce(old("volume") + new("volume"), old("volume"), new("volume")),
         "open_at": F.least(old("open_at"), new("open_at")),
         "close_at": F.greatest(old("close_at"), new("close_at")),
-        "batch_id": new("batch_id"),
+        "batches": F.map_concat(others, new("batches")),
     }
     columns = [
         F.when(applied, old(c)).otherwise(fold.get(c, new(c))).cast(target.schema[c].dataType).alias(c)
@@ -104,15 +121,20 @@ def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark wrote into the checkpoint: the same after a restart, another one for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def keep_bars(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], time: str, price: str, volume: str,
-    granularity: str, once: bool = True,
+    granularity: str, once: bool = True, ties: Sequence[str] = (),
 ) -> StreamingQuery:
     """Continuously folded bars, whatever the order the ticks arrive in."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = partial_bars(batch, keys, time, price, volume, granularity)
-        combine_bars(batch.sparkSession, path, rows, batch_id, keys)
+        rows = partial_bars(batch, keys, time, price, volume, granularity, ties)
+        combine_bars(batch.sparkSession, path, rows, batch_id, keys, stream_id(batch.sparkSession, checkpoint))
 
     return _start(stream, handle, checkpoint, once)
 
@@ -121,10 +143,11 @@ def upsert(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], parts: Sequence[str] = (),
     order: Sequence[str] = (), null_keys: Mapping[str, str] = {}, once: bool = True,
 ) -> StreamingQuery:
-    """Continuous upsert; repeating a batch writes the same rows again."""
+    """Continuous upsert. The row that is last in ``order`` stays, in whichever batch it comes; repeating a batch
+    writes the same rows again."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        merge_upsert(batch.sparkSession, path, batch, keys, parts, order, null_keys)
+        merge_upsert(batch.sparkSession, path, batch, keys, parts, order, null_keys, newest_by=order)
 
     return _start(stream, handle, checkpoint, once)
 
