@@ -33,7 +33,7 @@ from tidemark.session import small, stage
 
 LENGTH = 100
 GRAM = 32
-_TILE = 4_000_000
+_TILE = 1_000_000
 # Classes of one anchor in a batch beyond which they are dealt out by class.
 ANCHOR_ROWS = 64
 # Entries of one third digit beyond which every window is dealt out on its own.
