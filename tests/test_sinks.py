@@ -304,3 +304,15 @@ def test_a_failed_run_is_closed(spark, frame, tmp_path, monkeypatch):
         jobs.run(spark, jobs.JOBS["stock"], raw, str(tmp_path), runs=runs, run_id="r1")
     found = spark.read.parquet(runs).first()
     assert (found["status"], found["error_message"]) == ("failed", "x" * 900)
+
+
+def test_features_of_bars_that_were_folded(spark, frame):
+    values = [
+        {"datetime": f"2024-01-{d:02d} {h}:00:00", "open": "1.2", "high": "9", "low": "1", "close": str(d + h / 100), "volume": "1"}
+        for d in range(1, 6) for h in (10, 11)
+    ]
+    raw = frame("payload string, item string", (json.dumps({"values": values}), "AAPL"))
+    rows = jobs.run(spark, jobs.JOBS["stock"], raw, with_features=True).rows.orderBy("timestamp").collect()
+    assert [r["close"] for r in rows] == [1.11, 2.11, 3.11, 4.11, 5.11]
+    assert [r["close_lag_1"] for r in rows] == [None, 1.11, 2.11, 3.11, 4.11]
+    assert rows[2]["close_ma_3"] == pytest.approx(2.11) and rows[4]["close_std_3"] == pytest.approx(1.0)

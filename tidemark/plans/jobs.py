@@ -75,11 +75,12 @@ def transform(job: Job, rows: DataFrame, with_features: bool = False) -> tuple[D
     # Statistics and rows are both taken from each step, so steps are staged between.
     rows = stage(rows)
     cleaned = clean.clean(rows, job.schema, Series((name,), time, ties))
-    if with_features:
-        value = "close" if "close" in cleaned.columns else "value"
-        cleaned = features.time_features(cleaned, Series((name,), time, ties), value)
     standard = standardize.standardize(stage(cleaned), job.kind, job.granularity, every=job.granularity is not None)
     standard = standard.drop(clean.SEQ)
+    if with_features:
+        # Resampling keeps only what can be folded into a bar, so features are taken from the rows that are loaded.
+        value = "close" if "close" in standard.columns else "value"
+        standard = features.time_features(stage(standard), Series((name,), "timestamp"), value)
     if "temperature" in standard.columns and "weather_main" in standard.columns:
         standard = standard.withColumn("weather_condition", F.col("weather_main"))
     return validate.validate(stage(standard), job.kind, Series((name,), "timestamp"))
