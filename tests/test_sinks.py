@@ -316,3 +316,20 @@ def test_features_of_bars_that_were_folded(spark, frame):
     assert [r["close"] for r in rows] == [1.11, 2.11, 3.11, 4.11, 5.11]
     assert [r["close_lag_1"] for r in rows] == [None, 1.11, 2.11, 3.11, 4.11]
     assert rows[2]["close_ma_3"] == pytest.approx(2.11) and rows[4]["close_std_3"] == pytest.approx(1.0)
+
+
+def test_every_delivered_row_is_counted(spark, frame, tmp_path):
+    def value(at, close="1.5"):
+        return {"datetime": at, "open": "1.2", "high": "2.0", "low": "1.0", "close": close, "volume": "100"}
+
+    values = [value(f"2024-01-{d:02d} 10:00:00") for d in range(1, 6)]
+    # Two more ticks of a day, a repeat of one, three times that are none, and a bar whose close is above its high.
+    values += [value("2024-01-02 11:00:00"), value("2024-01-02 12:00:00", "1.6"), value("2024-01-02 11:00:00")]
+    values += [value("soon"), value("later"), value(None), value("2024-01-06 10:00:00", "9")]
+    raw = frame("payload string, item string", (json.dumps({"values": values}), "AAPL"))
+    out = jobs.run(spark, jobs.JOBS["stock"], raw, f"{tmp_path}/t", run_id="r")
+    assert out.delivered == 12 == out.counts["total"] + out.counts["merged"] + out.counts["failed"]
+    assert (out.counts["total"], out.counts["merged"], out.counts["failed"]) == (5, 3, 4)
+    failed = [r["failed_checks"] for r in spark.read.parquet(f"{tmp_path}/t/quarantine").collect()]
+    assert len(failed) == 4 and sum(f == ["high_gte_close"] for f in failed) == 1
+    assert sum("date missing" in f or "null_timestamps" in f for f in failed) == 3

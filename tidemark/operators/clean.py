@@ -250,15 +250,21 @@ def clean(
     threshold: float = schemas.MISSING_THRESHOLD,
     on_error: str = "keep",
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    untimed: bool = False,
 ) -> DataFrame:
     """Repeated rows, types, nulls, time zone. ``on_error='fail'`` raises when a check other than the
-    anomaly one finds something.
+    anomaly one finds something. With ``untimed`` rows without a time are no repeats of each other: a reader
+    leaves no time where the delivered one does not parse.
 
     The rows are staged once after the repeats are gone, so that the statistics of the later steps do not
     repeat the shuffle.
     """
     order = [c for c in (SEQ, *s.order) if c in df.columns]
-    one = stage(drop_repeats(df, order))
+    if untimed:
+        timed = drop_repeats(df.filter(F.col(s.time).isNotNull()), order)
+        one = stage(timed.unionByName(df.filter(F.col(s.time).isNull())))
+    else:
+        one = stage(drop_repeats(df, order))
     out = to_utc(impute(coerce(one, schema), s, threshold=threshold, rows_per_chunk=rows_per_chunk))
     if on_error == "fail":
         found = problems(out, schema, s.keys).filter(~F.col("problem").startswith("anomaly"))

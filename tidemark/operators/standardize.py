@@ -78,10 +78,10 @@ def add_required(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(types(c)) for c in missing}) if missing else df
 
 
-def finalize(df: DataFrame, kind: str) -> DataFrame:
-    """Last row per timestamp and series, metadata stamps, time columns first, metadata last."""
+def finalize(df: DataFrame, kind: str, one: bool = True) -> DataFrame:
+    """Last row per timestamp and series (unless ``one`` is off), metadata stamps, time columns first, metadata last."""
     key = [c for c in ("timestamp", "symbol", "series_id", "location") if c in df.columns]
-    if key:
+    if key and one:
         ties = [SEQ] if SEQ in df.columns else [F.xxhash64(*df.columns)]
         df = keep_one(df, key, ties, keep="last")
     df = df.withColumns({"standardized_at": F.current_timestamp(), "data_type": F.lit(kind)})
@@ -97,18 +97,27 @@ def standardize(
     fill_gaps: bool = False,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     every: bool = False,
+    untimed: bool = False,
 ) -> DataFrame:
     """The whole chain for one data type.
 
     Series whose detected granularity is finer than the target are resampled; the others are kept. With ``every``
-    all series are resampled, so that there is one row per bin, as a table whose key is the bin needs it.
+    all series are resampled, so that there is one row per bin, as a table whose key is the bin needs it. With
+    ``untimed`` each row without a time is kept, as a row of its own that belongs to no bin.
     """
     df = add_required(set_units(set_symbols(set_time(set_types(rename(df))), kind), kind), kind)
     keys = [c for c in schemas.SERIES_KEYS.get(kind, ()) if c in df.columns]
     target = target or schemas.TARGET_GRANULARITY.get(kind)
+    apart = None
+    if untimed and "timestamp" in df.columns:
+        apart, df = df.filter(F.col("timestamp").isNull()), df.filter(F.col("timestamp").isNotNull())
     if keys and target and "timestamp" in df.columns:
         df = to_granularity(df, kind, keys, target, fill_gaps, rows_per_chunk, every)
-    return finalize(df, kind)
+    out = finalize(df, kind)
+    if apart is None:
+        return out
+    apart = finalize(apart, kind, one=False)
+    return out.unionByName(apart.select(*[c for c in apart.columns if c in out.columns]), allowMissingColumns=True)
 
 
 def to_granularity(

@@ -208,6 +208,22 @@ def filter_invalid(
 
     As such a filter keeps only rows for which the comparison holds, nulls in a failed column go too.
     """
+    return _judged(df, checks, kind, s, rules, pass_rate).filter(F.size("_broken") == 0).select(*df.columns)
+
+
+def invalid_rows(
+    df: DataFrame, checks: DataFrame, kind: str, s: Series, rules: Mapping | None = None,
+    pass_rate: float = schemas.PASS_RATE,
+) -> DataFrame:
+    """The rows that ``filter_invalid`` drops, with the names of the checks they fail as ``failed_checks``."""
+    judged = _judged(df, checks, kind, s, rules, pass_rate).filter(F.size("_broken") > 0)
+    return judged.select(*df.columns, F.col("_broken").alias("failed_checks"))
+
+
+def _judged(
+    df: DataFrame, checks: DataFrame, kind: str, s: Series, rules: Mapping | None, pass_rate: float
+) -> DataFrame:
+    """The rows with the names of the failed checks because of which they may not be loaded, as ``_broken``."""
     rules = rules or schemas.VALIDATION[kind]
     types = dict(df.dtypes)
     failed = F.collect_set(
@@ -219,11 +235,11 @@ def filter_invalid(
         s.keys,
     )
     rows = attach(df, verdict, s.keys)
-    conditions = []
+    broken = []
 
     def require(check: str, holds: Column) -> None:
         hit = F.array_contains("_failed", check)
-        conditions.append(~F.coalesce(hit, F.lit(False)) | F.coalesce(holds, F.lit(False)))
+        broken.append(F.when(F.coalesce(hit, F.lit(False)) & ~F.coalesce(holds, F.lit(False)), F.lit(check)))
 
     for c, bounds in rules["ranges"].items():
         if c in types and is_numeric(types[c]):
@@ -234,8 +250,9 @@ def filter_invalid(
             require(f"positive_values_{c}", F.col(c) >= 0)
     if s.time in types:
         require("null_timestamps", F.col(s.time).isNotNull())
-    keep = reduce(lambda a, b: a & b, conditions, F.lit(True))
-    return rows.filter(F.coalesce(F.col("is_valid"), F.lit(True)) | keep).select(*df.columns)
+    names = F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
+    empty = F.array().cast("array<string>")
+    return rows.withColumn("_broken", F.when(F.coalesce(F.col("is_valid"), F.lit(True)), empty).otherwise(names))
 
 
 def validate(df: DataFrame, kind: str, s: Series, **options) -> tuple[DataFrame, DataFrame]:

@@ -47,13 +47,17 @@ JOBS = {
 
 @dataclass
 class Outcome:
-    """Everything a run produced; only counters have been computed on the driver."""
+    """Everything a run produced; only counters have been computed on the driver.
+
+    ``delivered`` counts the rows of the payloads; when they are loaded it is total + merged + failed of ``counts``.
+    """
 
     rows: DataFrame
     checks: DataFrame
     summary: DataFrame
     rejected: DataFrame
     counts: dict[str, int] = field(default_factory=dict)
+    delivered: int | None = None
 
 
 def read_job(job: Job, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -67,23 +71,35 @@ def read_job(job: Job, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, bad
 
 
-def transform(job: Job, rows: DataFrame, with_features: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Clean, standardise, validate. Returns (rows to load, check results)."""
+def transform(
+    job: Job, rows: DataFrame, with_features: bool = False, dropped: list[DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Clean, standardise, validate. Returns (rows to load, check results).
+
+    ``rows`` is scanned several times, so it should be staged. Rows without a time stay rows of their own. Those
+    that validation leaves out are added to ``dropped``, with their ``failed_checks``.
+    """
     name = schemas.SERIES_KEYS[job.kind][0]
     time = "timestamp" if "timestamp" in rows.columns else "date"
     ties = (clean.SEQ,) if clean.SEQ in rows.columns else ()
     # Statistics and rows are both taken from each step, so steps are staged between.
-    rows = stage(rows)
-    cleaned = clean.clean(rows, job.schema, Series((name,), time, ties))
-    standard = standardize.standardize(stage(cleaned), job.kind, job.granularity, every=job.granularity is not None)
+    cleaned = clean.clean(rows, job.schema, Series((name,), time, ties), untimed=True)
+    standard = standardize.standardize(stage(cleaned), job.kind, job.granularity, every=job.granularity is not None, untimed=True)
     standard = standard.drop(clean.SEQ)
     if with_features:
         # Resampling keeps only what can be folded into a bar, so features are taken from the rows that are loaded.
         value = "close" if "close" in standard.columns else "value"
-        standard = features.time_features(stage(standard), Series((name,), "timestamp"), value)
+        standard = stage(standard)
+        timed, untimed = standard.filter(F.col("timestamp").isNotNull()), standard.filter(F.col("timestamp").isNull())
+        timed = features.time_features(timed, Series((name,), "timestamp"), value)
+        standard = timed.unionByName(untimed, allowMissingColumns=True)
     if "temperature" in standard.columns and "weather_main" in standard.columns:
         standard = standard.withColumn("weather_condition", F.col("weather_main"))
-    return validate.validate(stage(standard), job.kind, Series((name,), "timestamp"))
+    standard, s = stage(standard), Series((name,), "timestamp")
+    valid, checks = validate.validate(standard, job.kind, s)
+    if dropped is not None:
+        dropped.append(validate.invalid_rows(standard, checks, job.kind, s))
+    return valid, checks
 
 
 def run(
@@ -101,15 +117,16 @@ def run(
     All items are one job, and a bad payload or row is set aside, so no item can stop the others.
     """
     rows, rejected = read_job(job, raw)
-    valid, checks = transform(job, rows, with_features)
+    rows, dropped = stage(rows), []
+    valid, checks = transform(job, rows, with_features, dropped)
     summary = validate.summary(checks, schemas.SERIES_KEYS[job.kind])
-    outcome = Outcome(valid, checks, summary, rejected)
+    outcome = Outcome(valid, checks, summary, rejected, delivered=rows.count())
     if target is None:
         return outcome
     if runs and run_id:
         tables.start_run(spark, runs, job.name, run_id)
     try:
-        outcome.counts = load(spark, job, valid, target, source, run_id)
+        outcome.counts = load(spark, job, valid, target, source, run_id, dropped, outcome.delivered)
     except Exception as error:
         if runs and run_id:
             tables.complete_run(spark, runs, run_id, 0, 0, error=str(error))
@@ -122,11 +139,14 @@ def run(
 
 
 def load(
-    spark: SparkSession, job: Job, valid: DataFrame, target: str, source: str | None, run_id: str | None
+    spark: SparkSession, job: Job, valid: DataFrame, target: str, source: str | None, run_id: str | None,
+    dropped: Sequence[DataFrame] = (), delivered: int | None = None,
 ) -> dict[str, int]:
-    """Rows into the job's table, rows it cannot hold into the quarantine: {total, inserted, updated, failed, merged}.
+    """Rows into the job's table, rows it cannot hold and those dropped before into the quarantine: {total, inserted,
+    updated, failed, merged}.
 
-    ``merged`` counts delivered rows that gave way to a later row of the same key, so every row is accounted for.
+    ``merged`` counts the delivered rows that were repeats, were folded into a bar or gave way to a later row of the
+    same key, so every row is accounted for.
     """
     entity = schemas.entity(job.table)
     if job.kind == "forex":
@@ -144,13 +164,17 @@ def load(
         spark, f"{target}/{job.table}", staged, list(entity.keys), parts, [entity.time, F.xxhash64(*columns)], entity.null_keys
     )
     record = lambda df: F.to_json(F.struct(*df.columns)).alias("record")
-    failed = stage(
-        bad.select(record(bad), F.col("rejected").alias("failed_checks")).unionByName(
-            invalid.select(record(invalid), "failed_checks")
-        )
+    failed = bad.select(record(bad), F.col("rejected").alias("failed_checks")).unionByName(
+        invalid.select(record(invalid), "failed_checks")
     )
+    for rows in dropped:
+        failed = failed.unionByName(rows.select(record(rows.drop("failed_checks")), "failed_checks"))
+    failed = stage(failed)
     counts["failed"] = failed.count()
     counts["merged"] = staged.count() - counts["total"]
+    if delivered is not None:
+        # Before this, cleaning and resampling only make several rows one.
+        counts["merged"] += delivered - staged.count() - counts["failed"]
     if counts["failed"]:
         tables.append(failed.withColumns({"table_name": F.lit(job.table), "run_id": F.lit(run_id)}), f"{target}/quarantine")
     return counts
