@@ -100,6 +100,18 @@ def test_inconsistent_slots_are_no_leak(frame):
     assert sorted(rows) == [0] and rows[0].item == 1
 
 
+def test_one_clash_hides_nothing_but_its_windows(frame):
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(60)]
+    words[10] = words[50] = "1987"
+    passage = " ".join(words)
+    altered = " ".join([*words[:50], "1988", *words[51:]])
+    # Two values of the question that are one value here.
+    equal = ITEM.replace("7", "5").replace("3", "5")
+    _, _, rows = judged(frame, altered, equal, passage, items=((1, passage), (2, ITEM)))
+    assert sorted((r.key, r.item) for r in rows.values()) == [(0, 1), (1, 2), (2, 1)]
+    assert not rows[0].verbatim and rows[0].n_windows < rows[0].item_windows and rows[2].verbatim
+
+
 def test_leaks_of_empty_tables(frame):
     assert judged(frame)[2] == {}
     assert judged(frame, ITEM, items=())[2] == {}

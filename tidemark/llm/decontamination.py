@@ -4,15 +4,16 @@ Texts are turned into templates: numbers, units behind a number, and names becom
 other words are lower-cased, and marks are left out. Windows of ``WINDOW`` template words of the documents
 are joined by hash with those of the benchmark, and so are windows of the words as they are. Windows on one diagonal (the same distance between the two
 places) must also fill their slots consistently: one value of the question always stands for the same value
-of the document and the other way round. A document leaks an item if consistent diagonals cover at least
-``COVERAGE`` of the item's windows.
+of the document and the other way round. Where values conflict, template windows that hold a value's less frequent
+partner do not count; windows of the words themselves have no slots and always count. A document leaks an item
+if the windows that count cover at least ``COVERAGE`` of the item's windows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytes_of import chunks, utf8
@@ -163,7 +164,7 @@ def leaks(
     """One row for each document and item that it leaks: key, item, n_windows, item_windows, coverage, verbatim.
 
     ``n_windows`` counts the item's windows that the document holds consistently; ``verbatim`` says whether all
-    slots have the item's own values. Items with fewer than ``width`` words cannot be told from chance and take no part, nor do null texts and rows with a null
+    slots have the item's own values, also those that clash. Items with fewer than ``width`` words cannot be told from chance and take no part, nor do null texts and rows with a null
     key. Items or documents with a repeated key are judged together under it.
     """
     bank = stage(_template_windows(items, item_key, item_text, width).where("key is not null"))
@@ -175,13 +176,20 @@ def leaks(
     pairs = found.join(small(bank), "hash").where(F.size("slots") == F.size("item_slots"))
     pairs = stage(pairs.select("key", "item", (F.col("place") - F.col("item_place")).alias("diagonal"), "item_place", "slots", "item_slots"))
     line = ["key", "item", "diagonal"]
-    slots = pairs.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(*line, "s.*").distinct()
+    slots = pairs.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(*line, "s.*")
+    slots = stage(slots.groupBy(*line, "item_slots", "slots").agg(F.count(F.lit(1)).alias("n")))
     values = slots.groupBy(*line).agg(
         F.count(F.lit(1)).alias("pairs"), F.countDistinct("item_slots").alias("asked"), F.countDistinct("slots").alias("given"),
         F.min(F.col("item_slots") == F.col("slots")).alias("same"),
     )
-    judged = pairs.select(*line, "item_place").join(values, line, "left")
-    judged = judged.where("pairs is null or (pairs = asked and pairs = given)")
+    clashes = values.where("pairs > asked or pairs > given").select(*line)
+    asked = Window.partitionBy(*line, "item_slots").orderBy(F.desc("n"), "slots")
+    given = Window.partitionBy(*line, "slots").orderBy(F.desc("n"), "item_slots")
+    ranked = slots.join(clashes, line, "left_semi").withColumn("a", F.row_number().over(asked)).withColumn("g", F.row_number().over(given))
+    minority = ranked.where("a > 1 or g > 1").groupBy(*line).agg(F.collect_set(F.struct("item_slots", "slots")).alias("minority"))
+    judged = pairs.join(values.select(*line, "same"), line, "left").join(minority, line, "left")
+    clash = F.arrays_overlap(F.arrays_zip("item_slots", "slots"), "minority")
+    judged = judged.where(~F.coalesce(clash, F.lit(False)))
     covered = judged.groupBy("key", "item").agg(
         F.countDistinct("item_place").alias("n_windows"), F.min(F.coalesce("same", F.lit(True))).alias("verbatim")
     )
