@@ -112,6 +112,17 @@ def test_one_clash_hides_nothing_but_its_windows(frame):
     assert not rows[0].verbatim and rows[0].n_windows < rows[0].item_windows and rows[2].verbatim
 
 
+def test_dense_and_short_items(frame):
+    items = ((1, "Add 3 kg 4 kg 5 kg 6 kg 7 kg then halve it"), (2, "What is 3 times 4?"), (3, "12 13 14 15 16 17 18"), (4, "Who is it?"))
+    texts = (
+        "Well: add 13 kg 24 kg 35 kg 46 kg 57 kg then halve it, please.", "what is 7 times 9", "Now what is 7 times 9 of all these",
+        "1 2 3 4 5 6 7", "look at 12 13 14 15 16 17 18 here", "1 1 1 1 1 1 1", "WHO is it", "1 2 3 4 5 6 7 8", "",
+    )
+    _, _, rows = judged(frame, *texts, items=items)
+    assert {(r.key, r.item, r.coverage) for r in rows.values()} == {(0, 1, 1.0), (1, 2, 1.0), (3, 3, 1.0), (4, 3, 1.0), (6, 4, 1.0)}
+    assert rows[4].verbatim and not rows[0].verbatim
+
+
 def test_leaks_of_empty_tables(frame):
     assert judged(frame)[2] == {}
     assert judged(frame, ITEM, items=())[2] == {}

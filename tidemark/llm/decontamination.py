@@ -25,6 +25,8 @@ from tidemark.session import small, stage
 
 WINDOW = 6
 COVERAGE = 0.5
+# The place of a whole text that has too few words for windows.
+WHOLE = -1
 
 UNITS = (
     "mm cm m km mg g kg t ml l s sec min h hr hrs ms inch inches foot feet ft yard yards mile miles meter meters metre metres "
@@ -106,12 +108,43 @@ def template(data: np.ndarray, edges: np.ndarray):
     return places, shown, slot, literal
 
 
+def _spans(slot: np.ndarray, base: np.ndarray, first: np.ndarray, last: np.ndarray, width: int):
+    """Of windows with too many placeholders, wider ones: (index, begin, end) of the spans inside their texts.
+
+    A span holds the window and ``width - width // 2`` literal words, of which 0, 1, ... are taken from before it. A text with
+    so many literal words has a span for each of its windows.
+    """
+    need = width - width // 2
+    literals = np.flatnonzero(slot == 0)
+    before = np.searchsorted(literals, base)
+    for j in range(need + 1):
+        begins, ends = before - j, before - j + need - 1
+        ok = np.flatnonzero((begins >= 0) & (ends < len(literals)))
+        begin = literals[begins[ok]] if j else base[ok]
+        end = np.maximum(base[ok] + width, literals[ends[ok]] + 1)
+        inside = (begin >= first[ok]) & (end <= last[ok])
+        yield ok[inside], begin[inside], end[inside]
+
+
+def _span_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of runs of words of any length, from sums of the words times powers of an odd number."""
+    step = 0x9E3779B97F4A7C15
+    powers = np.full(len(words) + 1, step, np.uint64)
+    back = np.full(len(words) + 1, pow(step, -1, 1 << 64), np.uint64)
+    powers[0] = back[0] = 1
+    powers, back = np.cumprod(powers, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_join(np.zeros(1, np.uint64), words) * powers[:-1], dtype=np.uint64)])
+    return _join(_join(np.full(len(begin), seed, np.uint64), (end - begin).astype(np.uint64)), (sums[end] - sums[begin]) * back[begin])
+
+
 def _windows(data: np.ndarray, edges: np.ndarray, width: int):
-    """Windows of ``width`` words: text, place, hash, first word, placeholder kinds and literal words.
+    """Windows of ``width`` words: text, place, hash, first word and the one behind, placeholder kinds and literal words.
 
-    First those of the template that have placeholders, at most half of their words, then those of the words themselves,
-    so that a difference in case alone, which makes a name of a word or not, hides nothing.
+    First those of the template that have placeholders, then those of the words themselves, so that a difference in case
+    alone, which makes a name of a word or not, hides nothing. Template windows in which placeholders are more than half of
+    the words are widened. A text with too few words, or too few of them literal, has its whole sequence at the place ``WHOLE``.
     """
+    need = width - width // 2
     for a, b in chunks(edges, 4_000_000):
         part = np.concatenate([data[edges[a] : edges[b]], np.zeros(16, np.uint8)])
         places, shown, slot, literal = template(part, edges[a : b + 1] - edges[a])
@@ -127,25 +160,38 @@ def _windows(data: np.ndarray, edges: np.ndarray, width: int):
             for k in range(width):
                 hashes = _join(hashes, words[k : k + total])
             at = np.flatnonzero(fits)
-            yield a + owner[at], at - places[owner[at]], hashes[at], at, kinds, literal
+            yield a + owner[at], at - places[owner[at]], hashes[at], at, at + width, kinds, literal
+        dense = np.flatnonzero(whole & (2 * filled > width))
+        texts = owner[dense]
+        if len(dense):
+            for k, begin, end in _spans(slot, dense, places[texts], places[texts + 1], width):
+                place = dense[k] - places[texts[k]]
+                yield a + texts[k], place, _span_hashes(shown, begin, end, width + 2), begin, end, slot, literal
+        literals = np.concatenate([[0], np.cumsum(slot == 0)])
+        size, held = np.diff(places), np.diff(literals[places])
+        for words, kinds, short in ((shown, slot, (size > 0) & ((size < width) | (held < need))), (literal, plain, (size > 0) & (size < width))):
+            texts = np.flatnonzero(short)
+            if len(texts):
+                begin, end = places[texts], places[texts + 1]
+                yield a + texts, np.full(len(texts), WHOLE), _span_hashes(words, begin, end, width + 3 + (kinds is plain)), begin, end, kinds, literal
 
 
-def _slots(at: np.ndarray, slot: np.ndarray, literal: np.ndarray, width: int) -> list[list[int]]:
+def _slots(begin: np.ndarray, end: np.ndarray, slot: np.ndarray, literal: np.ndarray) -> list[list[int]]:
     """The literal words behind the placeholders of each window, in order."""
     signed = literal.view(np.int64)
-    return [[int(signed[p]) for p in range(x, x + width) if slot[p]] for x in at]
+    return [[int(signed[p]) for p in range(x, y) if slot[p]] for x, y in zip(begin, end, strict=True)]
 
 
 def _emit(width: int, wanted: KeySet | None):
     def run(batches):
         for batch in batches:
-            for text, place, hashes, at, slot, literal in _windows(*utf8(batch.column(1)), width):
+            for text, place, hashes, begin, end, slot, literal in _windows(*utf8(batch.column(1)), width):
                 if wanted is not None:
                     keep = np.flatnonzero(wanted.may_hold(hashes.view(np.int64)))
-                    text, place, hashes, at = text[keep], place[keep], hashes[keep], at[keep]
+                    text, place, hashes, begin, end = text[keep], place[keep], hashes[keep], begin[keep], end[keep]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(text)), pa.array(place), pa.array(hashes.view(np.int64)),
-                     pa.array(_slots(at, slot, literal, width), pa.list_(pa.int64()))],
+                     pa.array(_slots(begin, end, slot, literal), pa.list_(pa.int64()))],
                     names=["key", "place", "hash", "slots"],
                 )
 
@@ -164,16 +210,20 @@ def leaks(
     """One row for each document and item that it leaks: key, item, n_windows, item_windows, coverage, verbatim.
 
     ``n_windows`` counts the item's windows that the document holds consistently; ``verbatim`` says whether all
-    slots have the item's own values, also those that clash. Items with fewer than ``width`` words cannot be told from chance and take no part, nor do null texts and rows with a null
-    key. Items or documents with a repeated key are judged together under it.
+    slots have the item's own values, also those that clash. Items with fewer than ``width`` words cannot be told
+    from chance inside a text, so a document leaks them if they are its whole text; the same holds for other values in an item
+    that has fewer than ``width - width // 2`` words beside them. Null texts and rows with a null key take no part. Items or
+    documents with a repeated key are judged together under it.
     """
     bank = stage(_template_windows(items, item_key, item_text, width).where("key is not null"))
     # Only windows that the benchmark may hold leave the scan; the bit map has a fixed largest size.
     wanted = key_set(bank.select(F.col("hash").alias("h")).distinct(), each=4096)
     found = _template_windows(docs, key, text, width, wanted).where("key is not null")
     bank = bank.select(F.col("key").alias("item"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"))
-    sizes = bank.groupBy("item").agg(F.countDistinct("item_place").alias("item_windows"))
+    in_text = F.when(F.col("item_place") != WHOLE, F.col("item_place"))
+    sizes = bank.groupBy("item").agg(F.greatest(F.countDistinct(in_text), F.lit(1)).alias("item_windows"))
     pairs = found.join(small(bank), "hash").where(F.size("slots") == F.size("item_slots"))
+    pairs = pairs.where((F.col("place") == WHOLE) == (F.col("item_place") == WHOLE))
     pairs = stage(pairs.select("key", "item", (F.col("place") - F.col("item_place")).alias("diagonal"), "item_place", "slots", "item_slots"))
     line = ["key", "item", "diagonal"]
     slots = pairs.select(*line, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(*line, "s.*")
@@ -191,10 +241,12 @@ def leaks(
     clash = F.arrays_overlap(F.arrays_zip("item_slots", "slots"), "minority")
     judged = judged.where(~F.coalesce(clash, F.lit(False)))
     covered = judged.groupBy("key", "item").agg(
-        F.countDistinct("item_place").alias("n_windows"), F.min(F.coalesce("same", F.lit(True))).alias("verbatim")
+        F.countDistinct(in_text).alias("n_windows"), F.min(F.coalesce("same", F.lit(True))).alias("verbatim"),
+        F.max(F.col("item_place") == WHOLE).alias("whole"),
     )
+    covered = covered.join(sizes, "item").withColumn("n_windows", F.when(F.col("whole"), F.col("item_windows")).otherwise(F.col("n_windows")))
     shared = F.col("n_windows") / F.col("item_windows")
-    out = covered.join(sizes, "item").where(shared >= coverage)
+    out = covered.where(shared >= coverage)
     return out.select("key", "item", "n_windows", "item_windows", shared.alias("coverage"), "verbatim")
 
 
