@@ -94,6 +94,18 @@ def test_one_of_each_group(frame):
     assert sorted(r.doc_id for r in rows.collect()) == sorted(d for d, (_, c) in groups(docs).items() if c == d)
 
 
+def test_one_of_each_group_decides_by_row(frame):
+    text, near = " ".join(WORDS), " ".join(WORDS[:-1])
+    other = "a text that is like nothing else in this table at all"
+    back = WORDS[::-1]
+    rows = [(1, text), (4, near), (4, other), (7, " ".join(back)), (7, " ".join(back[:-1])), (None, text), (None, "alone in here"), (None, "alone in here")]
+    rows += [(8, None), (8, None), (None, None)]
+    kept = jaccard.one_of_each_group(frame(DDL, *wrap(rows)), "doc_id", "text").collect()
+    found = [(r.doc_id, r.text) for r in kept]
+    assert [x[0] for x in found].count(7) == 1
+    assert sorted(map(str, (x for x in found if x[0] != 7))) == sorted(map(str, [(1, text), (4, other), (None, "alone in here"), (8, None), (None, None)]))
+
+
 def test_components(frame):
     pick = random.Random(3)
     chain = [(k, k + 1) for k in range(40)] + [(100, pick.randint(101, 160)) for _ in range(40)] + [(200, 201), (203, 201), (7, 7)]

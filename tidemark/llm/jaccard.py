@@ -29,9 +29,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.bytes_of import utf8
-from tidemark.llm.common import named, partitions
+from tidemark.llm.common import named, own, partitions
 from tidemark.llm.components import components
 from tidemark.llm.keyset import KeySet, key_set
 from tidemark.session import small, stage
@@ -292,14 +293,8 @@ def _links(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(_products(percent), "a binary, b binary").distinct()
 
 
-def near_duplicates(df: DataFrame, key: str, text: str, percent: int = PERCENT) -> DataFrame:
-    """key, n_shingles and component_id of each row: the smallest key that links reach from it.
-
-    Two texts link when 100 * |A and B| >= percent * |A or B| for their sets of five-word shingles; texts
-    with equal sets link. A null text, or one without a word, has no shingle and no link; its component is
-    its own key. Rows with a null key link as others do and get the smallest key of their group, null if
-    there is none. Repeated rows are kept. Other columns are left out.
-    """
+def _labelled(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """(key, n, sid, comp) of each row: its number of shingles, the id of their set and the least id of its group, if it has any."""
     slim = df.select(named(df, key).alias("key"), named(df, text).cast("string").alias("text"))
     texts = slim.select("text")
     kind = dict(slim.dtypes)["key"]
@@ -310,21 +305,64 @@ def near_duplicates(df: DataFrame, key: str, text: str, percent: int = PERCENT)
     entries = stage(_prefixes(entries, sizes, percent))
     found = components(stage(_links(texts, entries, percent)))
     labelled = rows.join(found.withColumnRenamed("node", "_sid"), F.col("sid") == F.col("_sid"), "left")
-    labelled = stage(labelled.select("key", "n", F.when(F.col("n") > 0, F.coalesce("comp", "sid")).alias("comp")))
+    return stage(labelled.select("key", "n", "sid", F.when(F.col("n") > 0, F.coalesce("comp", "sid")).alias("comp")))
+
+
+def near_duplicates(df: DataFrame, key: str, text: str, percent: int = PERCENT) -> DataFrame:
+    """key, n_shingles and component_id of each row: the smallest key that links reach from it.
+
+    Two texts link when 100 * |A and B| >= percent * |A or B| for their sets of five-word shingles; texts
+    with equal sets link. A null text, or one without a word, has no shingle and no link; its component is
+    its own key. Rows with a null key link as others do and get the smallest key of their group, null if
+    there is none. Repeated rows are kept. Other columns are left out.
+    """
+    labelled = _labelled(df, key, text, percent)
     smallest = labelled.where("comp is not null").groupBy(F.col("comp").alias("_comp")).agg(F.min("key").alias("least"))
     out = labelled.join(smallest, F.col("comp") == F.col("_comp"), "left")
     return out.select("key", F.col("n").alias("n_shingles"), F.when(F.col("comp").isNull(), F.col("key")).otherwise(F.col("least")).alias("component_id"))
 
 
+def _set_ids(batches):
+    """The rows with the size and the id of the shingle set of their last column, in place of that column."""
+    from tidemark.llm.shingles import shingle_sets
+
+    for batch in batches:
+        sets = shingle_sets(*utf8(batch.column(batch.num_columns - 1)))
+        made = [pa.array([len(s) for s in sets], pa.int64()), pa.array(_sids(sets), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*batch.schema.names[:-1], "n", "sid"])
+
+
 def one_of_each_group(df: DataFrame, key: str, text: str, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``df``, with all their columns, whose key is the smallest of its group; equal rows of one key are one.
+    """One row of each group, with all its columns: that of the smallest key, and of the least set and text among rows of that key.
 
-    Rows with a null key stay. The texts are shuffled only where the keys to leave out are too many to broadcast.
+    It is decided for each row, so rows of one key with different texts stay as long as no other row is like them; a row with a
+    null key stays only where no row of its group has a key. A text without a word is in no group: equal rows of one key are
+    one, and those with a null key stay. The texts are shuffled only where the keys to leave out are too many to broadcast.
     """
-    found = near_duplicates(df, key, text, percent).where(F.col("key").isNotNull())
-    found = stage(found.groupBy("key").agg(F.min("component_id").alias("least"), F.count(F.lit(1)).alias("times")))
-    out = small(stage(found.where(F.col("key") != F.col("least")).select(F.col("key").alias("_out"))))
-    twice = small(stage(found.where((F.col("key") == F.col("least")) & (F.col("times") > 1)).select(F.col("key").alias("_twice"))))
-    rows = df.join(out, named(df, key) == out["_out"], "left_anti")
-    several = rows.join(twice, named(rows, key) == twice["_twice"], "left_semi").dropDuplicates([key, text])
-    return rows.join(twice, named(rows, key) == twice["_twice"], "left_anti").unionByName(several)
+    found = _labelled(df, key, text, percent)
+    twice = found.where("key is not null").groupBy(F.col("key").alias("_twice")).agg(F.count(F.lit(1)).alias("times"))
+    twice = small(stage(twice.where("times > 1").select("_twice")))
+    first = found.where("n > 0").groupBy(F.col("comp").alias("_comp")).agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "sid")).alias("first"))
+    first = stage(first)
+    judged = found.join(first, F.col("comp") == F.col("_comp"))
+    out = small(stage(judged.where(F.col("key") != F.col("first.key")).select(F.col("key").alias("_out")).distinct()))
+    keyed = df.where(named(df, key).isNotNull())
+    rows = keyed.join(twice, named(keyed, key) == twice["_twice"], "left_anti")
+    rows = rows.join(out, named(rows, key) == out["_out"], "left_anti")
+    # Rows whose key is not theirs alone are told apart by their sets.
+    several = keyed.join(twice, named(keyed, key) == twice["_twice"], "left_semi").unionByName(df.where(named(df, key).isNull()))
+    size, sid = own(df, "_n"), own(df, "_sid")
+    schema = T.StructType([*several.schema.fields, T.StructField(size, T.LongType()), T.StructField(sid, T.BinaryType())])
+    several = several.select("*", named(several, text).cast("string").alias(own(df, "_text"))).mapInArrow(_set_ids, schema)
+    kept = first.select(F.col("first.key").alias("_key"), F.col("first.sid").alias("_first"))
+    kept = kept.join(twice, F.col("_key") == F.col("_twice"), "left_semi").unionByName(kept.where("_key is null"))
+    kept = small(stage(kept))
+    k, worded = named(several, key), named(several, size) > 0
+    grouped = several.where(worded).join(kept, k.eqNullSafe(kept["_key"]) & (named(several, sid) == kept["_first"]), "left_semi")
+    bare = several.where(~worded)
+    for part, same in ((grouped, [key, sid]), (bare.where(k.isNotNull()), [key, text])):
+        place = F.row_number().over(Window.partitionBy(*[named(part, c) for c in same]).orderBy(named(part, text)))
+        rank = own(part, "_rank")
+        part = part.withColumn(rank, place).where(F.col(rank) == 1)
+        rows = rows.unionByName(part.select(*[named(part, c) for c in df.columns]))
+    return rows.unionByName(bare.where(k.isNull()).select(*[named(bare, c) for c in df.columns]))
