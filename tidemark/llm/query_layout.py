@@ -18,6 +18,13 @@ SHARDS = 16
 CAPACITY = 1024
 END = 2
 
+# SQL for the table of the CRC-32 checksum.
+CRC_TABLE = """bits(k, i, v) AS (
+  SELECT k, 0, k FROM range(256) t(k)
+  UNION ALL
+  SELECT k, i + 1, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END FROM bits WHERE i < 8
+), crc AS (SELECT list(v ORDER BY k) AS c FROM bits WHERE i = 8)"""
+
 
 def op2_sharding(spark, folder):
     found = sharding.digest(table(spark, folder, "documents"), "doc_id", "text", SHARDS)
@@ -28,11 +35,7 @@ def op2_sharding(spark, folder):
 
 QUERIES["op2_sharding"] = op2_sharding
 ORACLES["op2_sharding"] = f"""
-WITH RECURSIVE bits(k, i, v) AS (
-  SELECT k, 0, k FROM range(256) t(k)
-  UNION ALL
-  SELECT k, i + 1, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END FROM bits WHERE i < 8
-), crc AS (SELECT list(v ORDER BY k) AS c FROM bits WHERE i = 8),
+WITH RECURSIVE {CRC_TABLE},
 sums AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, rowid_,
     xor(4294967295, list_reduce(
