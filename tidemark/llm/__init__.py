@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("query_tokens", "query_layout", "query_text", "query_pairs", "query_vectors", "query_manifest")
+_MODULES = ("query_tokens", "query_layout", "query_text", "query_pairs", "query_vectors", "query_manifest", "query_runs")
 
 
 def _collect(attribute: str) -> dict:
