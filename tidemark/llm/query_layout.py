@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, sharding, token_files
+from tidemark.llm import packing, sharding, token_files, vector_packing
 from tidemark.llm.common import table
 from tidemark.session import shared_folder
 
@@ -17,6 +17,9 @@ ORACLES: dict = {}
 SHARDS = 16
 CAPACITY = 1024
 END = 2
+# Instruction data: at most so many tokens, segments and tokens that bear loss in a sequence, and the end of an example.
+LIMITS = vector_packing.Limits(tokens=2048, segments=64, loss=2048)
+EXAMPLE_END = 1
 
 # SQL for the table of the CRC-32 checksum.
 CRC_TABLE = """bits(k, i, v) AS (
@@ -70,4 +73,14 @@ def op9_token_files(spark, folder):
     return token_files.digest(spark, out).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
-QUERIES |= {"op8_packing": op8_packing, "op9_token_files": op9_token_files}
+def op11_vector_packing(spark, folder):
+    """Documents are examples of one part that bears loss; the sequences are as long as their pieces together."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, folder, "documents")
+    found = vector_packing.pack(docs, "doc_id", [("text", True)], path, LIMITS, EXAMPLE_END)
+    return found.select(
+        F.col("key").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss"
+    )
+
+
+QUERIES |= {"op11_vector_packing": op11_vector_packing, "op8_packing": op8_packing, "op9_token_files": op9_token_files}
