@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bytes_of import chunks, utf8
 from tidemark.llm.common import named
 from tidemark.llm.keyset import KeySet, key_set
+from tidemark.llm.memory import released, slices
 from tidemark.llm.pieces import piece_hash
 from tidemark.llm.shingles import _join
 from tidemark.session import small, stage
@@ -145,7 +146,7 @@ def _windows(data: np.ndarray, edges: np.ndarray, width: int):
     the words are widened. A text with too few words, or too few of them literal, has its whole sequence at the place ``WHOLE``.
     """
     need = width - width // 2
-    for a, b in chunks(edges, 4_000_000):
+    for a, b in chunks(edges, 1_000_000):
         part = np.concatenate([data[edges[a] : edges[b]], np.zeros(16, np.uint8)])
         places, shown, slot, literal = template(part, edges[a : b + 1] - edges[a])
         total = max(0, len(shown) - width + 1)
@@ -184,7 +185,7 @@ def _slots(begin: np.ndarray, end: np.ndarray, slot: np.ndarray, literal: np.nda
 
 def _emit(width: int, wanted: KeySet | None):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [1])):
             for text, place, hashes, begin, end, slot, literal in _windows(*utf8(batch.column(1)), width):
                 if wanted is not None:
                     keep = np.flatnonzero(wanted.may_hold(hashes.view(np.int64)))
@@ -195,7 +196,7 @@ def _emit(width: int, wanted: KeySet | None):
                     names=["key", "place", "hash", "slots"],
                 )
 
-    return run
+    return released(run)
 
 
 def _template_windows(df: DataFrame, key: str, text: str, width: int, wanted: KeySet | None = None) -> DataFrame:

@@ -35,6 +35,7 @@ from tidemark.llm.bytes_of import utf8
 from tidemark.llm.common import named, own, partitions
 from tidemark.llm.components import components
 from tidemark.llm.keyset import KeySet, key_set
+from tidemark.llm.memory import released, slices
 from tidemark.session import small, stage
 
 PERCENT = 75
@@ -49,7 +50,7 @@ BLOCK_ROWS = 1024
 # N-grams of so many classes of a task enter its dense product, so many at a time.
 DENSE_FROM = 12
 _DENSE_COLUMNS = 512
-_SEEN = 500_000
+_SEEN = 100_000
 _LIMIT = np.uint64(int(SHARE * 2**32) << 32)
 
 
@@ -69,7 +70,7 @@ def _nodes(sids: list[bytes]) -> np.ndarray:
 def _classes(batches):
     from tidemark.llm.shingles import shingle_sets
 
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, [1])):
         sets = shingle_sets(*utf8(batch.column(1)))
         sids = _sids(sets)
         counted = [int(np.searchsorted(s, _LIMIT)) for s in sets]
@@ -84,7 +85,7 @@ def _sketch(batches):
     from tidemark.llm.shingles import shingle_sets
 
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, [0])):
         sets = shingle_sets(*utf8(batch.column(0)))
         if sets:
             counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
@@ -105,7 +106,7 @@ def count_sketch(texts: DataFrame) -> np.ndarray:
     """In how many texts the n-grams of each of 2^SKETCH_BITS cells occur; its size does not depend on the input."""
     schema = "block int, counts binary"
     # Two steps, so that no task holds the cells of all scan tasks.
-    cells = texts.mapInArrow(_sketch, schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
+    cells = texts.mapInArrow(released(_sketch), schema).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
     cells = cells.groupBy("block", "_salt").applyInPandas(_add, schema).groupBy("block").applyInPandas(_add, schema)
     total = np.zeros(1 << SKETCH_BITS, np.int64)
     for r in cells.collect():
@@ -123,7 +124,7 @@ def _columns(sketch, percent: int):
         usual = 2 * counts.mean() + 16
         salts = 1 + np.maximum(0, counts - usual).astype(np.int64) // COLUMN_ROWS
         seen: set[int] = set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [0])):
             sets = shingle_sets(*utf8(batch.column(0)))
             grams, owner, about = [], [], []
             for s, node in zip(sets, _nodes(_sids(sets)), strict=True):
@@ -181,7 +182,7 @@ def _blobs(wanted: KeySet):
         from tidemark.llm.shingles import shingle_sets
 
         pack, seen = zstandard.ZstdCompressor(3), set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [0])):
             data, edges = utf8(batch.column(0))
             sids = _sids(shingle_sets(data, edges))
             rows = [int(k) for k in np.flatnonzero(wanted.may_hold(_nodes(sids)))] if sids else []
@@ -285,12 +286,12 @@ def _links(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = stage(rows.select(F.col("comp").alias("block"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.col("node").alias("want")))
     asked = stage(rows.select("want").distinct())
-    blobs = texts.mapInArrow(_blobs(key_set(asked.select(F.col("want").alias("h")))), "sid binary, node bigint, blob binary")
+    blobs = texts.mapInArrow(released(_blobs(key_set(asked.select(F.col("want").alias("h"))))), "sid binary, node bigint, blob binary")
     blobs = blobs.join(asked, blobs["node"] == asked["want"], "left_semi")
     blobs = stage(blobs.dropDuplicates(["sid"]))
     rows = rows.join(blobs, rows["want"] == blobs["node"]).select("block", "low", "high", "sid", "blob")
     rows = rows.repartition(partitions(rows), "block", "low", "high").sortWithinPartitions("block", "low", "high", "sid")
-    return rows.mapInArrow(_products(percent), "a binary, b binary").distinct()
+    return rows.mapInArrow(released(_products(percent)), "a binary, b binary").distinct()
 
 
 def _labelled(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
@@ -298,9 +299,9 @@ def _labelled(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     slim = df.select(named(df, key).alias("key"), named(df, text).cast("string").alias("text"))
     texts = slim.select("text")
     kind = dict(slim.dtypes)["key"]
-    rows = stage(slim.mapInArrow(_classes, f"key {kind}, n bigint, sid binary, node bigint, counted bigint"))
+    rows = stage(slim.mapInArrow(released(_classes), f"key {kind}, n bigint, sid binary, node bigint, counted bigint"))
     sketch = df.sparkSession.sparkContext.broadcast(count_sketch(texts))
-    entries = texts.mapInArrow(_columns(sketch, percent), "gram bigint, node bigint, about bigint")
+    entries = texts.mapInArrow(released(_columns(sketch, percent)), "gram bigint, node bigint, about bigint")
     sizes = rows.groupBy("node").agg(F.min("n").alias("n"), F.min("counted").alias("counted"))
     entries = stage(_prefixes(entries, sizes, percent))
     found = components(stage(_links(texts, entries, percent)))
@@ -326,7 +327,7 @@ def _set_ids(batches):
     """The rows with the size and the id of the shingle set of their last column, in place of that column."""
     from tidemark.llm.shingles import shingle_sets
 
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, [whole.num_columns - 1])):
         sets = shingle_sets(*utf8(batch.column(batch.num_columns - 1)))
         made = [pa.array([len(s) for s in sets], pa.int64()), pa.array(_sids(sets), pa.binary())]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*batch.schema.names[:-1], "n", "sid"])
@@ -353,7 +354,7 @@ def one_of_each_group(df: DataFrame, key: str, text: str, percent: int = PERCENT
     several = keyed.join(twice, named(keyed, key) == twice["_twice"], "left_semi").unionByName(df.where(named(df, key).isNull()))
     size, sid = own(df, "_n"), own(df, "_sid")
     schema = T.StructType([*several.schema.fields, T.StructField(size, T.LongType()), T.StructField(sid, T.BinaryType())])
-    several = several.select("*", named(several, text).cast("string").alias(own(df, "_text"))).mapInArrow(_set_ids, schema)
+    several = several.select("*", named(several, text).cast("string").alias(own(df, "_text"))).mapInArrow(released(_set_ids), schema)
     kept = first.select(F.col("first.key").alias("_key"), F.col("first.sid").alias("_first"))
     kept = kept.join(twice, F.col("_key") == F.col("_twice"), "left_semi").unionByName(kept.where("_key is null"))
     kept = small(stage(kept))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import named, own
+from tidemark.llm.memory import release
 from tidemark.session import small, stage
 
 # The classifier learns from at most so many labelled rows of each language, those with the smallest hash of the key.
@@ -163,8 +165,12 @@ def _predictor(df: DataFrame, model: Model):
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score", "ambiguous"])
+    def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        try:
+            for texts in parts:
+                yield pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score", "ambiguous"])
+        finally:
+            release()
 
     return predict
 

@@ -25,8 +25,17 @@ def slices(batch: pa.RecordBatch, columns: Iterable[int], most: int = SLICE_BYTE
         yield batch.slice(first)
 
 
-def released(run, *forget):
-    """A function over batches that, when its task ends, calls ``forget`` and gives freed memory back to the system.
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it gives back on its own terms
+
+
+def released(run):
+    """A function over batches that, when its task ends, gives freed memory back to the system.
 
     Workers are reused by later stages, so what one keeps would count against all of them.
     """
@@ -35,13 +44,6 @@ def released(run, *forget):
         try:
             yield from run(batches)
         finally:
-            for one in forget:
-                one()
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):
-                pass  # another C library: it gives back on its own terms
+            release()
 
     return wrapped

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import named, number_rows
+from tidemark.llm.memory import released, slices
 from tidemark.session import stage
 
 
@@ -88,7 +89,7 @@ def _cut(path: str, end: int | None, capacity: int, with_ids: bool):
     def run(batches):
         from tidemark.llm.pieces import encoder
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [1])):
             keys, row, number, start, size, sums, kept = batch.column(0), [], [], [], [], [], []
             for k, ids in enumerate(encoder(path).encode(batch.column(1).to_pylist())):
                 ids = ids.astype("<u4") if end is None else np.append(ids, end).astype("<u4")
@@ -115,7 +116,7 @@ def _cut(path: str, end: int | None, capacity: int, with_ids: bool):
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return run
+    return released(run)
 
 
 def cut(df: DataFrame, key: str, text: str, path: str, capacity: int, end: int | None, with_ids: bool = False) -> DataFrame:

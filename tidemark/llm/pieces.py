@@ -19,9 +19,9 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SUFFIXES = ("s", "t", "m", "d", "re", "ve", "ll")
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
-# A worker forgets its pieces when it holds so many; that costs time only.
-MOST_PIECES = 2_000_000
-_BATCH_CHARS = 2_000_000
+# A worker forgets its pieces when it holds so many (some 70 bytes each); that costs time only.
+MOST_PIECES = 600_000
+_BATCH_CHARS = 500_000
 
 
 def _classes() -> np.ndarray:
@@ -127,17 +127,25 @@ def kind_of(spec: dict) -> str:
     return ""
 
 
-class PieceEncoder:
-    """Encodes batches of texts with one tokenizer file; lives in a worker and learns pieces as they come."""
+_LIBRARY: dict[str, tuple] = {}
 
-    def __init__(self, path: str, most_pieces: int = MOST_PIECES) -> None:
+
+def _library(path: str) -> tuple:
+    """The library's tokenizer of a file, its kind and its special strings; one for a worker, as the library never frees one."""
+    if path not in _LIBRARY:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.library = Tokenizer.from_file(path)
-        self.kind = kind_of(spec)
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        _LIBRARY[path] = Tokenizer.from_file(path), kind_of(spec), [t["content"] for t in spec["added_tokens"]]
+    return _LIBRARY[path]
+
+
+class PieceEncoder:
+    """Encodes batches of texts with one tokenizer file; lives in a worker and learns pieces as they come."""
+
+    def __init__(self, path: str, most_pieces: int = MOST_PIECES) -> None:
+        self.library, self.kind, self.special = _library(path)
         self.classes = _classes()
         self.most_pieces = most_pieces
         self.lengths_only: dict = {}

@@ -28,12 +28,15 @@ from pyspark.sql import types as T
 from tidemark.llm.bytes_of import chunks, utf8
 from tidemark.llm.common import named, partitions
 from tidemark.llm.keyset import KeySet, key_set
+from tidemark.llm.memory import released, slices
 from tidemark.llm.pieces import _mix
 from tidemark.session import small, stage
 
 LENGTH = 100
 GRAM = 32
-_TILE = 1_000_000
+_TILE = 500_000
+# Texts whose equal entries are found before the shuffle, in bytes.
+BATCH_BYTES = 8_000_000
 # Classes of one anchor in a batch beyond which they are dealt out by class.
 ANCHOR_ROWS = 64
 # Entries of one third digit beyond which every window is dealt out on its own.
@@ -119,9 +122,7 @@ def _unpack(place):
 
 def _find(length: int, gram: int):
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in slices(whole, [2], BATCH_BYTES)):
             text, digit, span, lo, hi, anchor = entries(*utf8(batch.column(2)), length, gram)
             if not len(text):
                 continue
@@ -337,7 +338,7 @@ def _blobs(wanted: KeySet, names: list[str]):
         import zstandard
 
         pack = zstandard.ZstdCompressor(3)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [2])):
             rows = np.flatnonzero(wanted.may_hold(batch.column(3).to_numpy()))
             chosen = batch.take(pa.array(rows))
             data, edges = utf8(chosen.column(2))
@@ -358,7 +359,7 @@ def _with_text(docs: DataFrame, per_doc: DataFrame) -> DataFrame:
     more = docs.columns[3:]
     fields = {f.name: f for f in docs.schema}
     schema = T.StructType([fields["key"], fields["tid"], T.StructField("blob", T.BinaryType()), *[fields[c] for c in more]])
-    blobs = docs.select("key", "tid", "text", F.xxhash64("key", "tid").alias("h"), *more).mapInArrow(_blobs(wanted, schema.names), schema)
+    blobs = docs.select("key", "tid", "text", F.xxhash64("key", "tid").alias("h"), *more).mapInArrow(released(_blobs(wanted, schema.names)), schema)
     per_doc = per_doc.toDF("_key", "_tid", "places")
     match = blobs["key"].eqNullSafe(per_doc["_key"]) & (blobs["tid"] == per_doc["_tid"])
     return blobs.join(per_doc, match).select("key", "tid", "blob", "places", *more)
@@ -387,17 +388,17 @@ def repeated_spans(
     several = slim.join(twice, known, "left_semi").withColumn("tid", content)
     whole = single.unionByName(several).select("key", "tid", "text", *["carry"] * bool(carry))
     docs = single.select("key", "tid", "text").unionByName(several.select("key", "tid", "text").dropDuplicates(["key", "tid"]))
-    rows = docs.mapInArrow(_find(length, gram), f"digit bigint, span bigint, key {kind}, tid bigint, place bigint")
+    rows = docs.mapInArrow(released(_find(length, gram)), f"digit bigint, span bigint, key {kind}, tid bigint, place bigint")
     rows = rows.repartition(partitions(rows), "digit").sortWithinPartitions("digit", "span", "key", "tid", "place")
-    marks = stage(rows.mapInArrow(_sort_out, f"key {kind}, tid bigint, place bigint"))
+    marks = stage(rows.mapInArrow(released(_sort_out), f"key {kind}, tid bigint, place bigint"))
     is_open = F.col("place").bitwiseAND(F.lit(3)) == OPEN
     row = f"digit bigint, key {kind}, tid bigint, first bigint, before int, rest binary"
-    contents = stage(_with_text(docs, _places(marks.where(is_open))).mapInArrow(_contents(length, gram), row))
+    contents = stage(_with_text(docs, _places(marks.where(is_open))).mapInArrow(released(_contents(length, gram)), row))
     crowded = contents.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > DIGIT_ROWS)
     crowded = small(stage(crowded.select(F.col("digit").alias("_digit"), F.lit(1).alias("crowded"))))
-    dealt = contents.join(crowded, contents["digit"] == crowded["_digit"], "left").drop("_digit").mapInArrow(_deal(length, gram), row)
+    dealt = contents.join(crowded, contents["digit"] == crowded["_digit"], "left").drop("_digit").mapInArrow(released(_deal(length, gram)), row)
     dealt = dealt.repartition(partitions(dealt), "digit").sortWithinPartitions("digit", "key", "tid", "first")
-    resolved = dealt.mapInArrow(_resolve(length, gram), f"key {kind}, tid bigint, place bigint")
+    resolved = dealt.mapInArrow(released(_resolve(length, gram)), f"key {kind}, tid bigint, place bigint")
     return whole, docs, marks.where(~is_open).unionByName(resolved)
 
 
@@ -451,7 +452,7 @@ def without_repeats(df: DataFrame, key: str, text: str, length: int = LENGTH, gr
     """
     rows, docs, marks = repeated_spans(df, key, text, length, gram)
     schema = f"key {dict(docs.dtypes)['key']}, tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    cut = _with_text(docs, _places(marks)).mapInArrow(_digests(length), schema)
+    cut = _with_text(docs, _places(marks)).mapInArrow(released(_digests(length)), schema)
     cut = cut.withColumnsRenamed({"key": "_key", "tid": "_tid", "kept_sha256": "_sha"})
     content = F.coalesce("text", F.lit("")).cast("binary")
     whole = rows.select("key", "tid", F.length(content).cast("bigint").alias("n_bytes"), F.sha2(content, 256).alias("sha"))
@@ -473,7 +474,7 @@ def trimmed(df: DataFrame, key: str, text: str, length: int = LENGTH, gram: int
     rows, _, marks = repeated_spans(df, key, text, length, gram, others)
     per_doc = _places(marks)
     schema = T.StructType([T.StructField("text", T.StringType()), rows.schema["carry"]])
-    cut = _with_text(rows, per_doc).mapInArrow(_kept(length), schema)
+    cut = _with_text(rows, per_doc).mapInArrow(released(_kept(length)), schema)
     keys = small(per_doc.select(F.col("key").alias("_key"), F.col("tid").alias("_tid")))
     same = rows["key"].eqNullSafe(keys["_key"]) & (rows["tid"] == keys["_tid"])
     out = rows.join(keys, same, "left_anti").select("text", "carry").unionByName(cut)

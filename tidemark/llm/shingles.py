@@ -26,7 +26,7 @@ def shingle_sets(data: np.ndarray, edges: np.ndarray, width: int = WIDTH) -> lis
     without a word has none.
     """
     out: list[np.ndarray] = []
-    for a, b in chunks(edges, 4_000_000):
+    for a, b in chunks(edges, 1_000_000):
         part = _LOWER[data[edges[a] : edges[b] + 8]]
         part[-8:] = 0
         inner = edges[a : b + 1] - edges[a]

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import named, partitions
+from tidemark.llm.memory import released, slices
 from tidemark.session import small, stage
 
 WRITER = {
@@ -33,7 +34,7 @@ def _encode(path: str, end: int | None, names: list[str]):
     def run(batches):
         from tidemark.llm.pieces import encoder
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [2])):
             ids = encoder(path).encode(batch.column(2).to_pylist())
             tail = 0 if end is None else 1
             sizes = np.array([len(x) + tail for x in ids], np.int64)
@@ -46,7 +47,7 @@ def _encode(path: str, end: int | None, names: list[str]):
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), lists], names=names)
 
-    return run
+    return released(run)
 
 
 def write_tokens(df: DataFrame, key: str, text: str, path: str, out: str, end: int | None = None) -> None:

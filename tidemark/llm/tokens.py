@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import named
+from tidemark.llm.memory import released, slices
 
 # Bounds of tier one: rows that are looked at, and pieces that are broadcast (12 bytes each).
 SAMPLE_ROWS = 2_000
@@ -32,7 +33,7 @@ def _count_pieces(path: str, keep: int):
         from tidemark.llm.pieces import PieceEncoder
 
         encoder, seen = PieceEncoder(path), None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [0])):
             texts = [t for t in _strings(batch.column(0)) if t]
             for easy, _ in encoder._sorted_out(texts):
                 if easy:
@@ -57,7 +58,7 @@ def frequent_pieces(df: DataFrame, key: str, text: str, path: str, sample_rows:
     total = df.count()
     every = max(1, -(-total // sample_rows))
     chosen = df.where(F.pmod(F.xxhash64(named(df, key)), F.lit(every)) == 0).select(named(df, text).cast("string").alias("text"))
-    parts = chosen.mapInArrow(_count_pieces(path, keep), "keys binary, lengths binary, seen binary").collect()
+    parts = chosen.mapInArrow(released(_count_pieces(path, keep)), "keys binary, lengths binary, seen binary").collect()
     keys = np.concatenate([np.frombuffer(p.keys, np.uint64) for p in parts] or [np.zeros(0, np.uint64)])
     lengths = np.concatenate([np.frombuffer(p.lengths, np.int32) for p in parts] or [np.zeros(0, np.int32)])
     seen = np.concatenate([np.frombuffer(p.seen, np.int64) for p in parts] or [np.zeros(0, np.int64)])
@@ -82,14 +83,14 @@ def token_counts(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
 
     def run(batches):
         counts = _counter(path, known)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [1])):
             texts = batch.column(1)
             sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), sizes, pa.array(counts(_strings(texts)), pa.int64())], names=["key", "n_bytes", "n_tokens"]
             )
 
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(released(run), schema)
 
 
 def _counter(path: str, known):

@@ -146,12 +146,6 @@ def plan(counts: dict[int, int], limits: Limits, shorten: bool = True) -> np.nda
     return out[np.lexsort((out[:, 1], out[:, 0]))]
 
 
-def _forget() -> None:
-    from tidemark.llm import pieces
-
-    pieces._ENCODERS.clear()
-
-
 def _cut(path: str, end: int | None, bearing: list[bool], limits: Limits, names: list[str], key_type: pa.DataType, every_id: bool):
     schema = pa.schema(
         [("key", key_type)] + [(n, pa.int64()) for n in names[1:-1]] + [(names[-1], pa.binary())]
@@ -192,7 +186,7 @@ def _cut(path: str, end: int | None, bearing: list[bool], limits: Limits, names:
                 if cells:
                     yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keys, pa.int64())), *columns], schema=schema)
 
-    return released(run, _forget)
+    return released(run)
 
 
 def cut(df: DataFrame, key: str, parts: list[tuple[str, bool]], path: str, limits: Limits, end: int | None, every_id: bool) -> DataFrame:
@@ -227,7 +221,7 @@ def _places(shared):
                 on = hit[:, 6] >= 0
                 row, code, number, at = row[on], hit[on, 6], hit[on, 7] + past[on], at[on] + hit[on, 5]
 
-    return run
+    return released(run)
 
 
 def _checked(ids: Column, at: Column, take: Column) -> Column:
