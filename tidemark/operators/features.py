@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import calendar_features, log_return, pct_change, safe_div
-from tidemark.operators.series import ROWS_PER_CHUNK, Series, local_running, over_series, running
+from tidemark.operators.series import ROWS_PER_CHUNK, Series, in_chunks, join_on, local_running, over_series, running
+from tidemark.session import pin, small, stage
 
 LAGS = (1, 2, 3, 5, 7, 14, 21, 30)
 WINDOWS = (3, 7, 14, 30)
@@ -50,19 +51,15 @@ def true_range(high: str, low: str, previous_close: str) -> Column:
     return F.greatest(h - l, F.abs(h - p), F.abs(l - p))
 
 
-def ema_lookback(span: int) -> int:
-    """Rows after which an older value weighs less than 1e-17."""
-    return math.ceil(-math.log(1e-17) / -math.log(1 - 2 / (span + 1)))
-
-
-def with_ema(df: DataFrame, s: Series, column: str, span: int, name: str) -> DataFrame:
+def with_ema(df: DataFrame, s: Series, column: str, span: int, name: str, product: str | None = None) -> DataFrame:
     """Exponential moving average (recursive form, started by the first value), in linear time.
 
     Each observation does ``y = keep * y + take``; the old value has decayed once per row, also over
     rows without a value. Observations are numbered and cut into blocks. Inside a block the
     recurrence is a running sum, scaled by the running product of ``keep``. A block multiplies what
     it received by at most 1e-12, so what enters a block is the end of the one before plus the
-    scaled end of the one before that.
+    scaled end of the one before that. ``product`` adds a column with the product of ``keep`` since the
+    first observation: by how much a change of that one would change this row.
     """
     alpha = 2.0 / (span + 1)
     decay = 1 - alpha
@@ -89,6 +86,9 @@ def with_ema(df: DataFrame, s: Series, column: str, span: int, name: str) -> Dat
             take: F.when(follows, x * alpha / (faded + alpha)).otherwise(F.coalesce(x, F.lit(0.0))),
         }
     )
+    if product:
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        frame = frame.withColumn(product, F.exp(F.sum(keep).over(upto)))
     inside = s.window(block).rowsBetween(Window.unboundedPreceding, 0)
     frame = frame.withColumn(scale, F.exp(F.sum(keep).over(inside)))
     frame = frame.withColumn(inner, F.col(scale) * F.sum(F.col(take) / F.col(scale)).over(inside))
@@ -112,6 +112,39 @@ def with_ema(df: DataFrame, s: Series, column: str, span: int, name: str) -> Dat
     return frame.drop(row, seen, last, block, keep, take, scale, inner, ends)
 
 
+def _carried_ema(rows: DataFrame, s: Series, column: str, name: str, product: str, alpha: float) -> DataFrame:
+    """Per chunk of a cut series: the average that enters it, and by how much that moves its first observation.
+
+    A chunk maps the average that enters it to the one that leaves it, y = a * y + b. Its part a is the product of all
+    its weights, in which the first weight depends on the distance to the last observation before the chunk. The maps are
+    composed along the chunks of a series, of which there are its rows divided by ``rows_per_chunk``.
+    """
+    x = F.col(column).cast("double")
+    at = F.when(x.isNotNull(), F.col("_idx"))
+    ends = rows.filter(F.col("_idx").isNotNull()).groupBy(*s.keys, "_chunk").agg(
+        F.min("_idx").alias("begin"), F.min(at).alias("first"), F.max(at).alias("last"), F.min_by(x, at).alias("x"),
+        F.max_by(name, at).alias("y"), F.max_by(product, at).alias("p"),
+    )
+    along = F.array_sort(F.collect_list(F.struct("_chunk", "first", "last", "x", "y", "p")))
+    none = F.lit(None).cast("double")
+    start = F.struct(
+        none.alias("y"), F.lit(None).cast("bigint").alias("last"),
+        F.expr("cast(array() as array<struct<_chunk:bigint,_enters:double,_moves:double>>)").alias("out"),
+    )
+
+    def step(state: Column, c: Column) -> Column:
+        faded = F.greatest(F.power(F.lit(1 - alpha), c["first"] - state["last"]), F.lit(1e-30))
+        moved = F.coalesce((state["y"] - c["x"]) * faded / (faded + alpha), F.lit(0.0))
+        return F.struct(
+            F.when(c["first"].isNull(), state["y"]).otherwise(c["y"] + c["p"] * moved).alias("y"),
+            F.coalesce(c["last"], state["last"]).alias("last"),
+            F.array_append(state["out"], F.struct(c["_chunk"].alias("_chunk"), state["y"].alias("_enters"), moved.alias("_moves"))).alias("out"),
+        )
+
+    folded = ends.groupBy(*s.keys).agg(F.aggregate(along, start, step)["out"].alias("out"))
+    return folded.select(*s.keys, F.inline("out"))
+
+
 def ema(
     df: DataFrame,
     s: Series,
@@ -119,14 +152,23 @@ def ema(
     spans: Sequence[int] = (20,),
     rows_per_chunk: int | None = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Add ``ema_<span>`` columns. A series that is cut needs one value per ``ema_lookback`` rows."""
-
-    def steps(frame: DataFrame, part: Series) -> DataFrame:
+    """Add ``ema_<span>`` columns. A series that is cut gives the same averages, however far apart its values are."""
+    cut = None if rows_per_chunk is None else in_chunks(df, s, rows_per_chunk)
+    if cut is None:
         for span in spans:
-            frame = with_ema(frame, part, column, span, f"ema_{span}")
-        return frame
-
-    return _apply(df, s, steps, max(ema_lookback(n) for n in spans), rows_per_chunk)
+            df = with_ema(df, s, column, span, f"ema_{span}")
+        return df
+    rows, part = cut
+    for span in spans:
+        rows = with_ema(rows, part, column, span, f"ema_{span}", f"_p_{span}")
+    rows = stage(rows)
+    for span in spans:
+        name, product = f"ema_{span}", f"_p_{span}"
+        carried = small(pin(_carried_ema(rows, s, column, name, product, 2.0 / (span + 1))))
+        rows = join_on(rows, carried, [*s.keys, "_chunk"])
+        whole = F.col(name) + F.col(product) * F.coalesce("_moves", F.lit(0.0))
+        rows = rows.withColumn(name, F.coalesce(whole, "_enters")).drop(product, "_enters", "_moves")
+    return rows.drop("_chunk", "_idx")
 
 
 def time_features(
@@ -223,10 +265,8 @@ def asset_metrics(
                     "drawdown": safe_div(F.col("close") - F.col("cumulative_max"), "cumulative_max") * 100,
                 }
             )
-            for span in (20, 50):
-                frame = with_ema(frame, part, "close", span, f"ema_{span}")
             return frame
         raise ValueError(f"unknown asset class: {asset}")
 
-    lookback = max(200, ema_lookback(50)) if asset == "index" else 51
-    return _apply(df, s, steps, lookback, rows_per_chunk)
+    out = _apply(df, s, steps, 200 if asset == "index" else 51, rows_per_chunk)
+    return ema(out, s, "close", (20, 50), rows_per_chunk) if asset == "index" else out

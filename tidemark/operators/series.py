@@ -3,9 +3,9 @@
 A plain ``Window.partitionBy(key).orderBy(time)`` puts a whole series into one task. That is right
 for bars (a century of daily bars is 36,000 rows) and wrong for ticks when one symbol holds a third
 of them. ``over_series`` first profiles the keys with one column-pruned aggregate. If no key exceeds
-``rows_per_chunk`` the plain window is used. Otherwise the hot series are cut into chunks of time
-slots, and each chunk also receives the slots that hold the rows just before (and after) it, so a
-frame that looks a bounded number of rows back sees exactly the rows it would have seen.
+``rows_per_chunk`` the plain window is used. Otherwise the rows of the hot series are numbered and cut
+into chunks of exactly so many rows, and each chunk also receives the rows just before (and after) it, so
+a frame that looks a bounded number of rows back sees exactly the rows it would have seen.
 
 ``running`` covers the frames without a bound (running maximum, running sum, fill from the last or
 next value): chunks are summarised, the summaries are carried along the few chunks of a key, and
@@ -22,10 +22,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.session import pin, small
+from tidemark.session import pin, small, stage
 
 ROWS_PER_CHUNK = 5_000_000
-SLOTS_PER_CHUNK = 16
 
 
 @dataclass(frozen=True)
@@ -49,15 +48,6 @@ def series(keys: str | Sequence[str], time: str, ties: str | Sequence[str] = ())
     return Series(as_tuple(keys), time, as_tuple(ties))
 
 
-def _axis(df: DataFrame, time: str) -> Column:
-    """The order column as a double, only used to lay out slots."""
-    kind = dict(df.dtypes)[time]
-    column = F.col(time)
-    if kind.startswith("timestamp") or kind == "date":
-        return F.unix_micros(column.cast("timestamp")).cast("double")
-    return column.cast("double")
-
-
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join that keeps null keys together; ``right`` contributes its non-key columns."""
     renamed = right.select(
@@ -76,96 +66,55 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     return join_on(df, small(pin(stats)), keys)
 
 
-def _layout(df: DataFrame, s: Series, rows_per_chunk: int) -> tuple[DataFrame, DataFrame] | None:
-    """(hot keys with slot width, slots with chunk numbers), or None when no series is hot."""
-    profile = (
-        df.select(*s.keys, _axis(df, s.time).alias("_x"))
-        .groupBy(*s.keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_x0"), F.max("_x").alias("_x1"))
-        .filter(F.col("_n") > rows_per_chunk)
-    )
-    hot = pin(
-        profile.select(
-            *s.keys,
-            F.col("_x0"),
-            F.greatest(
-                (F.col("_x1") - F.col("_x0"))
-                / F.ceil(F.col("_n") / rows_per_chunk * SLOTS_PER_CHUNK).cast("double"),
-                F.lit(1e-9),
-            ).alias("_width"),
-        )
-    )
-    if hot.isEmpty():
-        return None
-    hot = small(hot)
-    counted = (
-        _with_slot(df.select(*s.keys, s.time), hot, s)
-        .filter(F.col("_slot").isNotNull())
-        .groupBy(*s.keys, "_slot")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    # One row per slot: this window runs over slot counts, not over data rows.
-    upto = Window.partitionBy(*s.keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    slots = counted.withColumn("_end", F.sum("_n").over(upto)).select(
-        *s.keys,
-        "_slot",
-        (F.col("_end") - F.col("_n")).alias("_start"),
-        "_end",
-        F.floor((F.col("_end") - F.col("_n")) / rows_per_chunk).alias("_chunk"),
-    )
-    return hot, pin(slots)
+def _hot_keys(df: DataFrame, s: Series, rows_per_chunk: int) -> DataFrame | None:
+    """Keys of the series that are too long for one task, or None when there are none."""
+    counts = df.groupBy(*s.keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = pin(counts.filter(F.col("_rows") > rows_per_chunk))
+    return None if hot.isEmpty() else hot
 
 
-def _with_slot(df: DataFrame, hot: DataFrame, s: Series) -> DataFrame:
-    """Slot of each row of a hot series; null for the other series.
+def _numbered(rows: DataFrame, s: Series, partitions: int) -> DataFrame:
+    """``rows`` and ``_idx``: their places in their series, from 0, without a gap; staged.
 
-    Rows whose time is null come first in the window order, so they belong to the first slot.
+    Rows are dealt by ranges of the keys and the order, whose bounds Spark draws from a sample, so a task holds
+    about as many rows whatever the clock says, also inside one instant. The place in a task and the counts of
+    the tasks before give the place in the series exactly.
     """
-    joined = join_on(df, hot, s.keys)
-    x = F.coalesce(_axis(df, s.time), F.col("_x0"))
-    slot = F.when(F.col("_width").isNotNull(), F.floor((x - F.col("_x0")) / F.col("_width")))
-    return joined.withColumn("_slot", slot).drop("_x0", "_width")
-
-
-def _copies(slots: DataFrame, s: Series, lookback: int, lookahead: int) -> DataFrame:
-    """(keys, slot) -> every chunk that needs the slot's rows, flagged when they are context only.
-
-    Chunks start at least one block of rows apart from the next but one, and no frame is longer than
-    a block, so only the two neighbours on either side can need a slot.
-    """
-    along = Window.partitionBy(*s.keys).orderBy("_chunk")
-    firsts = slots.groupBy(*s.keys, "_chunk").agg(F.min("_start").alias("_first"))
-    neighbours = firsts.withColumns(
-        {
-            "_n1": F.lead(F.struct("_chunk", "_first"), 1).over(along),
-            "_n2": F.lead(F.struct("_chunk", "_first"), 2).over(along),
-            "_p1": F.lag(F.struct("_chunk", "_first"), 1).over(along),
-            "_p2": F.lag(F.struct("_chunk", "_first"), 2).over(along),
-        }
-    )
-    start, last = F.col("_start"), F.col("_end") - 1
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))])
+    by = [F.col(c).asc_nulls_first() for c in (*s.keys, *s.order)] + [F.col("_tie").asc()]
+    dealt = rows.withColumn("_tie", tie).repartitionByRange(partitions, *by).sortWithinPartitions(*by)
+    laid = stage(dealt.drop("_tie").withColumn("_place", F.monotonically_increasing_id()))
+    # The upper bits of the id are the partition.
+    laid = laid.withColumn("_part", F.shiftright("_place", 33))
+    counts = laid.groupBy(*s.keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    before = Window.partitionBy(*s.keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    shifts = small(pin(counts.select(*s.keys, "_part", shift.alias("_shift"))))
+    placed = join_on(laid, shifts, [*s.keys, "_part"])
+    return placed.withColumn("_idx", F.col("_place") + F.col("_shift")).drop("_place", "_part", "_shift")
+
+
+def chunked(df: DataFrame, s: Series, rows_per_chunk: int) -> tuple[DataFrame, DataFrame] | None:
+    """(rows of the hot series with ``_idx``, rows of the others), or None when no series is hot."""
+    hot = _hot_keys(df, s, rows_per_chunk)
+    if hot is None:
+        return None
+    total = hot.agg(F.sum("_rows")).first()[0]
+    wide = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_chunk))
+    flagged = join_on(df, small(hot), s.keys)
+    laid = _numbered(flagged.filter(F.col("_rows").isNotNull()).drop("_rows"), s, wide)
+    return laid, flagged.filter(F.col("_rows").isNull()).drop("_rows")
 
-    def target(chunk: Column, context: bool) -> Column:
-        return F.struct(chunk.alias("_chunk"), F.lit(context).alias("_context"))
 
-    targets = F.array_compact(
-        F.array(
-            target(F.col("_chunk"), False),
-            F.when(F.col("_n1._first") - last <= lookback, target(F.col("_n1._chunk"), True)),
-            F.when(F.col("_n2._first") - last <= lookback, target(F.col("_n2._chunk"), True)),
-            F.when(
-                F.col("_p1").isNotNull() & (start - F.col("_first") < lookahead),
-                target(F.col("_p1._chunk"), True),
-            ),
-            F.when(
-                F.col("_p2").isNotNull() & (start - F.col("_p1._first") < lookahead),
-                target(F.col("_p2._chunk"), True),
-            ),
-        )
-    )
-    return join_on(slots, neighbours, [*s.keys, "_chunk"]).select(
-        *s.keys, "_slot", F.inline(targets)
-    )
+def in_chunks(df: DataFrame, s: Series, rows_per_chunk: int) -> tuple[DataFrame, Series] | None:
+    """All rows with ``_chunk`` (0 where a series is not cut) and ``_idx``, and the series of the chunks."""
+    parts = chunked(df, s, rows_per_chunk)
+    if parts is None:
+        return None
+    hot, cold = parts
+    hot = hot.withColumn("_chunk", F.floor(F.col("_idx") / rows_per_chunk).cast("bigint"))
+    cold = cold.withColumns({"_idx": F.lit(None).cast("bigint"), "_chunk": F.lit(0).cast("bigint")})
+    return hot.unionByName(cold), Series((*s.keys, "_chunk"), s.time, (*s.ties, "_idx"))
 
 
 def over_series(
@@ -182,15 +131,29 @@ def over_series(
     a chunk of the original one); together they may look at most ``lookback`` rows back and
     ``lookahead`` rows ahead of a row.
     """
-    layout = _layout(df, s, max(rows_per_chunk, lookback, lookahead))
-    if layout is None:
+    size = max(rows_per_chunk, lookback, lookahead)
+    parts = chunked(df, s, size)
+    if parts is None:
         return steps(df, s)
-    hot, slots = layout
-    copies = small(pin(_copies(slots, s, lookback, lookahead)))
-    placed = join_on(_with_slot(df, hot, s), copies, [*s.keys, "_slot"])
-    placed = placed.withColumn("_context", F.coalesce(F.col("_context"), F.lit(False)))
-    done = steps(placed, Series((*s.keys, "_chunk"), s.time, s.ties))
-    return done.filter(~F.col("_context")).drop("_slot", "_chunk", "_context")
+    hot, cold = parts
+    idx, chunk = F.col("_idx"), F.floor(F.col("_idx") / size).cast("bigint")
+
+    def target(number: Column, context: bool) -> Column:
+        return F.struct(number.alias("_chunk"), F.lit(context).alias("_context"))
+
+    # No frame is longer than a chunk, so only the neighbours can need a row.
+    targets = F.array_compact(
+        F.array(
+            target(chunk, False),
+            F.when((chunk + 1) * size - idx <= lookback, target(chunk + 1, True)),
+            F.when((chunk > 0) & (idx - chunk * size < lookahead), target(chunk - 1, True)),
+        )
+    )
+    unset = F.lit(None).cast("bigint")
+    cold = cold.withColumns({"_idx": unset, "_chunk": unset, "_context": F.lit(False)})
+    placed = hot.select("*", F.inline(targets)).unionByName(cold)
+    done = steps(placed, Series((*s.keys, "_chunk"), s.time, (*s.ties, "_idx")))
+    return done.filter(~F.col("_context")).drop("_idx", "_chunk", "_context")
 
 
 def running(
@@ -205,15 +168,12 @@ def running(
     ``last`` (last value that is not null, up to this row) and ``next`` (first value that is not
     null, from this row on).
     """
-    layout = _layout(df, s, rows_per_chunk)
-    if layout is None:
+    cut = in_chunks(df, s, rows_per_chunk)
+    if cut is None:
         return local_running(df, s, columns)
-    hot, slots = layout
-    home = small(pin(slots.select(*s.keys, "_slot", "_chunk")))
-    placed = join_on(_with_slot(df, hot, s), home, [*s.keys, "_slot"])
-    placed = placed.withColumn("_chunk", F.coalesce("_chunk", F.lit(0).cast("bigint"))).drop("_slot")
+    placed, chunk = cut
 
-    order = F.struct(*s.order)
+    order = F.struct(*chunk.order)
     summaries = placed.groupBy(*s.keys, "_chunk").agg(
         *[_summary(kind, source, order).alias(f"_sum_{name}") for name, (kind, source) in columns.items()]
     )
@@ -222,7 +182,6 @@ def running(
         "_chunk",
         *[_carry(kind, f"_sum_{name}", s.keys).alias(f"_in_{name}") for name, (kind, _) in columns.items()],
     )
-    chunk = Series((*s.keys, "_chunk"), s.time, s.ties)
     rows = join_on(placed, small(pin(carried)), [*s.keys, "_chunk"])
     rows = rows.withColumns(
         {
@@ -230,7 +189,7 @@ def running(
             for name, (kind, source) in columns.items()
         }
     )
-    return rows.drop("_chunk", *[f"_in_{name}" for name in columns])
+    return rows.drop("_chunk", "_idx", *[f"_in_{name}" for name in columns])
 
 
 def local_running(df: DataFrame, s: Series, columns: dict[str, tuple[str, str]]) -> DataFrame:
