@@ -170,8 +170,8 @@ def test_sentiment_by_date(frame):
 
 def rates(frame):
     rows = [
-        ("EUR", "USD", dt.date(2026, 1, 6), 1.0856, 1.0892, 1.0812, 1.0843), ("EUR", "USD", dt.date(2026, 1, 7), 1.0843, 1.0923, 1.0821, 1.0901),
-        ("GBP", "USD", dt.date(2026, 1, 6), 1.2650, 1.2720, 1.2600, 1.2690), ("GBP", "USD", dt.date(2026, 1, 9), 1.2690, 1.2800, 1.2650, 1.2750),
+        ("NOK", "SEK", dt.date(2023, 5, 9), 4.0, 4.5, 3.5, 4.25), ("NOK", "SEK", dt.date(2023, 5, 10), 4.27, 4.3, 4.27, 4.3),
+        ("CHF", "PLN", dt.date(2023, 5, 9), 7.0, 7.5, 6.75, 7.25), ("CHF", "PLN", dt.date(2023, 5, 12), 7.25, 8.0, 7.0, 7.75),
     ]
     return frame("from_currency string, to_currency string, date date, open double, high double, low double, close double", *rows)
 
@@ -183,13 +183,13 @@ def test_rates(frame):
     df = rates(frame)
     assert catalogue.duplicate_keys(df, [*PAIR, "date"]).count() == 0
     gaps = {(r["from_currency"], str(r["missing_date"])) for r in catalogue.next_day_gaps(df, PAIR, "date").collect()}
-    assert gaps == {("EUR", "2026-01-08"), ("GBP", "2026-01-07"), ("GBP", "2026-01-10")}
-    level = catalogue.with_volatility_level(df).filter("from_currency = 'EUR' AND date = '2026-01-07'").first()
-    assert round(level["volatility_pct"], 2) == 0.94 and level["volatility_level"] == "Low"
-    change = catalogue.latest_change(df, PAIR, "date", "close").filter("from_currency = 'EUR'").first()
-    assert change["latest_rate"] == 1.0901 and change["change_pct"] == pytest.approx((1.0901 / 1.0843 - 1) * 100)
-    mark = catalogue.high_water_mark(df, "date", from_currency="EUR").first()["latest"]
-    assert mark == dt.date(2026, 1, 7)
+    assert gaps == {("NOK", "2023-05-11"), ("CHF", "2023-05-10"), ("CHF", "2023-05-13")}
+    level = catalogue.with_volatility_level(df).filter("from_currency = 'NOK' AND date = '2023-05-10'").first()
+    assert round(level["volatility_pct"], 2) == 0.7 and level["volatility_level"] == "Low"
+    change = catalogue.latest_change(df, PAIR, "date", "close").filter("from_currency = 'NOK'").first()
+    assert change["latest_rate"] == 4.3 and change["change_pct"] == pytest.approx((4.3 / 4.25 - 1) * 100)
+    mark = catalogue.high_water_mark(df, "date", from_currency="NOK").first()["latest"]
+    assert mark == dt.date(2023, 5, 10)
 
 
 def test_missing_weekdays(frame):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.checks.base import Tables, query
 from tidemark.operators import bars, catalogue, clean, features
-from tidemark.operators.series import over_series, running, series
+from tidemark.operators.series import in_chunks, over_series, running, series
 
 BAR = series("symbol", "ts")
 
@@ -288,14 +288,79 @@ def cut_fills(t):
 
 
 @query(
-    f"""WITH {HOURLY}, r AS (SELECT *, max(close) OVER {rows(100000000)} AS top FROM bars)
+    f"""WITH RECURSIVE {HOURLY}, n AS (SELECT *, row_number() OVER {W} AS i FROM bars),
+e AS (SELECT symbol, i, close AS e20, close AS e50 FROM n WHERE i = 1
+  UNION ALL SELECT n.symbol, n.i, n.close * (2.0 / 21) + e.e20 * (1 - 2.0 / 21), n.close * (2.0 / 51) + e.e50 * (1 - 2.0 / 51)
+  FROM e JOIN n ON n.symbol = e.symbol AND n.i = e.i + 1),
+r AS (SELECT *, max(close) OVER {rows(100000000)} AS top FROM n)
 SELECT symbol, ts, round((close - top) / top * 100, 6) AS drawdown,
-  CASE WHEN count(close) OVER {rows(199)} = 200 THEN round(avg(close) OVER {rows(199)}, 6) END AS sma_200 FROM r"""
+  CASE WHEN count(close) OVER {rows(199)} = 200 THEN round(avg(close) OVER {rows(199)}, 6) END AS sma_200,
+  round(e20, 6) AS ema_20, round(e50, 6) AS ema_50 FROM r JOIN e USING (symbol, i)"""
 )
 def cut_index_metrics(t):
     # Shorter chunks than the longest look-back are widened to it.
     out = features.asset_metrics(bars_of(t, "1h"), BAR, "index", rows_per_chunk=100)
-    return out.select("symbol", "ts", "drawdown", "sma_200")
+    return out.select("symbol", "ts", "drawdown", "sma_200", "ema_20", "ema_50")
+
+
+def _ema_sql(span: int, alpha: str) -> str:
+    """The recursive average over the observations of ``o``, where an old value fades with every row."""
+    fade = f"greatest(pow(1 - {alpha}, o.i - e.i), 1e-30)"
+    return f"""e{span} AS (SELECT symbol, i, j, v AS y FROM o WHERE j = 1
+  UNION ALL SELECT o.symbol, o.i, o.j, ({fade} * e.y + {alpha} * o.v) / ({fade} + {alpha}) FROM e{span} e JOIN o ON o.symbol = e.symbol AND o.j = e.j + 1)"""
+
+
+SPARSE = "CASE WHEN event_id % 37 = 0 THEN value END"
+
+
+@query(
+    f"""WITH RECURSIVE n AS (SELECT event_type AS symbol, event_id, {SPARSE} AS v,
+  row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY i) AS j FROM n WHERE v IS NOT NULL),
+{_ema_sql(3, "0.5")}, {_ema_sql(20, "(2.0 / 21)")},
+last AS (SELECT symbol, event_id, max(CASE WHEN v IS NOT NULL THEN i END) OVER (PARTITION BY symbol ORDER BY i) AS i FROM n)
+SELECT l.symbol, l.event_id, round(a.y, 6) AS ema_3, round(b.y, 6) AS ema_20
+FROM last l LEFT JOIN e3 a ON a.symbol = l.symbol AND a.i = l.i LEFT JOIN e20 b ON b.symbol = l.symbol AND b.i = l.i"""
+)
+def cut_ema(t):
+    """Values far apart, also over whole chunks without one."""
+    rows_ = ticks(t).withColumn("v", F.when(F.col("event_id") % 37 == 0, F.col("value")))
+    return features.ema(rows_, TICK, "v", (3, 20), rows_per_chunk=25).select("symbol", "event_id", "ema_3", "ema_20")
+
+
+# Times as unlike as they come: one far off, many equal ones, some missing.
+UNEVEN = """u AS (SELECT event_type AS symbol, event_id, value, CASE WHEN event_id = 7 THEN ts + INTERVAL 40000 DAY WHEN event_id % 11 = 0 THEN NULL
+  WHEN event_id % 3 > 0 THEN TIMESTAMP '2024-01-15 00:00:00' ELSE ts END AS ts FROM events)"""
+UW = "PARTITION BY symbol ORDER BY ts NULLS FIRST, event_id"
+
+
+def uneven(t: Tables) -> DataFrame:
+    moved = F.when(F.col("event_id") == 7, F.col("ts") + F.expr("interval 40000 days")).when(F.col("event_id") % 11 > 0, F.col("ts"))
+    same = F.when((F.col("event_id") != 7) & (F.col("event_id") % 11 > 0) & (F.col("event_id") % 3 > 0), F.lit("2024-01-15").cast("timestamp_ntz"))
+    return ticks(t).select("symbol", "event_id", "value", F.coalesce(same, moved.cast("timestamp_ntz")).alias("ts"))
+
+
+@query(
+    f"""WITH {UNEVEN} SELECT symbol, event_id, round(lag(value, 7) OVER ({UW}), 6) AS lag_7, round(lead(value, 3) OVER ({UW}), 6) AS lead_3,
+  round(max(value) OVER ({UW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS top FROM u"""
+)
+def cut_uneven_times(t):
+    def steps(frame, part):
+        w = part.window()
+        return frame.withColumns({"lag_7": F.lag("value", 7).over(w), "lead_3": F.lead("value", 3).over(w)})
+
+    cut = over_series(uneven(t), TICK, steps, 7, 3, rows_per_chunk=CUT)
+    return running(cut, TICK, {"top": ("max", "value")}, rows_per_chunk=CUT).select("symbol", "event_id", "lag_7", "lead_3", "top")
+
+
+@query(
+    f"""WITH {UNEVEN}, c AS (SELECT symbol, count(*) AS n FROM u GROUP BY 1)
+SELECT symbol, n AS n_rows, CASE WHEN n > 64 THEN CAST(ceil(n / 64.0) AS BIGINT) ELSE 1 END AS chunks, least(n, 64) AS largest FROM c"""
+)
+def cut_chunk_sizes(t):
+    rows_, _ = in_chunks(uneven(t), TICK, 64)
+    sizes = rows_.groupBy("symbol", "_chunk").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("symbol").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("chunks"), F.max("n").alias("largest"))
 
 
 @query(

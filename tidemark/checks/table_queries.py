@@ -855,17 +855,33 @@ def universe_filter(t):
     return t.events.join(listed, "event_type", "left_semi").select("event_id", "event_type")
 
 
-@query(
-    """WITH r AS (SELECT event_type, user_id, ts, event_id, CASE WHEN value >= 2 THEN value END AS price FROM events),
-u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id, price ORDER BY event_id, ts) AS k FROM r) WHERE k = 1),
+def _cleaned_sql(same: str) -> str:
+    return f"""WITH r AS (SELECT event_type, user_id, ts, event_id, CASE WHEN value >= 2 THEN value END AS price FROM events),
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {same} ORDER BY event_id, ts) AS k FROM r) WHERE k = 1),
 m AS (SELECT event_type, median(price) AS med, avg(CASE WHEN price IS NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS miss FROM u GROUP BY 1)
 SELECT u.event_type, u.user_id, ts, round(CASE WHEN miss <= 0.1 THEN coalesce(price, med) ELSE price END, 6) AS price FROM u JOIN m ON m.event_type = u.event_type"""
-)
-def clean_pipeline(t):
-    """Text prices through the whole cleaner: duplicates, types, nulls, UTC."""
-    raw = t.events.select(
+
+
+PRICE_KINDS = {"price": "float", "ts": "datetime"}
+
+
+def _text_prices(t):
+    return t.events.select(
         "event_type", "user_id", "ts", F.col("event_id").alias("_seq"),
         F.when(F.col("value") >= 2, F.col("value").cast("string")).otherwise("n/a").alias("price"),
     )
-    out = clean.clean(raw, {"price": "float", "ts": "datetime"}, series("event_type", "ts", "_seq"))
+
+
+@query(_cleaned_sql("event_type, user_id, price, ts"))
+def clean_pipeline(t):
+    """Text prices through the whole cleaner: repeats, types, nulls, UTC."""
+    out = clean.clean(_text_prices(t), PRICE_KINDS, series("event_type", "ts", "_seq"))
+    return out.select("event_type", "user_id", "ts", "price")
+
+
+@query(_cleaned_sql("event_type, user_id, price"))
+def clean_without_times(t):
+    """The same where rows that differ in their time alone are one row."""
+    one = clean.drop_duplicates(_text_prices(t), ["_seq", "ts"])
+    out = clean.to_utc(clean.impute(clean.coerce(one, PRICE_KINDS), series("event_type", "ts", "_seq")))
     return out.select("event_type", "user_id", "ts", "price")
