@@ -112,6 +112,21 @@ def test_resample_with_gaps(frame):
     assert (out[1]["open"], out[1]["volume"]) == (None, 0)
 
 
+@pytest.mark.parametrize("granularity, labels", [("1M", ["2023-11-30", "2023-12-31", "2024-01-31", "2024-02-29"]), ("1y", ["2023-12-31", "2024-12-31"])])
+def test_calendar_gaps(frame, granularity, labels):
+    df = frame("k string, ts timestamp, n int", (None, dt.datetime(2023, 11, 5), 2), (None, dt.datetime(2024, 2, 1), 3), ("x", dt.datetime(2024, 2, 1), 4))
+    out = bars.resample(df, ["k"], "ts", granularity, {"n": "sum"}, fill_gaps=True).orderBy("k", "ts").collect()
+    assert [str(r["ts"].date()) for r in out if r["k"] is None] == labels
+    assert [r["n"] for r in out] == [2] + [0] * (len(labels) - 2) + [3, 4]
+
+
+def test_calendar_blocks_join_without_a_gap(frame, monkeypatch):
+    monkeypatch.setattr(bars, "CALENDAR_BLOCK", 7)
+    df = frame("k string, ts timestamp, n int", ("x", dt.datetime(2024, 1, 1), 1), ("x", dt.datetime(2024, 1, 3, 5), 1))
+    out = column(bars.resample(df, ["k"], "ts", "1h", {"n": "sum"}, fill_gaps=True), "ts", "ts")
+    assert out == [dt.datetime(2024, 1, 1) + dt.timedelta(hours=k) for k in range(54)]
+
+
 @pytest.mark.parametrize(
     "granularity, label", [("1w", "2024-02-18"), ("1M", "2024-02-29"), ("1q", "2024-03-31"), ("1y", "2024-12-31"), ("1d", "2024-02-14")]
 )

@@ -220,6 +220,22 @@ def test_known_at(frame):
     assert [r["v"] for r in rows] == [1.0, 2.0, 2.0]
 
 
+@pytest.mark.parametrize("size", [1_000_000, 3])
+def test_known_at_keeps_moments_and_takes_the_latest_start(frame, size):
+    d = lambda m, x: dt.datetime(2024, m, x)
+    obs = frame(
+        "k string, realtime_start timestamp, realtime_end timestamp, v double", ("a", d(1, 1), d(12, 31), 1.0), ("a", d(3, 1), d(3, 31), 2.0),
+        ("a", d(3, 1), d(3, 9), 9.0), ("a", None, d(9, 9), 5.0), (None, d(1, 1), d(2, 1), 7.0),
+    )
+    moments = frame("k string, at timestamp", ("a", d(1, 1)), ("a", d(3, 1)), ("a", d(3, 31)), ("a", d(4, 1)), (None, d(1, 9)), ("b", d(1, 9)), ("a", None))
+    rows = catalogue.known_at(moments, obs, ["k"], "at", keep_unknown=True, rows_per_chunk=size).collect()
+    assert {(r["k"], r["at"]): r["v"] for r in rows} == {
+        ("a", d(1, 1)): 1.0, ("a", d(3, 1)): 2.0, ("a", d(3, 31)): 2.0, ("a", d(4, 1)): None, (None, d(1, 9)): 7.0, ("b", d(1, 9)): None,
+        ("a", None): None,
+    }
+    assert catalogue.known_at(moments, obs, ["k"], "at", rows_per_chunk=size).count() == 4
+
+
 def test_market_mood(frame):
     df = frame("s string, percent_change double", ("a", 1.0), ("b", 2.0), ("c", -1.0))
     assert {r["market_sentiment"] for r in catalogue.market_summary(df).collect()} == {"Positive"}

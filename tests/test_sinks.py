@@ -126,6 +126,31 @@ def test_star(spark, frame):
     assert rows[2]["symbol_key"] == star.UNKNOWN and rows[0]["symbol_key"] != star.UNKNOWN and rows[0]["date_key"] == 20240101
 
 
+def test_attributes_of_a_member_come_from_one_row(frame):
+    df = frame("s string, at int, a string, b int", ("x", 1, "z", 1), ("x", 2, "a", None), ("y", 1, "m", 5))
+    assert {(r["s"], r["a"], r["b"]) for r in star.dim(df, ["s"], ["a", "b"], "k", ["at"]).collect()} == {("x", "a", None), ("y", "m", 5)}
+
+
+@pytest.mark.parametrize("size", [1_000_000, 2])
+def test_versions_of_a_dimension(frame, size):
+    d = lambda x: dt.datetime(2024, 1, x)
+    rows = [
+        ("x", d(1), 1, "a", 1), ("x", d(2), 1, "a", 1), ("x", d(3), 1, "b", None), ("x", d(3), 2, "b", 2), ("x", d(5), 1, "b", 2),
+        ("x", d(7), 1, "a", 1), (None, d(4), 1, None, None), (None, d(6), 1, None, None), ("y", None, 1, "q", 1),
+    ]
+    versions = star.dim_versions(frame("s string, at timestamp, seq int, a string, b int", *rows), ["s"], ["a", "b"], "at", "key", ["seq"], size)
+    found = {(r["s"], r["version"]): (r["a"], r["b"], r["valid_from"], r["valid_to"], r["key"]) for r in versions.collect()}
+    assert {k: v[:4] for k, v in found.items()} == {
+        ("x", 1): ("a", 1, d(1), d(3)), ("x", 2): ("b", 2, d(3), d(7)), ("x", 3): ("a", 1, d(7), None), (None, 1): (None, None, d(4), None),
+    }
+    facts = frame("s string, at timestamp, n int", ("x", d(1), 1), ("x", d(6), 2), ("x", d(7), 3), ("x", d(30), 4), (None, d(3), 5), ("z", d(3), 6))
+    keyed = star.with_version(facts, versions, ["s"], "at", "key", ["version"], size)
+    by_n = {r["n"]: r for r in keyed.collect()}
+    assert {n: r["version"] for n, r in by_n.items()} == {1: 1, 2: 2, 3: 3, 4: 3, 5: None, 6: None}
+    assert by_n[2]["key"] == found["x", 2][4] and by_n[6]["key"] == star.UNKNOWN
+
+
+
 # --- streams ------------------------------------------------------------------------------------------
 
 

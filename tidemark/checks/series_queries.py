@@ -90,6 +90,40 @@ def resample_gap_fill(t):
     return bars.resample(one, ["user_id"], "ts", "1h", {"close": "last", "volume": "sum"}, fill_gaps=True)
 
 
+def _calendar_sql(name: str, part: str, step: str) -> str:
+    last = f"date_trunc('{part}', o_orderdate) + INTERVAL {step} - INTERVAL 1 DAY"
+    return f"""SELECT '{name}' AS kind, c.k AS o_custkey, CAST(c.d + INTERVAL {step} - INTERVAL 1 DAY AS TIMESTAMP) AS ts, coalesce(v, 0) AS n
+FROM (SELECT o_custkey AS k, unnest(generate_series(min(date_trunc('{part}', o_orderdate)), max(date_trunc('{part}', o_orderdate)), INTERVAL {step})) AS d
+  FROM orders GROUP BY 1) c LEFT JOIN (SELECT o_custkey AS k, {last} AS e, count(*) AS v FROM orders GROUP BY 1, 2) b
+ON b.k = c.k AND b.e = c.d + INTERVAL {step} - INTERVAL 1 DAY"""
+
+
+@query(
+    " UNION ALL ".join(
+        [_calendar_sql("1M", "month", "1 MONTH"), _calendar_sql("1q", "quarter", "3 MONTH"), _calendar_sql("1y", "year", "1 YEAR")]
+    )
+)
+def calendar_gap_fill(t):
+    one = t.orders.select("o_custkey", F.col("o_orderdate").alias("ts"), F.lit(1).cast("bigint").alias("n"))
+    parts = [
+        bars.resample(one, ["o_custkey"], "ts", g, {"n": "sum"}, fill_gaps=True).withColumn("kind", F.lit(g)) for g in ("1M", "1q", "1y")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    """SELECT o_orderstatus, CAST(epoch(max(o_orderdate) - min(o_orderdate)) / 60 AS BIGINT) + 1 AS bins, CAST(min(o_orderdate) AS TIMESTAMP) AS first,
+  CAST(max(o_orderdate) AS TIMESTAMP) AS last, count(DISTINCT o_orderdate) AS filled FROM orders WHERE o_orderstatus = 'P' GROUP BY 1"""
+)
+def minute_gap_fill(t):
+    """A calendar of minutes over all years of the orders."""
+    one = t.orders.filter("o_orderstatus = 'P'").select("o_orderstatus", F.col("o_orderdate").alias("ts"), F.lit(1).cast("bigint").alias("n"))
+    out = bars.resample(one, ["o_orderstatus"], "ts", "1m", {"n": "sum"}, fill_gaps=True)
+    return out.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("bins"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.count_if(F.col("n") > 0).alias("filled")
+    )
+
+
 @query(
     """SELECT event_type AS location, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp, round(avg(sqrt(value)), 6) AS temperature,
   round(avg(sqrt(user_id)), 6) AS humidity FROM events GROUP BY 1, 2"""

@@ -757,6 +757,42 @@ def asset_dim(t):
     return star.dim(t.part, ["p_brand", "p_type"], ["p_retailprice"], "asset_key").drop("asset_key")
 
 
+VERSIONS = """d AS (SELECT o_custkey, o_orderdate, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY 1, 2),
+c AS (SELECT *, lag(o_orderstatus) OVER w AS b, row_number() OVER w AS k FROM d WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)),
+v AS (SELECT o_custkey, o_orderstatus, o_orderdate AS valid_from, lead(o_orderdate) OVER w AS valid_to, row_number() OVER w AS version
+  FROM c WHERE k = 1 OR o_orderstatus <> b WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate))"""
+
+
+def _versions(t, **more):
+    return star.dim_versions(t.orders, ["o_custkey"], ["o_orderstatus"], "o_orderdate", "version_key", ["o_orderkey"], **more)
+
+
+@query(f"WITH {VERSIONS} SELECT * FROM v")
+def dim_versions(t):
+    return _versions(t).drop("version_key")
+
+
+@query(f"WITH {VERSIONS} SELECT * FROM v")
+def cut_dim_versions(t):
+    return _versions(t, rows_per_chunk=20).drop("version_key")
+
+
+@query(
+    f"""WITH {VERSIONS}, f AS (SELECT o_orderkey, o_custkey, o_orderdate - INTERVAL 20 DAY AS moment, o_totalprice FROM orders)
+SELECT o_orderkey, f.o_custkey, moment, round(o_totalprice, 6) AS o_totalprice, version, o_orderstatus, version IS NOT NULL AS known,
+  CASE WHEN version IS NOT NULL THEN 1 END AS members
+FROM f LEFT JOIN v ON v.o_custkey = f.o_custkey AND valid_from <= moment AND (valid_to IS NULL OR moment < valid_to)"""
+)
+def version_facts(t):
+    """Each fact with the version that was valid 20 days before, and how many members have its key."""
+    versions = _versions(t)
+    facts = t.orders.select("o_orderkey", "o_custkey", (F.col("o_orderdate") - F.expr("INTERVAL 20 DAYS")).alias("moment"), "o_totalprice")
+    keyed = star.with_version(facts, versions, ["o_custkey"], "moment", "version_key", ["version", "o_orderstatus"])
+    members = versions.groupBy("version_key").agg(F.count(F.lit(1)).alias("members"))
+    out = keyed.withColumn("known", F.col("version_key") != star.UNKNOWN).join(members, "version_key", "left")
+    return out.drop("version_key")
+
+
 @query(
     """SELECT l_orderkey, l_linenumber, l_shipdate, p_brand, p_partkey IS NOT NULL AS known,
   CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS date_key

@@ -17,6 +17,9 @@ _WINDOWS = {
     "2h": "2 hours", "4h": "4 hours", "6h": "6 hours",
 }
 _STEPS = {**_WINDOWS, "1d": "1 day", "1w": "7 days"}
+_MINUTES = {"1m": 1, "5m": 5, "15m": 15, "30m": 30, "1h": 60, "2h": 120, "4h": 240, "6h": 360, "1d": 1440, "1w": 10080}
+_MONTHS = {"1M": 1, "1q": 3, "1y": 12}
+CALENDAR_BLOCK = 10_000
 
 # Aggregate per column and data type.
 RULES = {
@@ -93,14 +96,28 @@ def resample(
 
 
 def fill_bins(bars: DataFrame, keys: Sequence[str], ts: str, granularity: str) -> DataFrame:
-    """Add the missing bins between the first and the last bin of each key."""
-    step = F.expr(f"INTERVAL {_STEPS[granularity]}")
-    calendar = (
-        bars.groupBy(*keys)
-        .agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"))
-        .select(*keys, F.explode(F.sequence("_from", "_to", step)).alias(ts))
-    )
-    return join_on(calendar, bars, [*keys, ts]).select(*bars.columns)
+    """Add the missing bins between the first and the last bin of each key.
+
+    The calendar of a key is counted, dealt out as blocks of ``CALENDAR_BLOCK`` bins, and each block lists its own bins;
+    so no cell holds a whole calendar, and the one of a single key is made by many tasks.
+    """
+    kind = dict(bars.dtypes)[ts]
+    first, k = F.col("_from"), F.col("_block") * CALENDAR_BLOCK + F.col("_at")
+    if granularity in _MONTHS:
+        months = _MONTHS[granularity]
+        upto = lambda c: F.year(c) * 12 + F.month(c)
+        steps = F.floor((upto("_to") - upto("_from")) / months)
+        label = F.last_day(F.add_months(first.cast("date"), (k * months).cast("int"))).cast(kind)
+    else:
+        minutes = _MINUTES[granularity]
+        steps = F.floor(F.expr("timestampdiff(MINUTE, _from, _to)") / minutes)
+        label = first + F.make_dt_interval(mins=(k * minutes).cast("int"))
+    spans = bars.groupBy(*keys).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to")).withColumn("_steps", steps.cast("bigint"))
+    blocks = spans.select(*keys, "_from", "_steps", F.explode(F.sequence(F.lit(0), F.floor(F.col("_steps") / CALENDAR_BLOCK))).alias("_block"))
+    left = F.col("_steps") - F.col("_block") * CALENDAR_BLOCK
+    places = F.sequence(F.lit(0).cast("bigint"), F.least(left, F.lit(CALENDAR_BLOCK - 1)))
+    calendar = blocks.repartition(*keys, "_block").select(*keys, "_from", "_block", F.explode(places).alias("_at"))
+    return join_on(calendar.select(*keys, label.alias(ts)), bars, [*keys, ts]).select(*bars.columns)
 
 
 def ohlcv(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import pct_change, safe_div, volatility_level
 from tidemark.operators.features import rolling, true_range
-from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach, join_on, over_series
+from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach, join_on, over_series, running
 
 Keys = Sequence[str]
 
@@ -385,21 +385,30 @@ def union_sources(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def known_at(
-    moments: DataFrame, observations: DataFrame, keys: Keys, at: str, start: str = "realtime_start", end: str = "realtime_end"
+    moments: DataFrame, observations: DataFrame, keys: Keys, at: str, start: str = "realtime_start", end: str = "realtime_end",
+    keep_unknown: bool = False, rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Point-in-time join: the observation of each series that was valid at a moment.
+    """Point-in-time join: of each key the observation that was valid at a moment, both ends of its range included.
 
-    The validity range is spread over month buckets, which makes the range an equi-join key. Open
-    ranges end at the latest moment.
+    Moments and observations go through one ordered stream per key, in which the observation that began last is carried
+    on to the moments; whether it has ended is looked at afterwards. So each row is moved once, however long a range is, and
+    long streams are cut. Where ranges overlap, the one that began last counts, and of those that began together the
+    one that ends last. Moments without an observation are left out, or kept with nulls where ``keep_unknown`` is set.
     """
-    month = lambda c: F.date_trunc("month", c)
-    latest_moment = moments.agg(F.max(at).alias("_latest"))
-    bounded = observations.crossJoin(F.broadcast(latest_moment))  # one row
-    bounded = bounded.filter(F.col(start) <= F.col("_latest"))
-    bounded = bounded.withColumn("_until", F.least(F.col(end), F.col("_latest"))).filter(F.col(start) <= F.col("_until"))
-    spread = bounded.withColumn(
-        "_month", F.explode(F.sequence(month(F.col(start)), month(F.col("_until")), F.expr("INTERVAL 1 MONTH")))
-    ).drop("_latest", "_until")
-    left = moments.withColumn("_month", month(F.col(at)))
-    joined = join_on(left, spread, [*keys, "_month"], "inner")
-    return joined.filter((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))).drop("_month")
+    more = [c for c in observations.columns if c not in keys]
+    kind = dict(moments.dtypes)[at]
+    held = observations.filter(F.col(start).isNotNull()).select(
+        *keys, F.col(start).cast(kind).alias("_time"), F.lit(0).alias("_kind"), F.col(end).cast(kind).alias("_until"),
+        F.struct(*more).alias("_seen"), F.lit(None).cast(moments.schema.simpleString()).alias("_row"),
+    )
+    asked = moments.select(
+        *keys, F.col(at).alias("_time"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_until"),
+        F.lit(None).cast(held.schema["_seen"].dataType).alias("_seen"), F.struct(*moments.columns).alias("_row"),
+    )
+    stream = Series(tuple(keys), "_time", ("_kind", "_until"))
+    merged = running(held.unionByName(asked), stream, {"_valid": ("last", "_seen")}, rows_per_chunk)
+    valid = F.col(f"_valid.{end}").cast(kind) >= F.col("_time")
+    found = merged.filter("_kind = 1").withColumn("_valid", F.when(valid, F.col("_valid")))
+    if not keep_unknown:
+        found = found.filter(F.col("_valid").isNotNull())
+    return found.select("_row.*", *[F.col(f"_valid.{c}").alias(c) for c in more])
