@@ -171,6 +171,42 @@ def test_blocks_of_broken_pages():
     assert len(blocks("<div>" * 3000 + "deep")) == 1
 
 
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<p>Let <math><mi>x</mi></math> be 3.</p><noscript><p>Fallback.</p></noscript>", ["Let x be 3.", "Fallback."]),
+        ("<p>A <object data=f.swf>film</object> here</p>", ["A film here"]),
+        ('<p class=x">one</p><p>two</p><p>three "q"</p>', ["one", "two", 'three "q"']),
+        ("<p data-x=it's>a</p><p>b</p>", ["a", "b"]),
+        ('<p title = "b>c" id=\'d>e\'>w</p>', ["w"]),
+        ('<p title=a=">q">r</p>', ['q">r']),
+        ("<script src=a.js />var x=1;</script><p>t</p><style>a>b</style foo>s", ["t", "s"]),
+        ("<!--><p>x</p><!-- a > b --!>y</ bogus>z", ["x", "yz"]),
+        ("<div/>in</div>out<svg/>more<svg><text>s</text></svg>", ["in", "outmore"]),
+        ('<p title="never closed', []),
+    ],
+)
+def test_tags_end_where_html_ends_them(page, texts):
+    assert [b.text for b in blocks(page)] == texts
+
+
+def test_a_page_that_was_held_out():
+    data = [(features(blocks(p)), [int(b.main) for b in blocks(p)]) for p in PAGES]
+    right = total = 0
+    for k, (page, labels) in enumerate(data):
+        found = html_text.fit(data[:k] + data[k + 1 :], steps=100).viterbi(page)
+        right += sum(a == b for a, b in zip(found, labels, strict=True))
+        total += len(labels)
+    assert right >= 0.8 * total
+
+
+def test_long_pages_do_not_teach_but_are_labelled(frame):
+    long = "<article>" + "".join(f"<p>Sentence number {k} has its words.</p>" for k in range(3000)) + "</article>"
+    df = frame("page_id bigint, html string", (1, long), (1, PAGES[0]), (1, PAGES[0]), (2, None))
+    found = html_text.main_text(df, "html", html_text.train(df, "page_id", "html")).collect()
+    assert len(found) == 4 and max(r.text.count("\n\n") for r in found) >= 2950
+
+
 def test_main_text(frame):
     pages = [(k, "u", PAGES[k % len(PAGES)], "old") for k in range(12)] + [(90, "u", None, "old"), (91, None, "", "old"), (92, "u", "<nav>x</nav>", "old")]
     df = frame("page_id bigint, url string, html string, text string", *pages)

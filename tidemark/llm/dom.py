@@ -8,10 +8,12 @@ import re
 from typing import NamedTuple
 
 # Element names of HTML.
-_RAW = frozenset("script style noscript template textarea iframe svg math object title".split())
+_RAW = frozenset("script style template textarea iframe title svg".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong "
-    "sub sup time tt u var wbr img br input".split()
+    "sub sup time tt u var wbr img br input object "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover "
+    "munderover mmultiscripts mtable mtr mtd maction semantics annotation annotation-xml".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES = {
@@ -21,8 +23,10 @@ _CLOSES = {
     "div ul ol dl table form section article aside nav header footer main h1 h2 h3 h4 h5 h6 pre blockquote figure hr fieldset address".split()
 )}
 _SCOPES = frozenset("ul ol dl table div section article aside nav header footer main body form td th blockquote".split())
+# A quote opens a value only behind an equals sign; anywhere else it is an ordinary character, and ``>`` ends the tag.
 _TOKEN = re.compile(
-    r"<!--(?:.*?--!?>|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S
+    r"<!--(?:-?>|.*?--!?>|.*\Z)|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]*)|[^>=])*)(>|\Z)", re.S
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _MAIN = re.compile(r"\bdata-main\b")
@@ -40,7 +44,8 @@ class Block(NamedTuple):
 def blocks(page: str | None) -> list[Block]:
     """The texts between block-level tags, in page order, white space reduced to one blank, references decoded.
 
-    Scripts, styles, comments and the like have no text. Unclosed and stray tags are put up with: a new
+    Scripts, styles, comments, graphics and what is filled in or shown elsewhere (text areas, frames, templates, the title) have
+    no text; formulas and the contents of object and noscript have. Unclosed and stray tags are put up with: a new
     paragraph ends an open one, an end tag ends what is open inside its element, an unfinished tag at the
     end of the page is left out.
     """
@@ -78,8 +83,9 @@ def blocks(page: str | None) -> list[Block]:
         if not name or not found.group(4):
             continue
         if name in _RAW and not end:
-            if not rest.endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            # A slash closes only what is foreign to HTML.
+            if name != "svg" or not rest.endswith("/"):
+                close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 at = close.end() if close else size
             continue
         if name in _INLINE:
@@ -102,7 +108,7 @@ def blocks(page: str | None) -> list[Block]:
                 break
             if stack[k][0] in _SCOPES:
                 break
-        if name not in _VOID and not rest.endswith("/"):
+        if name not in _VOID:
             names = " ".join("".join(m) for m in _NAMES.findall(rest)).lower()
             stack.append((name, tuple(f".{p}" for p in _PARTS.findall(names)), bool(_MAIN.search(rest))))
             links = 0

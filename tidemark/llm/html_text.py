@@ -7,6 +7,8 @@ from one block to the next. The field is fitted by gradient ascent on the condit
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,9 +17,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import named
 from tidemark.llm.dom import Block, blocks, features
 from tidemark.llm.labelled_pages import PAGES
+from tidemark.llm.memory import release
 
 # At most so many pages of the input teach the field, those with the smallest hash of their key.
 SAMPLE_PAGES = 100
+# Longer pages, in bytes or in blocks, do not teach it; they are labelled as all others are.
+SAMPLE_BYTES = 1 << 20
+SAMPLE_BLOCKS = 500
 STEPS = 300
 # Copies of each labelled page of the package in which cues are left out at random, so that every cue is learned.
 COPIES = 12
@@ -57,19 +63,26 @@ def fit(pages: list[tuple[list[list[str]], list[int]]], steps: int = STEPS, rate
     pages = [p for p in pages if p[0]]
     field = Field(sorted({f for x, _ in pages for b in x for f in b}))
     longest = max((len(x) for x, _ in pages), default=1)
-    data = np.zeros((len(pages), longest, len(field.index)), np.float32)
+    # Features of all blocks one after the other: which feature, and at which place of (page, block).
+    which, place = [], []
     gold, mask = np.zeros((len(pages), longest), np.int64), np.zeros((len(pages), longest), bool)
     for i, (x, y) in enumerate(pages):
         mask[i, : len(x)], gold[i, : len(y)] = True, y
         for j, b in enumerate(x):
-            data[i, j, [field.index[f] for f in b]] = 1
-    flat, hot = data.reshape(-1, len(field.index)), np.eye(2)[gold] * mask[..., None]
+            which += [field.index[f] for f in b]
+            place += [i * longest + j] * len(b)
+    which, place = np.array(which, np.int64), np.array(place, np.int64)
+    hot = np.eye(2)[gold] * mask[..., None]
+
+    def sums(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+        return np.stack([np.bincount(at, values[:, label], size) for label in (0, 1)], axis=1)
+
     pair = mask[:, 1:, None, None]
     wanted_step = (hot[:, :-1, :, None] * hot[:, 1:, None, :] * pair).sum((0, 1))
     weights = [field.emit, field.step, field.start]
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
     for t in range(1, steps + 1):
-        rows = (flat @ field.emit).reshape(len(pages), longest, 2)
+        rows = sums(place, field.emit[which], len(pages) * longest).reshape(len(pages), longest, 2)
         fore, back = np.zeros_like(rows), np.zeros_like(rows)
         fore[:, 0] = field.start + rows[:, 0]
         for j in range(1, longest):
@@ -83,7 +96,7 @@ def fit(pages: list[tuple[list[list[str]], list[int]]], steps: int = STEPS, rate
         joint = fore[:, :-1, :, None] + field.step + (rows[:, 1:] + back[:, 1:])[:, :, None, :] - total[..., None]
         both = (np.exp(np.where(pair, joint, -np.inf))).sum((0, 1))
         off = (hot - single).reshape(-1, 2)
-        slopes = [flat.T @ off, wanted_step - both, (hot - single)[:, 0].sum(0)]
+        slopes = [sums(which, off[place], len(field.index)), wanted_step - both, (hot - single)[:, 0].sum(0)]
         for w, slope, (m, v) in zip(weights, slopes, moments, strict=True):
             slope = slope / max(1, len(pages)) - decay * w
             m += 0.1 * (slope - m)
@@ -101,15 +114,19 @@ def weak_labels(page: list[Block]) -> list[int] | None:
 
 
 def train(df: DataFrame, key: str, html: str, pages: int = SAMPLE_PAGES) -> Field:
-    """Fits the field on the labelled pages of this package and on a bounded sample of the input that labels itself."""
-    order = F.xxhash64(named(df, key)), named(df, key)
-    keys = [r[0] for r in df.where(named(df, html).isNotNull()).select(named(df, key).alias("k")).orderBy(*order).limit(pages).collect()]
-    sample = df.where(named(df, key).isin(keys)).select(named(df, html).alias("h")).limit(pages).collect() if keys else []
+    """Fits the field on the labelled pages of this package and on a bounded sample of the input that labels itself.
+
+    The sample has at most ``pages`` different pages of at most ``SAMPLE_BYTES`` and ``SAMPLE_BLOCKS``, those with the least hash.
+    """
+    fits = df.where(F.octet_length(named(df, html).cast("string")) <= SAMPLE_BYTES)
+    hashed = fits.select(F.xxhash64(named(fits, key), named(fits, html)).alias("n"), named(fits, html).cast("string").alias("h"))
+    chosen = [r["n"] for r in hashed.select("n").distinct().orderBy("n").limit(pages).collect()]
+    sample = hashed.where(F.col("n").isin(chosen)).dropDuplicates(["n"]).orderBy("n").collect() if chosen else []
     taught = [blocks(p) for p in PAGES]
     data = [(features(p), [int(b.main) for b in p]) for p in taught]
     for row in sample:
         page = blocks(row["h"])
-        labels = weak_labels(page)
+        labels = weak_labels(page) if len(page) <= SAMPLE_BLOCKS else None
         if labels:
             data.append((features(page), labels))
     random = np.random.default_rng(11)
@@ -135,7 +152,11 @@ def main_text(df: DataFrame, html: str, field: Field, name: str = "text") -> Dat
     shared = df.sparkSession.sparkContext.broadcast(field)
 
     @F.pandas_udf("string")
-    def text_of(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: extract(p, shared.value))
+    def text_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for pages in parts:
+                yield pages.map(lambda p: extract(p, shared.value))
+        finally:
+            release()
 
     return df.withColumn(name, text_of(named(df, html).cast("string")))
