@@ -139,6 +139,44 @@ def test_verbatim_items_are_found_by_brute_force(frame):
     assert {(r.key, r.item) for r in found} == {(d, i) for d, t in enumerate(texts) for i, x in items if f" {x} " in t}
 
 
+PROBLEMS = (
+    "{a} has {x} apples. {a} buys {y} more at the market. How many apples does {a} have in the end?",
+    "{a} walks {x} miles to school every day. {a} walks back the same way. How far does {a} walk in {y} days?",
+    "A train leaves the station at {x} and drives {y} km to the coast. {a} waits there with {b} for it.",
+    "{a} and {b} share {x} sweets between them. {b} eats {y} of them before lunch. How many are left for {a}?",
+    "Every morning {a} fills {x} bottles with juice. {b} carries {y} of them to the shop down the road.",
+)
+
+
+def test_renamed_and_renumbered_problems_are_found(frame):
+    pick = random.Random(3)
+    names = ["Tom", "Alice", "Bob", "Maria", "Ahmed", "Yuki", "Olga", "Pedro", "Nina", "Igor"]
+
+    def variant(k):
+        a, b = pick.sample(names, 2)
+        x, y = pick.sample(range(2, 99), 2)
+        return PROBLEMS[k].format(a=a, b=b, x=x, y=y)
+
+    filler = lambda: " ".join(pick.choice(["river", "stone", "green", "walks", "the", "of", "Tom", "miles"]) for _ in range(60)) + ". "
+    items = [(k, variant(k)) for k in range(len(PROBLEMS))]
+    docs = [(10 * k + j, filler() + variant(k) + " " + filler()) for k in range(len(PROBLEMS)) for j in range(8)]
+    docs += [(1000 + j, filler() * 3) for j in range(30)]
+    found = decontamination.leaks(
+        frame("doc_id bigint, text string", *docs), "doc_id", "text", frame("item_id bigint, text string", *items), "item_id", "text"
+    ).collect()
+    pairs = {(r.key, r.item) for r in found}
+    wanted = {(10 * k + j, k) for k in range(len(PROBLEMS)) for j in range(8)}
+    assert len(pairs & wanted) >= 0.9 * len(wanted) and not pairs - wanted
+
+
+def test_leaks_go_by_text_and_not_by_key(frame):
+    item = "the quick brown fox jumps over the lazy dog near the old river bank"
+    rows = [(None, f"so {item} it is", "a"), (1, item, "b"), (1, "clean words of another row with the same key", "c"), (2, None, "d"), (None, "clean", "e")]
+    docs = frame("doc_id bigint, text string, `_digest` string", *rows)
+    kept = decontamination.clean_texts(docs, "text", frame("item_id bigint, text string", (5, item)), "item_id", "text")
+    assert kept.columns == docs.columns and {r["_digest"] for r in kept.collect()} == {"c", "d", "e"}
+
+
 @pytest.fixture(scope="module")
 def field():
     return html_text.fit([(features(blocks(p)), [int(b.main) for b in blocks(p)]) for p in PAGES], steps=150)

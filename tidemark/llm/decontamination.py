@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bytes_of import chunks, utf8
-from tidemark.llm.common import named
+from tidemark.llm.common import named, own
 from tidemark.llm.keyset import KeySet, key_set
 from tidemark.llm.memory import released, slices
 from tidemark.llm.pieces import piece_hash
@@ -63,7 +63,8 @@ _UPPER_LATIN[0x97] = False
 
 
 def template(data: np.ndarray, edges: np.ndarray):
-    """Of joined texts: the first word of each text, template hashes, placeholder kinds and literal hashes of the words.
+    """Of joined texts: the first word of each text, template hashes, placeholder kinds and literal hashes of the words,
+    and where a capitalised word begins a sentence, which may be a name or not.
 
     Case is folded for the letters of ASCII and Latin-1; others are compared as they are.
     """
@@ -86,7 +87,7 @@ def template(data: np.ndarray, edges: np.ndarray):
     starts, sizes = starts[word], sizes[word]
     literal = piece_hash(low, starts, sizes) if len(starts) else np.zeros(0, np.uint64)
     places = np.searchsorted(starts, edges)
-    slot = np.zeros(len(starts), np.uint8)
+    slot, opens = np.zeros(len(starts), np.uint8), np.zeros(len(starts), bool)
     if len(starts):
         number = (kind[starts] == _DIGIT) | np.isin(literal, _NUMBER_HASHES)
         slot[number] = NUMBER
@@ -104,9 +105,11 @@ def template(data: np.ndarray, edges: np.ndarray):
         sentence = np.ones(len(starts), bool)
         sentence[1:] = ends[starts[1:]] > ends[starts[:-1] + sizes[:-1]]
         sentence[first] = True
-        slot[begins & lower_next & ~sentence & (slot == 0)] = NAME
+        capital = begins & lower_next & (slot == 0)
+        slot[capital & ~sentence] = NAME
+        opens = capital & sentence
     shown = np.where(slot > 0, slot.astype(np.uint64), literal)
-    return places, shown, slot, literal
+    return places, shown, slot, literal, opens
 
 
 def _spans(slot: np.ndarray, base: np.ndarray, first: np.ndarray, last: np.ndarray, width: int):
@@ -141,22 +144,29 @@ def _span_hashes(words: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: in
 def _windows(data: np.ndarray, edges: np.ndarray, width: int):
     """Windows of ``width`` words: text, place, hash, first word and the one behind, placeholder kinds and literal words.
 
-    First those of the template that have placeholders, then those of the words themselves, so that a difference in case
-    alone, which makes a name of a word or not, hides nothing. Template windows in which placeholders are more than half of
+    First those of the template that have placeholders, then those where also a capitalised word that begins a sentence is a
+    name, then those of the words themselves, so that a difference in case alone, which makes a name of a word or not,
+    hides nothing. Template windows in which placeholders are more than half of
     the words are widened. A text with too few words, or too few of them literal, has its whole sequence at the place ``WHOLE``.
     """
     need = width - width // 2
     for a, b in chunks(edges, 1_000_000):
         part = np.concatenate([data[edges[a] : edges[b]], np.zeros(16, np.uint8)])
-        places, shown, slot, literal = template(part, edges[a : b + 1] - edges[a])
+        places, shown, slot, literal, opens = template(part, edges[a : b + 1] - edges[a])
         total = max(0, len(shown) - width + 1)
         owner = np.searchsorted(places, np.arange(total), "right") - 1
         whole = np.arange(total) + width <= places[owner + 1]
-        filled = np.zeros(total, np.int64)
+        filled, opened = np.zeros(total, np.int64), np.zeros(total, np.int64)
         for k in range(width):
             filled += slot[k : k + total] > 0
+            opened += opens[k : k + total]
         plain = np.zeros_like(slot)
-        for words, kinds, fits in ((shown, slot, whole & (filled > 0) & (2 * filled <= width)), (literal, plain, whole)):
+        named_slot, named_shown = np.where(opens, NAME, slot).astype(np.uint8), np.where(opens, np.uint64(NAME), shown)
+        for words, kinds, fits in (
+            (shown, slot, whole & (filled > 0) & (2 * filled <= width)),
+            (named_shown, named_slot, whole & (opened > 0) & (2 * (filled + opened) <= width)),
+            (literal, plain, whole),
+        ):
             hashes = np.full(total, width + (kinds is plain), np.uint64)
             for k in range(width):
                 hashes = _join(hashes, words[k : k + total])
@@ -251,6 +261,21 @@ def leaks(
     return out.select("key", "item", "n_windows", "item_windows", shared.alias("coverage"), "verbatim")
 
 
+def clean_texts(
+    docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text: str, width: int = WINDOW, coverage: float = COVERAGE
+) -> DataFrame:
+    """The rows of ``docs`` whose text leaks nothing, with all their columns.
+
+    Only the text decides, so rows without a key, or with the key of a leak, are judged like all others. Texts are told
+    apart by a digest of 128 bits; rows with a null text stay.
+    """
+    mark = own(docs, "_digest")
+    marked = docs.withColumn(mark, F.md5(named(docs, text).cast("string").cast("binary")))
+    found = leaks(marked, mark, text, items, item_key, item_text, width, coverage)
+    bad = small(stage(found.select(F.col("key").alias("_leak")).distinct()))
+    return marked.join(bad, named(marked, mark) == bad["_leak"], "left_anti").drop(mark)
+
+
 def without_leaks(docs: DataFrame, key: str, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak nothing, with all their columns."""
     bad = small(stage(found.select(F.col("key").alias("_leak")).distinct()))
