@@ -36,9 +36,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents whose text holds no item of the benchmark, whatever their doc_id."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.without_leaks(docs, "doc_id", decontamination.leaks(docs, "doc_id", "text", items, "item_id", "text"))
+    return decontamination.clean_texts(docs, "text", items, "item_id", "text")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
