@@ -114,6 +114,23 @@ def test_retention(spark, frame, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/a").count() == 3 and spark.read.parquet(f"{tmp_path}/s").first()["n"] == 3
 
 
+@pytest.mark.parametrize("unit", ["year", "month", "day"])
+def test_retention_by_bounds_reads_the_partition_at_the_cutoff(spark, frame, tmp_path, unit):
+    times = [dt.datetime(2021, 1, 31, 23), dt.datetime(2021, 6, 1), dt.datetime(2021, 6, 1, 9), dt.datetime(2021, 6, 2), dt.datetime(2022, 1, 1), None]
+    path = f"{tmp_path}/by-{unit}"
+    stored, parts = tables.by_period(frame("n int, at timestamp", *enumerate(times)), "at", unit)
+    tables.store(stored, path, parts)
+    limit = F.lit("2021-06-01 05:00:00").cast("timestamp")
+    read = tables.at_cutoff(spark.read.parquet(path), parts, limit)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert parts[0] in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r["n"] for r in read.collect()} == {"year": {0, 1, 2, 3}, "month": {1, 2, 3}, "day": {1, 2}}[unit]
+    assert tables.retain(spark, path, parts, "at", "2021-06-01 05:00:00") == {"year": 0, "month": 1, "day": 1}[unit]
+    assert {r["n"] for r in spark.read.parquet(path).collect()} == {2, 3, 4, 5}
+    assert tables.retain(spark, path, parts, "at", "2021-12-31 23:00:00") == 1 + (unit == "day")
+    assert {r["n"] for r in spark.read.parquet(path).collect()} == {4, 5}
+
+
 # --- dimensions ---------------------------------------------------------------------------------------
 
 

@@ -344,6 +344,52 @@ def expired(df: DataFrame, time: str, cutoff: Column) -> DataFrame:
     return df.filter(F.col(time) < cutoff)
 
 
+# Partition columns that ``by_period`` makes, with the expressions of the first day of a partition and of the next one.
+_PERIODS = {
+    ("year",): ("make_date(year, 1, 1)", "make_date(year + 1, 1, 1)"),
+    ("year", "month"): ("make_date(year, month, 1)", "add_months(make_date(year, month, 1), 1)"),
+    ("day",): ("day", "date_add(day, 1)"),
+}
+
+
+def at_cutoff(table: DataFrame, parts: Sequence[str], limit: Column) -> DataFrame:
+    """The rows of the partition of a period that holds the cutoff; only its files are read."""
+    first, following = _PERIODS[tuple(parts)]
+    return table.filter((F.expr(first).cast("timestamp") < limit.cast("timestamp")) & (limit.cast("timestamp") < F.expr(following).cast("timestamp")))
+
+
+def _old_folders(table: DataFrame, parts: Sequence[str], limit: Column) -> list[str]:
+    """Folders of partitions whose whole period lies before the cutoff, by the partition values in their names.
+
+    The names come from the file list that Spark has read on the driver; no data is read.
+    """
+    spark = table.sparkSession
+    folders = sorted({file.rsplit("/", 1)[0] for file in table.inputFiles()})
+    if not folders:
+        return []
+    named = spark.createDataFrame([(f,) for f in folders], "folder string")
+    values = {p: F.regexp_extract("folder", f"(?:^|/){p}=([^/]*)", 1).try_cast(table.schema[p].dataType) for p in parts}
+    # A partition without a value holds the rows without a time: its bound is null, and it stays.
+    old = F.expr(_PERIODS[tuple(parts)][1]).cast("timestamp") <= limit.cast("timestamp")
+    return [r["folder"] for r in named.withColumns(values).filter(old).select("folder").collect()]
+
+
+def _folders(files: DataFrame) -> list[str]:
+    """The folders of the files that hold the rows."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")
+    return [r["folder"] for r in files.select(folder).distinct().collect()]
+
+
+def _counted_folders(table: DataFrame, parts: Sequence[str], time: str, limit: Column) -> tuple[DataFrame, list[str]]:
+    """(rows of partitions that are old in part, folders of those wholly old) where the values say nothing about the time."""
+    held = table.groupBy(*parts).agg(F.count_if(F.col(time) < limit).alias("_old"), F.count(F.lit(1)).alias("_all"))
+    held = pin(held.filter("_old > 0"))
+    inside = lambda chosen: table.join(chosen, reduce(and_, [table[p].eqNullSafe(chosen[p]) for p in parts]), "left_semi")
+    # The folders are those that Spark itself lists for the files, whatever their values look like.
+    files = inside(small(pin(held.filter("_old = _all").select(*parts))))
+    return inside(small(pin(held.filter("_old < _all").select(*parts)))), _folders(files)
+
+
 def retain(
     spark: SparkSession,
     path: str,
@@ -355,36 +401,38 @@ def retain(
 ) -> int:
     """Remove what is older than ``cutoff``; first archive it, or write a summary, when asked to.
 
-    A partition that is wholly older is dropped as a folder; one that holds the cutoff is rewritten. Rows
-    without a time are kept.
+    A partition that is wholly older is dropped as a folder; one that holds the cutoff is rewritten. Rows without a time
+    are kept. Where the partitions are those of ``by_period`` for ``time``, their values decide, and only the one
+    at the cutoff is read; for others the rows are counted. Folders are deleted one by one, of which a table by month has few.
     ``summary`` is (path, group columns, aggregates). Returns the number of partitions dropped.
     """
     table = spark.read.parquet(path)
     limit = F.lit(cutoff).cast(table.schema[time].dataType)
+    by_bounds = tuple(parts) in _PERIODS
     old = expired(table, time, limit)
+    if by_bounds:
+        old = old.filter(F.expr(_PERIODS[tuple(parts)][0]).cast("timestamp") < limit.cast("timestamp"))
     if archive:
         store(old, archive, parts)
     if summary:
         where, by, aggregates = summary
         store(old.groupBy(*by).agg(*[e.alias(n) for n, e in aggregates.items()]), where)
-    # One row for each partition that holds something old; partitions that hold nothing old are left alone.
-    held = table.groupBy(*parts).agg(F.count_if(F.col(time) < limit).alias("_old"), F.count(F.lit(1)).alias("_all"))
-    held = pin(held.filter("_old > 0"))
-    inside = lambda chosen: table.join(chosen, reduce(and_, [table[p].eqNullSafe(chosen[p]) for p in parts]), "left_semi")
-    # The folders are those that Spark itself lists for the files, whatever their values look like.
-    files = inside(small(pin(held.filter("_old = _all").select(*parts))))
-    folders = pin(files.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder")).distinct())
-    mixed = small(pin(held.filter("_old < _all").select(*parts)))
-    if not mixed.isEmpty():
+    if by_bounds:
+        mixed, folders = at_cutoff(table, parts, limit), _old_folders(table, parts, limit)
+    else:
+        mixed, folders = _counted_folders(table, parts, time, limit)
+    kept = stage(mixed)
+    if not kept.isEmpty():
         # A row without a time is not old.
-        kept = stage(inside(mixed).filter((F.col(time) >= limit) | F.col(time).isNull()))
-        store(kept, path, parts, "overwrite")
+        later = kept.filter((F.col(time) >= limit) | F.col(time).isNull())
+        store(later, path, parts, "overwrite")
+        if by_bounds and later.isEmpty():
+            # Nothing is left of the partition, and an empty write replaces nothing.
+            folders = sorted({*folders, *_folders(mixed)})
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    dropped = 0
-    for row in folders.toLocalIterator():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["folder"]))
+    for name in folders:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
         if not fs.delete(folder, True):
-            raise RuntimeError(f"could not delete {row['folder']}")
-        dropped += 1
-    return dropped
+            raise RuntimeError(f"could not delete {name}")
+    return len(folders)
