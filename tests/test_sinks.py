@@ -375,3 +375,73 @@ def test_every_delivered_row_is_counted(spark, frame, tmp_path):
     failed = [r["failed_checks"] for r in spark.read.parquet(f"{tmp_path}/t/quarantine").collect()]
     assert len(failed) == 4 and sum(f == ["high_gte_close"] for f in failed) == 1
     assert sum("date missing" in f or "null_timestamps" in f for f in failed) == 3
+
+
+# --- late rows and copies across batches ---------------------------------------------------------------
+
+
+def test_late_ticks_wait_and_are_folded_once(spark, frame, tmp_path):
+    ddl = "symbol string, ts timestamp, price double, volume bigint"
+    source, out, late = f"{tmp_path}/in", f"{tmp_path}/bars", f"{tmp_path}/late"
+    how = (["symbol"], "ts", "price", "volume", "1h")
+    at = lambda day, minute: dt.datetime(2024, 1, day, 10, minute)
+
+    def deliver(*rows):
+        frame(ddl, *rows).coalesce(1).write.mode("append").parquet(source)
+        stream = streams.ingest(spark, source, frame(ddl).schema)
+        streams.keep_bars(stream, out, f"{tmp_path}/cp", *how, late=late, delay="1 hour").awaitTermination()
+
+    def bars():
+        return sorted((r.symbol, r.bar.day, r.open, r.high, r.low, r.close, r.volume) for r in spark.read.parquet(out).collect())
+
+    deliver(("a", at(1, 10), 2.0, 1), ("a", at(5, 10), 5.0, 1))
+    assert streams.late_rows(spark, late) is None
+    assert streams.fold_late(spark, out, late, *how) == 0
+    deliver(("a", at(1, 5), 1.0, 1), ("a", at(5, 5), 9.0, 1), ("b", at(2, 0), 7.0, 1), ("a", None, 3.0, 1))
+    # Within an hour of the latest time is in time; both earlier days wait.
+    assert bars() == [("a", 1, 2.0, 2.0, 2.0, 2.0, 1), ("a", 5, 9.0, 9.0, 5.0, 5.0, 2)]
+    assert streams.late_rows(spark, late).count() == 2
+    assert streams.fold_late(spark, out, late, *how) == 1
+    folded = [("a", 1, 1.0, 2.0, 1.0, 2.0, 2), ("a", 5, 9.0, 9.0, 5.0, 5.0, 2), ("b", 2, 7.0, 7.0, 7.0, 7.0, 1)]
+    assert bars() == folded
+    assert streams.fold_late(spark, out, late, *how) == 0
+    assert bars() == folded
+
+    # A fold that stops after its rows are in and before it is noted is repeated, without a double count.
+    deliver(("a", at(1, 20), 4.0, 1))
+    name = streams.stream_id(spark, f"{tmp_path}/cp")
+    rows = streams.late_rows(spark, late).filter("late_batch = 2")
+    frame("stream string, upto bigint, done boolean", (name, 2, False)).write.mode("append").parquet(f"{late}/folds")
+    streams.combine_bars(spark, out, streams.partial_bars(rows, *how), 2, ["symbol"], f"late {name}")
+    deliver(("a", at(1, 30), 8.0, 1))
+    assert streams.fold_late(spark, out, late, *how) == 1  # the planned range only
+    assert bars()[0] == ("a", 1, 1.0, 4.0, 1.0, 4.0, 3)
+    assert streams.fold_late(spark, out, late, *how) == 1
+    assert bars()[0] == ("a", 1, 1.0, 8.0, 1.0, 8.0, 4)
+
+
+def test_a_repeated_batch_is_divided_as_before(spark, frame, tmp_path):
+    late, ddl = f"{tmp_path}/late", "k bigint, ts timestamp"
+    first = frame(ddl, (1, dt.datetime(2024, 1, 5)))
+    second = frame(ddl, (2, dt.datetime(2024, 1, 1)), (3, dt.datetime(2024, 1, 9)))
+    streams.set_late_aside(first, 0, late, "s", "ts", "1 day")
+    for _ in range(2):
+        kept = streams.set_late_aside(second, 1, late, "s", "ts", "1 day")
+        assert [r.k for r in kept.collect()] == [3]
+        assert [r.k for r in streams.late_rows(spark, late).collect()] == [2]
+    # Another stream has times of its own.
+    assert streams.set_late_aside(second, 0, late, "t", "ts", "1 day").count() == 2
+
+
+def test_copies_in_different_files_are_stored_once(spark, frame, tmp_path):
+    ddl = "k bigint, ts timestamp, v string"
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    deliveries = [
+        [(1, dt.datetime(2024, 1, 9), "x"), (1, dt.datetime(2024, 1, 9), "x"), (2, None, "n"), (None, dt.datetime(2024, 1, 1), "z")],
+        [(1, dt.datetime(2024, 1, 9), "x"), (2, None, "n"), (3, dt.datetime(2023, 1, 1), "old"), (None, dt.datetime(2024, 1, 1), "z")],
+    ]
+    for rows in deliveries:
+        frame(ddl, *rows).coalesce(1).write.mode("append").parquet(source)
+        streams.keep_new(streams.ingest(spark, source, frame(ddl).schema), out, f"{tmp_path}/cp", ["k"], "ts").awaitTermination()
+    got = sorted((str(r.k), r.v) for r in spark.read.parquet(out).collect())
+    assert got == [("1", "x"), ("2", "n"), ("3", "old"), ("None", "z")]

@@ -515,7 +515,11 @@ def event_stream(t: Tables) -> DataFrame:
 
 def event_batches(t: Tables, path: str) -> DataFrame:
     """The events in ``BATCHES`` files, one file to a batch; times of a batch lie before and after those of the next."""
-    parts = t.events.withColumn("_part", F.pmod(F.xxhash64("event_id"), F.lit(BATCHES)))
+    return in_files(t, t.events.withColumn("_part", F.pmod(F.xxhash64("event_id"), F.lit(BATCHES))), path)
+
+
+def in_files(t: Tables, parts: DataFrame, path: str) -> DataFrame:
+    """Rows delivered in ``BATCHES`` files by their ``_part``, as a stream that takes a file to a batch."""
     for k in range(BATCHES):
         parts.filter(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
     return streams.ingest(t.spark, path, t.events.schema, files_per_trigger=1)
@@ -550,6 +554,43 @@ def stream_folded_bars(t):
     return t.spark.read.parquet(path).select("symbol", "bar", "open", "high", "low", "close", "volume")
 
 
+# Files by time; every tenth event comes one file late.
+_DELIVERED = """e AS (SELECT *, least(2, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END
+  + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) AS part FROM events),
+top AS (SELECT p.part, max(e.ts) AS highest FROM (SELECT DISTINCT part FROM e) p JOIN e ON e.part < p.part GROUP BY 1),
+late AS (SELECT event_type AS symbol, date_trunc('hour', ts) AS bar, count(*) AS late_ticks FROM e JOIN top USING (part)
+  WHERE ts < highest - INTERVAL 1 HOUR GROUP BY 1, 2)"""
+
+
+@query(
+    f"""WITH {HOURLY}, {_DELIVERED} SELECT b.symbol, b.ts AS bar, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low,
+  round(close, 6) AS close, volume, coalesce(late_ticks, 0) AS late_ticks FROM bars b LEFT JOIN late l ON l.symbol = b.symbol AND l.bar = b.ts"""
+)
+def stream_late(t):
+    """Bars of a stream whose late ticks are set aside and folded in afterwards, and how many each bar got that way."""
+    path = scratch(t, "late-bars")
+    ts = F.col("ts")
+    part = F.when(ts < "2024-01-11", 0).when(ts < "2024-01-21", 1).otherwise(2) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    placed = t.events.withColumn("_part", F.least(F.lit(BATCHES - 1), part))
+    ticks = in_files(t, placed, f"{path}-in").withColumnRenamed("event_type", "symbol")
+    how = (["symbol"], "ts", "value", "user_id", "1h")
+    finish(streams.keep_bars(ticks, path, f"{path}-checkpoint", *how, ties=["event_id"], late=f"{path}-late", delay="1 hour"))
+    streams.fold_late(t.spark, path, f"{path}-late", *how, ties=["event_id"])
+    bars = t.spark.read.parquet(path).select("symbol", "bar", "open", "high", "low", "close", "volume")
+    late = streams.late_rows(t.spark, f"{path}-late").groupBy("symbol", F.date_trunc("hour", "ts").alias("bar")).agg(F.count(F.lit(1)).alias("n"))
+    return bars.join(late, ["symbol", "bar"], "left").withColumn("late_ticks", F.coalesce("n", F.lit(0))).drop("n")
+
+
+@query("SELECT event_id, ts, user_id, event_type, round(value, 6) AS value FROM events")
+def stream_unique(t):
+    """Every record delivered in two files, one of them far behind the times of the other; stored once."""
+    path = scratch(t, "unique")
+    first = F.pmod(F.xxhash64("event_id"), F.lit(BATCHES))
+    twice = t.events.select("*", F.explode(F.array(first, F.pmod(first + 1, F.lit(BATCHES)))).alias("_part"))
+    finish(streams.keep_new(in_files(t, twice, f"{path}-in"), path, f"{path}-checkpoint", ["event_id"], "ts"))
+    return t.spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value")
+
+
 @query("SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM events GROUP BY 1")
 def stream_dedup(t):
     """Every record delivered twice, stored once."""

@@ -1,7 +1,9 @@
 """Data-quality checks as counters, their summary, and the rows that break declared rules.
 
 ``results`` has one row per key and *emitted* check: a check that finds nothing emits nothing, except
-the required-columns check. All row-wise counters come from one aggregate scan.
+the required-columns check. Two passes over the rows give them all: one aggregate with the row-wise counters,
+the moments for z-scores and the lengths of the series, then one pass in the order of the series, in which anomalies,
+repeats and gaps are found together.
 """
 
 from __future__ import annotations
@@ -10,15 +12,14 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.scalar import lookup
-from tidemark.operators.bars import gaps
-from tidemark.operators.clean import SEQ, is_numeric, zscore_flags
+from tidemark.operators.clean import SEQ, is_numeric
 from tidemark.operators.series import ROWS_PER_CHUNK, Series, attach, join_on, over_series
-from tidemark.operators.stats import quantiles
+from tidemark.operators.stats import BUFFERED_ROWS, quantiles
 from tidemark.session import pin, small, stage
 
 RESULT_COLUMNS = ("check_name", "level", "passed", "violations", "detail")
@@ -112,18 +113,20 @@ def results(
 
     aggregates = [F.count(F.lit(1)).alias("_rows")]
     aggregates += [e.alias(name) for name, e in counters.aggregates.items()]
-    wide = df.groupBy(*s.keys).agg(*aggregates)
+    for c in numeric:
+        aggregates += [F.avg(c).alias(f"_mean_{c}"), F.stddev_samp(c).alias(f"_std_{c}"), F.count(c).alias(f"_n_{c}")]
+    wide = pin(df.groupBy(*s.keys).agg(*aggregates))
     parts = [wide.select(*s.keys, F.inline(F.array_compact(F.array(*counters.results))))]
 
-    if numeric:
-        parts.append(_anomalies(df, s, numeric, z_threshold))
     unique = [c for c in rules["unique"] if c in types]
-    if unique:
+    # In the order of a series rows of the same time are neighbours.
+    by_time = s.time in types and set(unique) - set(s.keys) == {s.time}
+    if numeric or s.time in types:
+        parts.append(_ordered(df, s, wide, numeric, unique if by_time else [], z_threshold, rows_per_chunk, s.time in types))
+    if unique and not by_time:
         parts.append(_duplicates(df, s, unique))
-    if s.time in types:
-        parts.append(_time_gaps(df, s, rows_per_chunk))
-        if SEQ in types:
-            parts.append(_order(df, s, rows_per_chunk))
+    if s.time in types and SEQ in types:
+        parts.append(_order(df, s, rows_per_chunk))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -131,39 +134,80 @@ def _emit(df: DataFrame, s: Series, result: Column) -> DataFrame:
     return df.withColumn("_r", result).filter("_r.violations > 0").select(*s.keys, "_r.*")
 
 
-def _anomalies(df: DataFrame, s: Series, columns: Sequence[str], threshold: float) -> DataFrame:
-    flagged = zscore_flags(df.select(*s.keys, *[c for c in columns if c not in s.keys]), s.keys, columns, threshold)
-    wide = flagged.groupBy(*s.keys).agg(*[F.count_if(f"{c}_anomaly").alias(f"_a_{c}") for c in columns])
-    found = [_result(f"anomalies_{c}", "WARNING", True, F.col(f"_a_{c}"), z_score_threshold=threshold) for c in columns]
-    return wide.select(*s.keys, F.inline(F.array(*found))).filter("violations > 0")
+def _repeats(count: Column, unique: Sequence[str]) -> Column:
+    return _result("duplicate_records", "ERROR", False, count, columns=",".join(unique))
+
+
+def _ordered(
+    df: DataFrame, s: Series, wide: DataFrame, numeric: Sequence[str], unique: Sequence[str], threshold: float,
+    rows_per_chunk: int, timed: bool,
+) -> DataFrame:
+    """Anomalies, members of repeated times and gaps of more than twice the median gap, per series.
+
+    ``wide`` holds the moments and the length of every series, so neither is counted again.
+    """
+    moments = [f"{name}_{c}" for c in numeric for name in ("_mean", "_std", "_n")]
+    rows = df.select(*dict.fromkeys([*s.keys, *(s.order if timed else ()), *numeric]))
+    rows = join_on(rows, small(wide.select(*s.keys, *moments)), s.keys)
+    flags = {}
+    for c in numeric:
+        usable = (F.col(f"_n_{c}") > 2) & (F.col(f"_std_{c}") > 0)
+        z = F.when(usable, (F.col(c) - F.col(f"_mean_{c}")) / F.col(f"_std_{c}"))
+        flags[c] = F.coalesce(F.abs(z) > threshold, F.lit(False)).alias(f"_a_{c}")
+    rows = rows.select(*dict.fromkeys([*s.keys, *(s.order if timed else ())]), *flags.values())
+    counted = [F.count_if(f"_a_{c}").alias(f"_a_{c}") for c in numeric]
+    found = [_result(f"anomalies_{c}", "WARNING", True, F.col(f"_a_{c}"), z_score_threshold=threshold) for c in numeric]
+    if timed:
+        rows = _with_median(_with_neighbours(rows, s, wide, rows_per_chunk), s, wide)
+        large = F.when(F.col("_gap") > 2 * F.col("_median"), F.col("_gap"))
+        counted += [
+            F.count_if("_repeat").alias("_repeats"), F.count(large).alias("_large"), F.sum(large).alias("_total"),
+            F.max(large).alias("_largest"), F.max("_median").alias("_median"),
+        ]
+        found += [_repeats(F.col("_repeats"), unique)] if unique else []
+        found.append(
+            _result(
+                "time_gaps", "WARNING", True, F.col("_large"),
+                total_gap_seconds=F.round("_total", 3), median_seconds=F.round("_median", 3),
+                largest_seconds=F.round("_largest", 3),
+            )
+        )
+    return rows.groupBy(*s.keys).agg(*counted).select(*s.keys, F.inline(F.array(*found))).filter("violations > 0")
+
+
+def _with_neighbours(rows: DataFrame, s: Series, wide: DataFrame, rows_per_chunk: int) -> DataFrame:
+    """Seconds since the row before as ``_gap``, and whether a neighbour has the same time as ``_repeat``."""
+    micros = F.unix_micros(F.col(s.time).cast("timestamp"))
+
+    def steps(frame: DataFrame, part: Series) -> DataFrame:
+        w = part.window()
+        same = [f(F.lit(1)).over(w).isNotNull() & F.col(s.time).eqNullSafe(f(s.time).over(w)) for f in (F.lag, F.lead)]
+        return frame.withColumns({"_gap": (micros - F.lag(micros).over(w)) / 1e6, "_repeat": same[0] | same[1]})
+
+    if _longest(wide) <= rows_per_chunk:
+        return steps(rows, s)
+    return over_series(rows, s, steps, lookback=1, lookahead=1, rows_per_chunk=rows_per_chunk)
+
+
+def _with_median(rows: DataFrame, s: Series, wide: DataFrame) -> DataFrame:
+    """The median gap of the series; in the same shuffle as the gaps while the values of a series fit a buffer."""
+    if _longest(wide) <= BUFFERED_ROWS:
+        return rows.withColumn("_median", F.percentile("_gap", F.lit(0.5)).over(Window.partitionBy(*s.keys)))
+    rows = stage(rows)
+    medians = quantiles(rows.filter(F.col("_gap").isNotNull()).select(*s.keys, "_gap"), s.keys, {"_gap": [0.5]})
+    return attach(rows, medians.withColumnRenamed("_gap_p50", "_median"), s.keys)
+
+
+def _longest(wide: DataFrame) -> int:
+    return wide.agg(F.max("_rows")).first()[0] or 0
 
 
 def _duplicates(df: DataFrame, s: Series, unique: Sequence[str]) -> DataFrame:
-    """All members of a duplicated key count."""
+    """All members of a duplicated key count, whatever its columns."""
     by = list(dict.fromkeys([*s.keys, *unique]))
     copies = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     total = copies.groupBy(*s.keys).agg(F.sum("_n").alias("_n"))
-    return _emit(total, s, _result("duplicate_records", "ERROR", False, F.col("_n"), columns=",".join(unique)))
-
-
-def _time_gaps(df: DataFrame, s: Series, rows_per_chunk: int) -> DataFrame:
-    """Gaps of more than twice the median gap, per series."""
-    spaced = gaps(df.select(*s.keys, *s.order), s, rows_per_chunk)
-    spaced = stage(spaced.filter("gap IS NOT NULL").select(*s.keys, "gap"))
-    wide = attach(spaced, quantiles(spaced, s.keys, {"gap": [0.5]}), s.keys)
-    large = F.when(F.col("gap") > 2 * F.col("gap_p50"), F.col("gap"))
-    found = wide.groupBy(*s.keys).agg(
-        F.count(large).alias("_n"), F.sum(large).alias("_total"), F.max(large).alias("_largest"),
-        F.first("gap_p50").alias("_median"),
-    )
-    return _emit(
-        found, s,
-        _result(
-            "time_gaps", "WARNING", True, F.col("_n"),
-            total_gap_seconds=F.round("_total", 3), median_seconds=F.round("_median", 3),
-            largest_seconds=F.round("_largest", 3),
-        ),
-    )
+    return _emit(total, s, _repeats(F.col("_n"), unique))
 
 
 def _order(df: DataFrame, s: Series, rows_per_chunk: int) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.bars import _STEPS
 from tidemark.operators.validate import quarantine
 from tidemark.session import stage
-from tidemark.sinks.tables import exists, matched, merge_upsert, store, touched
+from tidemark.sinks.tables import append, exists, insert_ignore, matched, merge_upsert, store, touched
 from tidemark.sources.payloads import READERS
 
 
@@ -128,13 +128,110 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 def keep_bars(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], time: str, price: str, volume: str,
-    granularity: str, once: bool = True, ties: Sequence[str] = (),
+    granularity: str, once: bool = True, ties: Sequence[str] = (), late: str | None = None, delay: str = "1 hour",
 ) -> StreamingQuery:
-    """Continuously folded bars, whatever the order the ticks arrive in."""
+    """Continuously folded bars, whatever the order the ticks arrive in.
+
+    Without ``late`` every batch folds all of its ticks, so a tick of last year rewrites a day of last year. With
+    ``late`` the ticks that come more than ``delay`` behind are kept there, and ``fold_late`` takes them in later:
+    a batch then rewrites recent days only, and an old day is rewritten once for all its late ticks.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        name, rows = stream_id(spark, checkpoint), batch
+        if late is not None:
+            batch.persist()
+            rows = set_late_aside(batch, batch_id, late, name, time, delay)
+        combine_bars(spark, path, partial_bars(rows, keys, time, price, volume, granularity, ties), batch_id, keys, name)
+        batch.unpersist()
+
+    return _start(stream, handle, checkpoint, once)
+
+
+def set_late_aside(batch: DataFrame, batch_id: int, late: str, stream: str, time: str, delay: str) -> DataFrame:
+    """The rows of a batch that are in time; the others go to the side table below ``late``.
+
+    A row is late when its time lies more than ``delay`` before the greatest time of all earlier batches of the stream;
+    a row without a time is never late. The greatest time so far is stored for the last two batches, so a batch that
+    is delivered again is divided as before and replaces its own rows.
+    """
+    spark, seen = batch.sparkSession, f"{late}/seen"
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    highest = None
+    if exists(spark, seen):
+        before = spark.read.parquet(seen).filter((F.col("late_stream") == stream) & (F.col("batch") < batch_id))
+        highest = before.agg(F.max("highest")).first()[0]
+    top = batch.agg(F.greatest(F.max(micros), F.lit(highest).cast("bigint")).alias("highest"))
+    mark = {"batch": F.lit(batch_id).cast("bigint"), "late_stream": F.lit(stream), "slot": F.lit(batch_id % 2)}
+    behind = F.lit(False)
+    if highest is not None:
+        behind = F.coalesce(F.timestamp_micros(micros) < F.timestamp_micros(F.lit(highest)) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+    aside = batch.filter(behind)
+    if not aside.isEmpty():
+        aside = aside.withColumns({"late_stream": F.lit(stream), "late_batch": F.lit(batch_id)})
+        store(aside, f"{late}/rows", ["late_stream", "late_batch"], "overwrite")
+    store(top.withColumns(mark), seen, ["late_stream", "slot"], "overwrite")
+    return batch.filter(~behind)
+
+
+def late_rows(spark: SparkSession, late: str) -> DataFrame | None:
+    """Everything that was set aside, with ``late_stream`` and ``late_batch``; None when nothing was."""
+    return spark.read.parquet(f"{late}/rows") if exists(spark, f"{late}/rows") else None
+
+
+def fold_late(
+    spark: SparkSession, path: str, late: str, keys: Sequence[str], time: str, price: str, volume: str, granularity: str,
+    ties: Sequence[str] = (),
+) -> int:
+    """Fold the rows set aside since the last fold into the bars, each touched day once. Returns the number of streams
+    that had any.
+
+    Which batches a fold takes is written down before it begins. An interrupted fold is repeated with just these, and
+    bars that have taken them in leave them out. Not to be run while a stream writes to the same table.
+    """
+    rows, log, folded = late_rows(spark, late), f"{late}/folds", 0
+    if rows is None:
+        return folded
+    newest = {r[0]: r[1] for r in rows.groupBy("late_stream").agg(F.max("late_batch")).collect()}  # one row per stream
+    known = {}
+    if exists(spark, log):
+        ends = spark.read.parquet(log).groupBy("stream").agg(F.max("upto"), F.max(F.when(F.col("done"), F.col("upto"))))
+        known = {r[0]: (r[1], r[2]) for r in ends.collect()}
+    for stream, last in newest.items():
+        planned, done = known.get(stream, (None, None))
+        done = -1 if done is None else done
+        upto = planned if planned is not None and planned > done else last
+        if upto <= done:
+            continue
+        note = lambda finished: spark.range(1).select(
+            F.lit(stream).alias("stream"), F.lit(upto).cast("bigint").alias("upto"), F.lit(finished).alias("done")
+        )
+        if upto != planned:
+            append(note(False), log)
+        chosen = rows.filter((F.col("late_stream") == stream) & (F.col("late_batch") > done) & (F.col("late_batch") <= upto))
+        combine_bars(spark, path, partial_bars(chosen, keys, time, price, volume, granularity, ties), upto, keys, f"late {stream}")
+        append(note(True), log)
+        folded += 1
+    return folded
+
+
+def keep_new(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], time: str, order: Sequence[str] = (), once: bool = True
+) -> StreamingQuery:
+    """Continuously store the records whose key the table does not hold, in whichever file or batch their copies come,
+    however late.
+
+    The table is the state: it is partitioned by the ``day`` of the time, and a batch is compared with the keys of its own
+    days only. So copies of a record must bear the same day; of those in one batch the first in ``order`` stays. Records
+    without a time share a day of their own. A repeated batch adds nothing.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = partial_bars(batch, keys, time, price, volume, granularity, ties)
-        combine_bars(batch.sparkSession, path, rows, batch_id, keys, stream_id(batch.sparkSession, checkpoint))
+        batch.persist()
+        dated = batch.withColumn("day", F.coalesce(F.to_date(time), F.lit("0001-01-01").cast("date")))
+        insert_ignore(batch.sparkSession, path, dated, [*keys, "day"], ["day"], order)
+        batch.unpersist()
 
     return _start(stream, handle, checkpoint, once)
 
