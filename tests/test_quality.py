@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,3 +242,40 @@ def test_market_mood(frame):
     assert {r["market_sentiment"] for r in catalogue.market_summary(df).collect()} == {"Positive"}
     even = df.filter("s <> 'b'")
     assert {r["market_sentiment"] for r in catalogue.market_summary(even).collect()} == {"Negative"}
+
+
+def test_ordered_checks_are_the_same_for_cut_series_and_beyond_the_buffer(frame, monkeypatch):
+    rows = [good(n) for n in (*range(20), 3, 3, 7)]
+    rows += [(T[20], "A", 10.0, 12.0, 9.0, 11.0, 1e6, 20), (None, "A", 10.0, 12.0, 9.0, 11.0, 1.0, 21), (None, "A", 10.0, 12.0, 9.0, 11.0, 1.0, 22)]
+    rows += [(t + dt.timedelta(days=90), "A", 10.0, 12.0, 9.0, 11.0, 1.0, 30 + n) for n, t in enumerate(T[:2])]
+    df = frame(DDL, *rows)
+    shown = lambda **options: sorted((r["check_name"], r["violations"], r["detail"]) for r in validate.results(df, "stock", S, **options).collect())
+    plain = shown()
+    found = {name: n for name, n, _ in plain}
+    assert found["duplicate_records"] == 7 and found["time_gaps"] >= 1
+    assert shown(rows_per_chunk=4) == plain
+    monkeypatch.setattr(validate, "BUFFERED_ROWS", 3)
+    assert shown() == plain
+
+
+# --- learned sentiment ---------------------------------------------------------------------------------
+
+
+def test_learned_weights_and_words_that_turn_them(spark, frame):
+    texts = [("fine day", True)] * 6 + [("grim day", False)] * 6 + [(None, True), ("grim", None), ("", False)]
+    weights = sentiment.learn(frame("t string, y boolean", *texts), "t", "y")
+    got = {r["word"]: r["weight"] for r in weights.collect()}
+    # Seven texts are negative, the empty one among them.
+    assert got == pytest.approx({"fine": math.log(7 / 8) - math.log(1 / 9), "grim": math.log(1 / 8) - math.log(7 / 9), "day": math.log(7 / 8) - math.log(7 / 9)})
+    known = frame("word string, weight double", ("fine", 0.4), ("grim", -0.4))
+    cases = {
+        "plain": ("Fine!", 0.4), "not": ("not so fine", -0.4), "far": ("not a b c fine", 0.4), "very": ("very fine", 0.6),
+        "both": ("not very fine", -0.6), "mixed": ("fine grim", 0.0), "none": ("other words", 0.0), "empty": ("", 0.0), "null": (None, 0.0),
+    }
+    rows = frame("k string, t string", *[(k, t) for k, (t, _) in cases.items()])
+    scored = {r["k"]: r for r in sentiment.score_learned(rows, ["k"], "t", known).collect()}
+    assert {k: r["sentiment_score"] for k, r in scored.items()} == pytest.approx({k: math.tanh(v) for k, (_, v) in cases.items()})
+    assert scored["not"]["sentiment_label"] == "negative" and scored["null"]["sentiment_label"] == "neutral"
+    assert scored["mixed"]["known_words"] == 2 and scored["null"]["known_words"] == 0
+    # Without texts of both labels nothing is learned.
+    assert sentiment.learn(frame("t string, y boolean", ("a", True)), "t", "y", 1).count() == 0

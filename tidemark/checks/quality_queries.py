@@ -320,3 +320,50 @@ SELECT sc.doc_id, sc.source, round(p, 9) AS sentiment_polarity, round(g.mean, 9)
 def sentiment_daily(t):
     out = sentiment.features(t.documents.select("doc_id", "source", "text"), "text", "source", LEXICON)
     return out.drop("text", "sentiment_subjectivity", "sentiment_label")
+
+
+# Every fourth document is held out. The label is the quality of a document, the nearest thing to an opinion here.
+NEGATING, STRENGTHENING = ("not", "no", "that"), {"very": 1.5, "this": 2.0}
+LEARNED_SQL = f"""d AS (SELECT doc_id, doc_id % 4 = 2 AS held_out, quality, regexp_split_to_array(lower(text), '[^a-z]+') AS ws
+  FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL AND quality IS NOT NULL),
+tot AS (SELECT count_if(quality = 1) AS p, count_if(quality = 0) AS n FROM d WHERE NOT held_out),
+dw AS (SELECT DISTINCT doc_id, quality, unnest(ws) AS word FROM d WHERE NOT held_out),
+cw AS (SELECT word, count(*) AS texts, count_if(quality = 1) AS wp, count_if(quality = 0) AS wn FROM dw WHERE word <> '' GROUP BY 1 HAVING count(*) >= 5),
+lw AS (SELECT word, texts, ln((wp + 1.0::DOUBLE) / (p + 2)) - ln((wn + 1.0::DOUBLE) / (n + 2)) AS weight FROM cw, tot),
+e AS (SELECT doc_id, ws, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+f AS (SELECT doc_id, word, CASE WHEN i > 1 AND list_has_any(ws[greatest(i - 3, 1):i - 1], {list(NEGATING)}) THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END
+  * CASE WHEN i = 1 THEN 1.0::DOUBLE {" ".join(f"WHEN ws[i - 1] = '{w}' THEN {x}::DOUBLE" for w, x in STRENGTHENING.items())} ELSE 1.0::DOUBLE END AS factor FROM e),
+s AS (SELECT doc_id, count(*) AS k, tanh(avg(factor * weight)) AS score FROM f JOIN lw USING (word) GROUP BY 1),
+sl AS (SELECT doc_id, held_out, quality, coalesce(k, 0) AS known_words, round(coalesce(score, 0), 6) AS sentiment_score FROM d LEFT JOIN s USING (doc_id))"""
+
+
+def learned(t):
+    """(labelled documents, word weights learned from those that are not held out)"""
+    rows = t.documents.join(t.labels.select("doc_id", "quality"), "doc_id").select("doc_id", "text", "quality").dropna()
+    rows = rows.withColumn("held_out", F.col("doc_id") % 4 == 2)
+    return rows, sentiment.learn(rows.filter(~F.col("held_out")), "text", "quality")
+
+
+@query(f"WITH {LEARNED_SQL} SELECT word, texts, round(weight, 6) AS weight FROM lw")
+def sentiment_weights(t):
+    return learned(t)[1]
+
+
+@query(f"WITH {LEARNED_SQL} SELECT doc_id, held_out, known_words, sentiment_score FROM sl")
+def sentiment_learned(t):
+    rows, weights = learned(t)
+    return sentiment.score_learned(rows, ["doc_id", "held_out"], "text", weights, NEGATING, STRENGTHENING).drop("sentiment_label")
+
+
+@query(
+    f"""WITH {LEARNED_SQL} SELECT held_out, count(*) AS n, count_if(quality = 1)::BIGINT AS positive,
+  count_if((sentiment_score > 0) = (quality = 1))::BIGINT AS hits FROM sl GROUP BY 1"""
+)
+def sentiment_accuracy(t):
+    """How often the sign of the learned score is that of the label, on documents learned from and on others."""
+    rows, weights = learned(t)
+    scored = sentiment.score_learned(rows, ["doc_id", "held_out", "quality"], "text", weights, NEGATING, STRENGTHENING)
+    hit = (F.round("sentiment_score", 6) > 0) == (F.col("quality") == 1)
+    return scored.groupBy("held_out").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality") == 1).alias("positive"), F.count_if(hit).alias("hits")
+    )

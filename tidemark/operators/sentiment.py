@@ -1,4 +1,4 @@
-"""Lexicon sentiment of texts and its daily aggregates."""
+"""Sentiment of texts, by a given lexicon or by learned word weights, and its daily aggregates."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators.series import attach
+from tidemark.operators.series import attach, join_on
+from tidemark.session import pin, small
 
 Lexicon = Mapping[str, tuple[float, float]]
 
@@ -74,3 +75,60 @@ def features(df: DataFrame, text: str, date: str, lexicon: Lexicon = schemas.LEX
     """Scores per row plus the aggregates of the row's date."""
     scored = score(df, text, lexicon)
     return attach(scored, by_date(scored, [date]), [date])
+
+
+# --- learned weights ---------------------------------------------------------------------------------
+
+
+def learn(df: DataFrame, text: str, positive: str, least_texts: int = 5, smoothing: float = 1.0) -> DataFrame:
+    """(word, texts, weight) from labelled texts: by how much the log odds of a positive text differ with the word in it.
+
+    A word counts once per text, and words in fewer than ``least_texts`` texts are left out. Texts that are null or
+    have no label teach nothing; without texts of both labels there are no weights. Counting is one shuffle of partial
+    counts, so a word that is in every text costs one row per map task.
+    """
+    known = df.select(F.col(text).alias("_t"), F.col(positive).cast("boolean").alias("_y")).dropna()
+    of = known.agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n"))
+    words = known.select("_y", F.explode(F.array_distinct(tokens("_t"))).alias("word")).filter("word <> ''")
+    counts = words.groupBy("word").agg(
+        F.count(F.lit(1)).alias("texts"), F.count_if("_y").alias("_wp"), F.count_if(~F.col("_y")).alias("_wn")
+    )
+    share = lambda part, whole: F.log((F.col(part) + smoothing) / (F.col(whole) + 2 * smoothing))
+    wide = counts.filter(F.col("texts") >= least_texts).join(F.broadcast(of.filter("_p > 0 AND _n > 0")))  # one row
+    return wide.select("word", "texts", (share("_wp", "_p") - share("_wn", "_n")).alias("weight"))
+
+
+def _factors(words: Column, negations: Sequence[str], degrees: Mapping[str, float]) -> Column:
+    """Each word with its factor: the degree word just before it, turned round by a negation among the three before."""
+    degree = F.create_map(*[F.lit(x) for w, f in degrees.items() for x in (w, float(f))]) if degrees else None
+
+    def one(word: Column, i: Column) -> Column:
+        start, length = F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))
+        turned = F.when(i > 0, F.exists(F.slice(words, start, length), lambda w: w.isin(*negations))) if negations else F.lit(False)
+        factor = F.when(turned, -1.0).otherwise(1.0)
+        if degree is not None:
+            factor = factor * F.coalesce(F.try_element_at(degree, F.when(i > 0, F.get(words, i - 1))), F.lit(1.0))
+        return F.struct(word.alias("word"), factor.alias("factor"))
+
+    return F.transform(words, one)
+
+
+def score_learned(
+    df: DataFrame, keys: Sequence[str], text: str, weights: DataFrame, negations: Sequence[str] = schemas.NEGATIONS,
+    degrees: Mapping[str, float] = schemas.DEGREES,
+) -> DataFrame:
+    """One row per key: (keys, known_words, sentiment_score, sentiment_label), the score from -1 to 1.
+
+    The score is the hyperbolic tangent of the mean weight of the words that have one. Rows of one key are one text;
+    null or empty texts, and texts without a known word, score 0 and are neutral. Words meet their weights where they
+    are: the table is pinned and broadcast when its counted size allows, else joined by word under adaptive skew
+    handling. Sums are formed before the texts' words are brought together.
+    """
+    words = df.select(*keys, F.explode(_factors(tokens(text), negations, degrees)).alias("_w")).select(*keys, "_w.word", "_w.factor")
+    hits = words.join(small(pin(weights.select("word", "weight"))), "word")
+    sums = hits.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("known_words"), F.tanh(F.avg(F.col("factor") * F.col("weight"))).alias("sentiment_score")
+    )
+    out = join_on(df.select(*keys).distinct(), sums, keys)
+    out = out.fillna({"known_words": 0, "sentiment_score": 0.0}, subset=["known_words", "sentiment_score"])
+    return out.withColumn("sentiment_label", label("sentiment_score"))

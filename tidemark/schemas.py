@@ -387,3 +387,7 @@ LEXICON = {
     "fall": (-0.3, 0.3), "falls": (-0.3, 0.3), "crisis": (-0.5, 0.5), "poor": (-0.4, 0.6),
     "sad": (-0.5, 1.0), "risk": (-0.2, 0.4), "failed": (-0.5, 0.3), "error": (-0.3, 0.3),
 }
+
+# Words that turn the sentiment of the words after them round, and words that make it stronger or weaker.
+NEGATIONS = ("no", "not", "never", "none", "neither", "nor", "without", "cannot")
+DEGREES = {"very": 1.5, "extremely": 2.0, "really": 1.3, "highly": 1.5, "rather": 0.8, "slightly": 0.5, "barely": 0.3}
