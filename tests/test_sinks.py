@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.plans import jobs, star
 from tidemark.sinks import tables
+from tidemark.sources import tables as sources
 from tidemark.streaming import streams
 
 D = dt.date(2024, 1, 1)
@@ -445,3 +446,46 @@ def test_copies_in_different_files_are_stored_once(spark, frame, tmp_path):
         streams.keep_new(streams.ingest(spark, source, frame(ddl).schema), out, f"{tmp_path}/cp", ["k"], "ts").awaitTermination()
     got = sorted((str(r.k), r.v) for r in spark.read.parquet(out).collect())
     assert got == [("1", "x"), ("2", "n"), ("3", "old"), ("None", "z")]
+
+
+def test_news_without_text_time_or_relation(spark, frame, tmp_path):
+    items = [
+        {"id": 1, "datetime": 1704067200, "headline": "Great gain", "summary": "", "related": "ACME", "url": "u1"},
+        {"id": 2, "datetime": 1704067200, "headline": None, "summary": None, "related": " ", "url": "u2"},
+        {"id": 3, "headline": "Late", "related": "ACME", "url": "u3"},
+        {"id": 1, "datetime": 1704067200, "headline": "Great gain", "summary": "", "related": "ACME", "url": "u1"},
+    ]
+    raw = frame("payload string", (json.dumps(items),), (None,), ('{"code": 429}',))
+    counts = jobs.news_sentiment(spark, raw, f"{tmp_path}/t", runs=f"{tmp_path}/runs", run_id="n1")
+    assert counts == {"total": 2, "inserted": 2, "updated": 0, "failed": 1, "merged": 1}
+    rows = {r["entity"]: r for r in spark.read.parquet(f"{tmp_path}/t/sentiment_data").collect()}
+    assert (float(rows["ACME"]["sentiment_score"]), float(rows["ACME"]["confidence"])) == (0.6, 0.425)
+    assert (float(rows["general"]["sentiment_score"]), float(rows["general"]["confidence"]), rows["general"]["raw_text"]) == (0, 1, None)
+    assert spark.read.parquet(f"{tmp_path}/runs").first()["status"] == "partial_success"
+    days = jobs.sentiment_days(spark.read.parquet(f"{tmp_path}/t/sentiment_data"))
+    assert {r["entity"]: r["sentiment_polarity_count"] for r in days.collect()} == {"ACME": 1, "general": 1}
+
+
+def test_a_run_that_fails_before_loading_is_closed_as_failed(spark, frame, tmp_path):
+    with pytest.raises(Exception):
+        jobs.run(spark, jobs.JOBS["stock"], frame("item string", ("AAPL",)), f"{tmp_path}/t", runs=f"{tmp_path}/runs", run_id="x")
+    run = spark.read.parquet(f"{tmp_path}/runs").first()
+    assert (run["status"], run["records_processed"]) == ("failed", 0) and run["error_message"] and run["ended_at"]
+
+
+def test_weather_days_fill_gaps_and_replace_a_day(spark, frame, tmp_path):
+    sky = lambda hour, temp: json.dumps({"cod": 200, "coord": {"lat": 1, "lon": 2}, "dt": 1704067200 + hour * 3600, "main": {"temp": temp, "humidity": 50}})
+    first = frame("payload string, item string", (sky(0, None), "Rome"), (sky(1, 10), "Rome"), (sky(2, 14), "Rome"), (sky(2, 14), "Rome"), (None, "Rome"))
+    assert jobs.weather_days(spark, first, str(tmp_path))["inserted"] == 1
+    day = spark.read.parquet(f"{tmp_path}/weather_daily").first()
+    assert (day["temperature_daily_min"], day["temperature_daily_max"], day["rain_1h_daily_total"]) == (10, 14, 0)
+    again = frame("payload string, item string", (sky(0, 5), "Rome"), (sky(30, 7), "Rome"))
+    assert jobs.weather_days(spark, again, str(tmp_path)) == {"total": 2, "inserted": 1, "updated": 1}
+    stored = {str(r["date"]): r["temperature_daily_max"] for r in spark.read.parquet(f"{tmp_path}/weather_daily").collect()}
+    assert stored == {"2024-01-01": 5, "2024-01-02": 7}
+
+
+def test_coverage_of_the_catalogue(frame):
+    rows = {(r["asset_type"], r["item"], r["category"]): r["n"] for r in sources.coverage(frame("s string", ("SPY",), ("SPY",), ("none",), (None,)), "s").collect()}
+    assert rows["etf", "SPY", None] == rows["fund", "SPY", "broad_market"] == 2 and rows["stock", "AAPL", None] == 0
+    assert sum(rows.values()) == 4

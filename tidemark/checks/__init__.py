@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.checks.base import ORACLES, QUERIES
 
-_MODULES = ("series_queries", "table_queries", "quality_queries", "flow_queries")
+_MODULES = ("series_queries", "table_queries", "quality_queries", "flow_queries", "job_queries")
 
 
 def _load() -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators import catalogue, clean, features, standardize, validate
+from tidemark.operators import catalogue, clean, features, sentiment, standardize, validate, weather
 from tidemark.operators.series import Series
 from tidemark.session import stage
 from tidemark.sinks import tables
@@ -114,24 +114,25 @@ def run(
 ) -> Outcome:
     """Payloads to rows and, when ``target`` is given, into the table.
 
-    All items are one job, and a bad payload or row is set aside, so no item can stop the others.
+    All items are one job, and a bad payload or row is set aside, so no item can stop the others. The record of the run is
+    opened before anything is read, so a run that fails at any step is closed as failed.
     """
-    rows, rejected = read_job(job, raw)
-    rows, dropped = stage(rows), []
-    valid, checks = transform(job, rows, with_features, dropped)
-    summary = validate.summary(checks, schemas.SERIES_KEYS[job.kind])
-    outcome = Outcome(valid, checks, summary, rejected, delivered=rows.count())
-    if target is None:
-        return outcome
-    if runs and run_id:
+    recorded = target is not None and runs is not None and run_id is not None
+    if recorded:
         tables.start_run(spark, runs, job.name, run_id)
     try:
-        outcome.counts = load(spark, job, valid, target, source, run_id, dropped, outcome.delivered)
+        rows, rejected = read_job(job, raw)
+        rows, dropped = stage(rows), []
+        valid, checks = transform(job, rows, with_features, dropped)
+        summary = validate.summary(checks, schemas.SERIES_KEYS[job.kind])
+        outcome = Outcome(valid, checks, summary, rejected, delivered=rows.count())
+        if target is not None:
+            outcome.counts = load(spark, job, valid, target, source, run_id, dropped, outcome.delivered)
     except Exception as error:
-        if runs and run_id:
+        if recorded:
             tables.complete_run(spark, runs, run_id, 0, 0, error=str(error))
         raise
-    if runs and run_id:
+    if recorded:
         tables.complete_run(
             spark, runs, run_id, outcome.counts["total"] + outcome.counts["failed"], outcome.counts["failed"]
         )
@@ -180,6 +181,69 @@ def load(
     return counts
 
 
+NEWS = Job("news", "sentiment", "news", "sentiment_data", {})
+
+
+def news_sentiment(
+    spark: SparkSession, raw: DataFrame, target: str, source: str | None = None, lexicon: sentiment.Lexicon = schemas.LEXICON,
+    runs: str | None = None, run_id: str | None = None,
+) -> dict[str, int]:
+    """News payloads to scored rows in ``sentiment_data``. Returns {total, inserted, updated, failed, merged}.
+
+    The entity is what an item is related to, else its category. The score is the polarity of headline and summary, the
+    confidence one minus their subjectivity; both are rounded at the ninth digit before the table's four, so the order of
+    a sum does not decide. Items without a time are quarantined; empty or null texts score 0 with confidence 1.
+    """
+    recorded = runs is not None and run_id is not None
+    if recorded:
+        tables.start_run(spark, runs, NEWS.name, run_id)
+    try:
+        good, _ = payloads.split_errors(raw)
+        items = payloads.news(good, **NEWS.options)
+        items = items.withColumn("raw_text", F.nullif(F.concat_ws(" ", F.nullif("headline", F.lit("")), F.nullif("summary", F.lit(""))), F.lit("")))
+        scored = sentiment.score(items, "raw_text", lexicon)
+        related = F.nullif(F.trim("related"), F.lit(""))
+        rows = stage(
+            scored.select(
+                F.coalesce(related, "category").alias("entity"), F.col("datetime").alias("timestamp"),
+                F.round("sentiment_polarity", 9).alias("sentiment_score"), F.round(1 - F.col("sentiment_subjectivity"), 9).alias("confidence"),
+                "raw_text", "url",
+            )
+        )
+        counts = load(spark, NEWS, rows, target, source, run_id, delivered=rows.count())
+    except Exception as error:
+        if recorded:
+            tables.complete_run(spark, runs, run_id, 0, 0, error=str(error))
+        raise
+    if recorded:
+        tables.complete_run(spark, runs, run_id, counts["total"] + counts["failed"], counts["failed"])
+    return counts
+
+
+def sentiment_days(stored: DataFrame) -> DataFrame:
+    """Mean, deviation and count of the stored scores for each entity and day."""
+    rows = stored.select(
+        "entity", F.to_date("timestamp").alias("date"), F.col("sentiment_score").cast("double").alias("sentiment_polarity"),
+        (1 - F.col("confidence").cast("double")).alias("sentiment_subjectivity"),
+    )
+    return sentiment.by_date(rows, ["entity", "date"])
+
+
+def weather_days(spark: SparkSession, raw: DataFrame, target: str) -> dict[str, int]:
+    """Weather payloads to days with features in ``weather_daily``, one row per place and day.
+
+    Temperatures are filled from their neighbours, precipitation with 0 and other gaps with the median of the place; then
+    outliers are capped. A later delivery of a day replaces the stored day, so a delivery holds whole days. Rows without
+    a time, or without a value in one of ``weather.GROUP``, belong to no day.
+    """
+    rows, _ = read_job(JOBS["weather"], raw)
+    ties = [clean.SEQ] if clean.SEQ in rows.columns else []
+    timed = stage(clean.drop_repeats(rows.filter(F.col("timestamp").isNotNull()), ["timestamp", *ties]))
+    cleaned = stage(clean.clean_weather(timed, Series(("location",), "timestamp", tuple(ties))))
+    days, parts = tables.by_period(weather.features(weather.daily(cleaned)), "date")
+    return tables.merge_upsert(spark, f"{target}/weather_daily", days, ["location", "latitude", "longitude", "date"], parts)
+
+
 def run_all(spark: SparkSession, raw: Mapping[str, DataFrame], target: str, runs: str, run_id: str) -> DataFrame:
     """Every source that delivered payloads, and the success table: (job, status, counts)."""
     lines = []

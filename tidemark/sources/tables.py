@@ -57,6 +57,15 @@ def members(kind: str, name: str) -> tuple[str, ...]:
     return found or schemas.DEFAULT_ITEMS["index"]
 
 
+def coverage(df: DataFrame, column: str) -> DataFrame:
+    """Rows delivered for every item of the catalogue, 0 for those without any: (asset_type, item, category, n)."""
+    counted = df.groupBy(F.col(column).alias("item")).agg(F.count(F.lit(1)).alias("n"))
+    known = F.broadcast(universe(df.sparkSession))  # about fifty rows
+    # Only counts of catalogue items are left for the outer join, at most one for each.
+    held = counted.join(known.select("item").distinct(), "item", "left_semi")
+    return known.join(held, "item", "left").select("asset_type", "item", "category", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def only_items(df: DataFrame, column: str, items: Sequence[str]) -> DataFrame:
     """Rows of the listed items; a literal list is pushed into the scan."""
     return df.filter(F.col(column).isin(*items))
