@@ -56,7 +56,7 @@ d AS (SELECT location, date, min(temp) AS tmin, max(temp) AS tmax, avg(temp) AS
   round(tavg, 9) AS temperature_daily_avg, round(havg, 9) AS humidity_daily_avg, round(wmax, 9) AS wind_speed_daily_max, round(rain, 9) AS rain_1h_daily_total,
   sky AS weather_main_mode, round(tmax - tmin, 9) AS temperature_daily_range,
   round(greatest(0, 100 - abs(tavg - 21) * 5) * 0.6::DOUBLE + greatest(0, 100 - abs(havg - 50) * 2) * 0.4::DOUBLE, 9) AS comfort_index,
-  dayofweek(date) IN (0, 9) AS is_weekend FROM d JOIN m USING (location, date)""",
+  dayofweek(date) IN (0, 6) AS is_weekend FROM d JOIN m USING (location, date)""",
     digits=9,
 )
 def weather_days_job(t):
