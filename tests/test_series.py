@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import tidemark.operators.stats as stats
 from tidemark.operators.features import ema
-from tidemark.operators.series import over_series, running, series
+from tidemark.operators.series import chunked, in_chunks, over_series, running, series
 
 
 @pytest.fixture(scope="module")
@@ -71,6 +71,16 @@ def test_no_row_is_lost_or_repeated(skewed):
     assert out.count() == skewed.count() == out.select("id").distinct().count()
 
 
+def test_short_chunks_do_not_multiply_tasks(spark, skewed):
+    """Rows are numbered in tasks that follow the rows, however short the chunks are; each non-empty task writes a file."""
+    hot, cold = chunked(skewed, S, 2)
+    assert hot.count() + cold.count() == skewed.count()
+    assert len(hot.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows, part = in_chunks(skewed, S, 2)
+    sizes = rows.groupBy(*part.keys).count().toPandas()
+    assert sizes["count"].max() == 2 and len(sizes) == 750 + 150 + 20 + 1
+
+
 def test_ema_matches_the_recursive_definition(frame):
     df = frame("k string, t long, v double", ("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 4.0), ("a", 4, 8.0))
     assert column(ema(df, series("k", "t"), "v", (3,)), "ema_3", "t") == pytest.approx([1, 1.5, 2.75, 5.375])

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from tidemark.session import pin, small, stage
 
 ROWS_PER_CHUNK = 5_000_000
+# Tasks that number rows follow the rows, not the chunks: a chunk may be shorter than a task is worth.
+ROWS_PER_TASK = 200_000
 
 
 @dataclass(frozen=True)
@@ -100,7 +102,7 @@ def chunked(df: DataFrame, s: Series, rows_per_chunk: int) -> tuple[DataFrame, D
     if hot is None:
         return None
     total = hot.agg(F.sum("_rows")).first()[0]
-    wide = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_chunk))
+    wide = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // max(rows_per_chunk, ROWS_PER_TASK)))
     flagged = join_on(df, small(hot), s.keys)
     laid = _numbered(flagged.filter(F.col("_rows").isNotNull()).drop("_rows"), s, wide)
     return laid, flagged.filter(F.col("_rows").isNull()).drop("_rows")
