@@ -9,6 +9,7 @@ import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
+import tidemark.operators.series as series_module
 import tidemark.operators.stats as stats
 from tidemark.operators.features import ema
 from tidemark.operators.series import chunked, in_chunks, over_series, running, series
@@ -81,6 +82,15 @@ def test_short_chunks_do_not_multiply_tasks(spark, skewed):
     assert sizes["count"].max() == 2 and len(sizes) == 750 + 150 + 20 + 1
 
 
+def test_ranges_drawn_by_the_driver_follow_the_rows(spark, skewed, monkeypatch):
+    """The driver samples rows for each range, so their number must not follow the chunks."""
+    asked, numbered = [], series_module._numbered
+    monkeypatch.setattr(series_module, "_numbered", lambda rows, s, n: asked.append(n) or numbered(rows, s, n))
+    out = over_series(skewed, S, steps, 9, 6, rows_per_chunk=20)
+    running(out, S, {"top": ("max", "v")}, rows_per_chunk=20)
+    assert len(asked) == 2 and max(asked) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_ema_matches_the_recursive_definition(frame):
     df = frame("k string, t long, v double", ("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 4.0), ("a", 4, 8.0))
     assert column(ema(df, series("k", "t"), "v", (3,)), "ema_3", "t") == pytest.approx([1, 1.5, 2.75, 5.375])
