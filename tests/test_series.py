@@ -9,6 +9,7 @@ import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
+import tidemark.operators.features as features_module
 import tidemark.operators.series as series_module
 import tidemark.operators.stats as stats
 from tidemark.operators.features import ema
@@ -104,6 +105,25 @@ def test_ema_with_gaps_matches_pandas(skewed, size):
     assert (got["ema_5"] - expected).abs().max() < 1e-9
 
 
+def test_ema_folds_many_chunks_a_few_at_a_time(skewed, monkeypatch):
+    """Over chunks of chunks of chunks, some without a value; no row holds the chunks of a whole series."""
+    widest, kept = [], features_module.stage
+
+    def stage(df):
+        out = kept(df)
+        if "_along" in out.columns:
+            widest.append(out.agg(F.max(F.size("_along"))).first()[0])
+        return out
+
+    monkeypatch.setattr(features_module, "CHUNKS_PER_FOLD", 7, raising=False)
+    monkeypatch.setattr(features_module, "stage", stage)
+    rows = skewed.filter("k = 'hot'").withColumn("v", F.expr("CASE WHEN id % 37 = 5 OR id > 1400 THEN v END"))
+    got = ema(rows, S, "v", (5,), rows_per_chunk=4).toPandas().sort_values(["ts", "id"], na_position="first")
+    expected = got["v"].ewm(span=5, adjust=False).mean()
+    assert (got["ema_5"] - expected).abs().max() < 1e-9 and (got["ema_5"].isna() == expected.isna()).all()
+    assert len(widest) == 4 and max(widest) == 7
+
+
 @pytest.mark.parametrize("accuracy", [40, 10_000])
 def test_sketched_quantiles_are_exact(skewed, monkeypatch, accuracy):
     monkeypatch.setattr(stats, "SKETCH_ACCURACY", accuracy)

@@ -19,6 +19,8 @@ from tidemark.session import pin, small, stage
 
 LAGS = (1, 2, 3, 5, 7, 14, 21, 30)
 WINDOWS = (3, 7, 14, 30)
+# Chunks of a cut series whose maps are composed in one row.
+CHUNKS_PER_FOLD = 256
 
 
 def _apply(df: DataFrame, s: Series, steps: Callable, lookback: int, rows_per_chunk: int | None) -> DataFrame:
@@ -122,27 +124,72 @@ def _carried_ema(rows: DataFrame, s: Series, column: str, name: str, product: st
     x = F.col(column).cast("double")
     at = F.when(x.isNotNull(), F.col("_idx"))
     ends = rows.filter(F.col("_idx").isNotNull()).groupBy(*s.keys, "_chunk").agg(
-        F.min("_idx").alias("begin"), F.min(at).alias("first"), F.max(at).alias("last"), F.min_by(x, at).alias("x"),
+        F.min(at).alias("first"), F.max(at).alias("last"), F.min_by(x, at).alias("x"),
         F.max_by(name, at).alias("y"), F.max_by(product, at).alias("p"),
     )
-    along = F.array_sort(F.collect_list(F.struct("_chunk", "first", "last", "x", "y", "p")))
-    none = F.lit(None).cast("double")
+    return _entering(ends, s.keys, alpha).drop("_before")
+
+
+def _entering(ends: DataFrame, keys: Sequence[str], alpha: float) -> DataFrame:
+    """(keys, _chunk, _enters, _moves, _before): the average that enters a chunk, its move, and the last observation before.
+
+    ``ends`` has a row per chunk with its first and last observation, the value of the first, and the average and the
+    product at the last. Consecutive chunks together have such a row too. So ``CHUNKS_PER_FOLD`` chunks are folded into
+    a longer one, what enters the longer ones is found in the same way, and it is then led along the chunks of each.
+    """
+    of_chunk = ("first", "last", "x", "y", "p")
+    along = F.array_sort(F.collect_list(F.struct("_chunk", *of_chunk)))
+    block = F.floor(F.col("_chunk") / CHUNKS_PER_FOLD).cast("bigint").alias("_block")
+    folds = stage(ends.groupBy(*keys, block).agg(along.alias("_along")))
+    none, unset = F.lit(None).cast("double"), F.lit(None).cast("bigint")
+    empty = {"first": unset, "last": unset, "x": none, "y": none, "p": none}
+
+    def moved(state: Column, c: Column) -> tuple[Column, Column]:
+        faded = F.greatest(F.power(F.lit(1 - alpha), c["first"] - state["last"]), F.lit(1e-30))
+        weight = faded / (faded + alpha)
+        return weight, F.coalesce((state["y"] - c["x"]) * weight, F.lit(0.0))
+
+    def after(state: Column, c: Column) -> dict[str, Column]:
+        weight, move = moved(state, c)
+        nothing, blank = state["last"].isNull(), c["first"].isNull()
+        return {
+            "first": F.coalesce(state["first"], c["first"]),
+            "last": F.coalesce(c["last"], state["last"]),
+            "x": F.when(nothing, c["x"]).otherwise(state["x"]),
+            "y": F.when(blank, state["y"]).otherwise(c["y"] + c["p"] * move),
+            "p": F.when(nothing, c["p"]).when(blank, state["p"]).otherwise(state["p"] * weight * c["p"]),
+        }
+
+    def as_struct(columns: dict[str, Column]) -> Column:
+        return F.struct(*[c.alias(n) for n, c in columns.items()])
+
+    if folds.filter(F.col("_block") > 0).isEmpty():
+        led = folds.withColumns({"_y": none, "_last": unset})
+    else:
+        longer = folds.select(
+            *keys, F.col("_block").alias("_chunk"), F.aggregate("_along", as_struct(empty), lambda t, c: as_struct(after(t, c))).alias("_end")
+        )
+        outer = _entering(longer.select(*keys, "_chunk", "_end.*"), keys, alpha)
+        outer = outer.select(*keys, F.col("_chunk").alias("_block"), F.col("_enters").alias("_y"), F.col("_before").alias("_last"))
+        led = join_on(folds, outer, [*keys, "_block"])
+
     start = F.struct(
-        none.alias("y"), F.lit(None).cast("bigint").alias("last"),
-        F.expr("cast(array() as array<struct<_chunk:bigint,_enters:double,_moves:double>>)").alias("out"),
+        F.col("_y").alias("y"), F.col("_last").alias("last"),
+        F.expr("cast(array() as array<struct<_chunk:bigint,_enters:double,_moves:double,_before:bigint>>)").alias("out"),
     )
 
     def step(state: Column, c: Column) -> Column:
-        faded = F.greatest(F.power(F.lit(1 - alpha), c["first"] - state["last"]), F.lit(1e-30))
-        moved = F.coalesce((state["y"] - c["x"]) * faded / (faded + alpha), F.lit(0.0))
+        _, move = moved(state, c)
+        row = F.struct(
+            c["_chunk"].alias("_chunk"), state["y"].alias("_enters"), move.alias("_moves"), state["last"].alias("_before")
+        )
         return F.struct(
-            F.when(c["first"].isNull(), state["y"]).otherwise(c["y"] + c["p"] * moved).alias("y"),
+            F.when(c["first"].isNull(), state["y"]).otherwise(c["y"] + c["p"] * move).alias("y"),
             F.coalesce(c["last"], state["last"]).alias("last"),
-            F.array_append(state["out"], F.struct(c["_chunk"].alias("_chunk"), state["y"].alias("_enters"), moved.alias("_moves"))).alias("out"),
+            F.array_append(state["out"], row).alias("out"),
         )
 
-    folded = ends.groupBy(*s.keys).agg(F.aggregate(along, start, step)["out"].alias("out"))
-    return folded.select(*s.keys, F.inline("out"))
+    return led.select(*keys, F.aggregate("_along", start, step)["out"].alias("_out")).select(*keys, F.inline("_out"))
 
 
 def ema(
