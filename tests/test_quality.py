@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -279,3 +280,14 @@ def test_learned_weights_and_words_that_turn_them(spark, frame):
     assert scored["mixed"]["known_words"] == 2 and scored["null"]["known_words"] == 0
     # Without texts of both labels nothing is learned.
     assert sentiment.learn(frame("t string, y boolean", ("a", True)), "t", "y", 1).count() == 0
+
+
+def test_learned_scores_split_a_text_once(frame):
+    """Not again for each word: no function over a word holds the text."""
+    known = frame("word string, weight double", ("fine", 0.4), ("grim", -0.4))
+    rows = frame("k int, t string", (1, "no, a b fine"), (2, "no a b c fine"), (3, "very no fine"), (4, " -- fine"), (5, "fine no"))
+    scored = sentiment.score_learned(rows, ["k"], "t", known)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(lower(" in plan and not re.search(r"lambdafunction\(.*split\(", plan)
+    got = {r["k"]: r["sentiment_score"] for r in scored.collect()}
+    assert got == pytest.approx({k: math.tanh(v) for k, v in {1: -0.4, 2: 0.4, 3: -0.4, 4: 0.4, 5: 0.4}.items()})

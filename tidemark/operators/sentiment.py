@@ -98,19 +98,28 @@ def learn(df: DataFrame, text: str, positive: str, least_texts: int = 5, smoothi
     return wide.select("word", "texts", (share("_wp", "_p") - share("_wn", "_n")).alias("weight"))
 
 
-def _factors(words: Column, negations: Sequence[str], degrees: Mapping[str, float]) -> Column:
-    """Each word with its factor: the degree word just before it, turned round by a negation among the three before."""
-    degree = F.create_map(*[F.lit(x) for w, f in degrees.items() for x in (w, float(f))]) if degrees else None
+def _in_context(words: Column) -> Column:
+    """Rows (word, before_1, before_2, before_3) of a text, to be inlined; after them come rows without a word.
+
+    The words are laid beside themselves. A function over each word that looked back into ``words`` would split the whole
+    text again for every word.
+    """
+    gap = F.lit(None).cast("string")
+    return F.arrays_zip(
+        words.alias("word"), *[F.concat(F.array(*[gap] * k), words).alias(f"before_{k}") for k in (1, 2, 3)]
+    )
 
-    def one(word: Column, i: Column) -> Column:
-        start, length = F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))
-        turned = F.when(i > 0, F.exists(F.slice(words, start, length), lambda w: w.isin(*negations))) if negations else F.lit(False)
-        factor = F.when(turned, -1.0).otherwise(1.0)
-        if degree is not None:
-            factor = factor * F.coalesce(F.try_element_at(degree, F.when(i > 0, F.get(words, i - 1))), F.lit(1.0))
-        return F.struct(word.alias("word"), factor.alias("factor"))
 
-    return F.transform(words, one)
+def _factor(negations: Sequence[str], degrees: Mapping[str, float]) -> Column:
+    """The factor of a word: the degree word just before it, turned round by a negation among the three before."""
+    factor = F.lit(1.0)
+    if negations:
+        turned = [F.coalesce(F.col(f"before_{k}").isin(*negations), F.lit(False)) for k in (1, 2, 3)]
+        factor = F.when(turned[0] | turned[1] | turned[2], -1.0).otherwise(1.0)
+    if degrees:
+        degree = F.create_map(*[F.lit(x) for w, f in degrees.items() for x in (w, float(f))])
+        factor = factor * F.coalesce(F.try_element_at(degree, F.col("before_1")), F.lit(1.0))
+    return factor
 
 
 def score_learned(
@@ -124,7 +133,8 @@ def score_learned(
     are: the table is pinned and broadcast when its counted size allows, else joined by word under adaptive skew
     handling. Sums are formed before the texts' words are brought together.
     """
-    words = df.select(*keys, F.explode(_factors(tokens(text), negations, degrees)).alias("_w")).select(*keys, "_w.word", "_w.factor")
+    words = df.select(*keys, F.explode(_in_context(tokens(text))).alias("_w")).select(*keys, "_w.*").filter("word IS NOT NULL")
+    words = words.select(*keys, "word", _factor(negations, degrees).alias("factor"))
     hits = words.join(small(pin(weights.select("word", "weight"))), "word")
     sums = hits.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("known_words"), F.tanh(F.avg(F.col("factor") * F.col("weight"))).alias("sentiment_score")
