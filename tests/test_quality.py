@@ -291,3 +291,20 @@ def test_learned_scores_split_a_text_once(frame):
     assert "split(lower(" in plan and not re.search(r"lambdafunction\(.*split\(", plan)
     got = {r["k"]: r["sentiment_score"] for r in scored.collect()}
     assert got == pytest.approx({k: math.tanh(v) for k, v in {1: -0.4, 2: 0.4, 3: -0.4, 4: 0.4, 5: 0.4}.items()})
+
+
+def test_sentiment_accuracy_takes_long_texts(spark, frame, tmp_path):
+    """Long texts take time in proportion to their words; in its square these would take several minutes."""
+    import time
+
+    from tidemark.checks import queries
+
+    texts = {0: "good day " * 12000, 1: "bad day " * 12000}
+    docs = [(i, texts[i % 4 // 3]) for i in range(48)]  # every fourth is bad, and numbers 2, 6, 10, ... are held out
+    frame("doc_id long, text string", *docs).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i % 4 != 3)) for i in range(48)]
+    frame("doc_id long, quality long", *labels).write.parquet(f"{tmp_path}/labels.parquet")
+    begin = time.monotonic()
+    got = {r["held_out"]: (r["n"], r["positive"], r["hits"]) for r in queries()["sentiment_accuracy"](spark, str(tmp_path)).collect()}
+    assert got == {False: (36, 24, 36), True: (12, 12, 12)}
+    assert time.monotonic() - begin < 60
