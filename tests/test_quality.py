@@ -293,6 +293,29 @@ def test_learned_scores_split_a_text_once(frame):
     assert got == pytest.approx({k: math.tanh(v) for k, v in {1: -0.4, 2: 0.4, 3: -0.4, 4: 0.4, 5: 0.4}.items()})
 
 
+def test_learned_scores_name_the_split_once(frame):
+    """A generator evaluates an expression as often as it is named, and the words are named for each place in the context."""
+    known = frame("word string, weight double", ("fine", 0.4))
+    scored = sentiment.score_learned(frame("k int, t string", (1, "no fine")), ["k"], "t", known)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(lower(") == 1
+
+
+@pytest.mark.parametrize("name", ["sentiment_learned", "sentiment_accuracy"])
+def test_labelled_texts_move_once(spark, frame, tmp_path, name):
+    """Learning and scoring read the texts with their labels; neither joins the documents again."""
+    from tidemark.checks import queries
+
+    frame("doc_id long, text string", *[(i, "good day" if i % 3 else "bad day") for i in range(24)], (None, "bad"), (30, None)).write.parquet(f"{tmp_path}/documents.parquet")
+    frame("doc_id long, quality int", *[(i, int(i % 3 > 0)) for i in range(24)], (None, 1), (30, 1), (3, None)).write.parquet(f"{tmp_path}/labels.parquet")
+    out = queries()[name](spark, str(tmp_path))
+    assert not [f for f in out.inputFiles() if "/documents.parquet/" in f or "/labels.parquet/" in f]
+    if name == "sentiment_accuracy":
+        assert {tuple(r) for r in out.collect()} == {(True, 6, 4, 6), (False, 18, 12, 18)}
+    else:
+        assert {(r["doc_id"], r["known_words"], r["sentiment_score"] > 0) for r in out.collect()} == {(i, 2, i % 3 > 0) for i in range(24)}
+
+
 def test_sentiment_accuracy_takes_long_texts(spark, frame, tmp_path):
     """Long texts take time in proportion to their words; in its square these would take several minutes."""
     import time

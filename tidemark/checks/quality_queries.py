@@ -9,6 +9,7 @@ from tidemark.checks.base import query
 from tidemark.checks.table_queries import runs
 from tidemark.operators import bars, clean, sentiment, validate, weather
 from tidemark.operators.series import series
+from tidemark.session import pin, small, stage
 
 # Line items as bars: quantity, price, discount and tax stand for open, high, low and close.
 LINE_RULES = {
@@ -337,22 +338,26 @@ s AS (SELECT doc_id, count(*) AS k, tanh(avg(factor * weight)) AS score FROM f J
 sl AS (SELECT doc_id, held_out, quality, coalesce(k, 0) AS known_words, round(coalesce(score, 0), 6) AS sentiment_score FROM d LEFT JOIN s USING (doc_id))"""
 
 
-def learned(t):
-    """(labelled documents, word weights learned from those that are not held out)"""
-    rows = t.documents.join(t.labels.select("doc_id", "quality"), "doc_id").select("doc_id", "text", "quality").dropna()
-    rows = rows.withColumn("held_out", F.col("doc_id") % 4 == 2)
-    return rows, sentiment.learn(rows.filter(~F.col("held_out")), "text", "quality")
+def labelled(t):
+    """The documents that have a label. Labels are broadcast if they are counted and found few, else the texts move once."""
+    rows = t.documents.join(small(pin(t.labels.select("doc_id", "quality").dropna())), "doc_id").select("doc_id", "text", "quality")
+    return rows.dropna().withColumn("held_out", F.col("doc_id") % 4 == 2)
+
+
+def learned(rows):
+    """Word weights from the labelled documents that are not held out."""
+    return sentiment.learn(rows.filter(~F.col("held_out")), "text", "quality")
 
 
 @query(f"WITH {LEARNED_SQL} SELECT word, texts, round(weight, 6) AS weight FROM lw")
 def sentiment_weights(t):
-    return learned(t)[1]
+    return learned(labelled(t))
 
 
 @query(f"WITH {LEARNED_SQL} SELECT doc_id, held_out, known_words, sentiment_score FROM sl")
 def sentiment_learned(t):
-    rows, weights = learned(t)
-    return sentiment.score_learned(rows, ["doc_id", "held_out"], "text", weights, NEGATING, STRENGTHENING).drop("sentiment_label")
+    rows = stage(labelled(t))
+    return sentiment.score_learned(rows, ["doc_id", "held_out"], "text", learned(rows), NEGATING, STRENGTHENING).drop("sentiment_label")
 
 
 @query(
@@ -361,8 +366,8 @@ def sentiment_learned(t):
 )
 def sentiment_accuracy(t):
     """How often the sign of the learned score is that of the label, on documents learned from and on others."""
-    rows, weights = learned(t)
-    scored = sentiment.score_learned(rows, ["doc_id", "held_out", "quality"], "text", weights, NEGATING, STRENGTHENING)
+    rows = stage(labelled(t))
+    scored = sentiment.score_learned(rows, ["doc_id", "held_out", "quality"], "text", learned(rows), NEGATING, STRENGTHENING)
     hit = (F.round("sentiment_score", 6) > 0) == (F.col("quality") == 1)
     return scored.groupBy("held_out").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality") == 1).alias("positive"), F.count_if(hit).alias("hits")

@@ -101,8 +101,8 @@ def learn(df: DataFrame, text: str, positive: str, least_texts: int = 5, smoothi
 def _in_context(words: Column) -> Column:
     """Rows (word, before_1, before_2, before_3) of a text, to be inlined; after them come rows without a word.
 
-    The words are laid beside themselves. A function over each word that looked back into ``words`` would split the whole
-    text again for every word.
+    The words are laid beside themselves. ``words`` is a column that holds them already: an expression would be evaluated
+    again for each of the four, and in a function over each word that looked back, for every word.
     """
     gap = F.lit(None).cast("string")
     return F.arrays_zip(
@@ -133,7 +133,8 @@ def score_learned(
     are: the table is pinned and broadcast when its counted size allows, else joined by word under adaptive skew
     handling. Sums are formed before the texts' words are brought together.
     """
-    words = df.select(*keys, F.explode(_in_context(tokens(text))).alias("_w")).select(*keys, "_w.*").filter("word IS NOT NULL")
+    cut = df.select(*keys, tokens(text).alias("_words"))
+    words = cut.select(*keys, F.explode(_in_context(F.col("_words"))).alias("_w")).select(*keys, "_w.*").filter("word IS NOT NULL")
     words = words.select(*keys, "word", _factor(negations, degrees).alias("factor"))
     hits = words.join(small(pin(weights.select("word", "weight"))), "word")
     sums = hits.groupBy(*keys).agg(
