@@ -9,7 +9,7 @@ from tidemark.checks.base import query
 from tidemark.checks.table_queries import runs
 from tidemark.operators import bars, clean, sentiment, validate, weather
 from tidemark.operators.series import series
-from tidemark.session import pin, small, stage
+from tidemark.session import small, stage
 
 # Line items as bars: quantity, price, discount and tax stand for open, high, low and close.
 LINE_RULES = {
@@ -340,7 +340,7 @@ sl AS (SELECT doc_id, held_out, quality, coalesce(k, 0) AS known_words, round(co
 
 def labelled(t):
     """The documents that have a label. Labels are broadcast if they are counted and found few, else the texts move once."""
-    rows = t.documents.join(small(pin(t.labels.select("doc_id", "quality").dropna())), "doc_id").select("doc_id", "text", "quality")
+    rows = t.documents.join(small(t.labels.select("doc_id", "quality").dropna()), "doc_id").select("doc_id", "text", "quality")
     return rows.dropna().withColumn("held_out", F.col("doc_id") % 4 == 2)
 
 
