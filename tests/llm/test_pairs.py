@@ -77,6 +77,71 @@ def test_near_duplicates_at_the_threshold(frame):
     assert groups(docs)[5] == (36, 3)
 
 
+def test_shared_passages_do_not_chain_texts_together(frame, monkeypatch):
+    pick, links = random.Random(3), []
+    passages_ = [[f"p{k}x{j}" for j in range(16)] for k in range(8)]
+    own_words = lambda k: [f"u{pick.randrange(10**9)}" for _ in range(k)]
+    docs = []
+    for k in range(160):
+        # Two passages of twelve shingles each, of about seventy: far from alike, but in the prefix.
+        a, b = pick.sample(passages_, 2)
+        docs.append((k, " ".join(a + own_words(40) + b)))
+    docs += [(200 + k, docs[k][1] + " more") for k in range(5)]
+    monkeypatch.setattr(jaccard, "components", lambda df: links.append(df.count()) or components(df))
+    assert found_groups(frame, docs) == groups(docs)
+    assert links[0] < 40 and links[1] == 5
+
+
+@pytest.mark.parametrize("percent", [60, 75])
+def test_near_duplicates_of_short_texts(frame, percent):
+    pick = random.Random(percent)
+    docs = []
+    for k in range(250):
+        words = [pick.choice("abc") for _ in range(pick.randint(1, 24))]
+        docs.append((k, " ".join(words)))
+    rows = jaccard.near_duplicates(frame(DDL, *wrap(docs)), "doc_id", "text", percent).collect()
+    expected = {}
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, t in docs for w in [t.split()]}
+    for d, one in sets.items():
+        expected[d] = d
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if expected[b] < expected[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                    expected[a], changed = expected[b], True
+    assert {r.key: r.component_id for r in rows} == expected
+
+
+def test_members_of_a_column_are_connected_as_they_fit(monkeypatch):
+    pick = np.random.default_rng(5)
+    for few in (64, 1):
+        monkeypatch.setattr(jaccard, "_FEW", few)
+        n = pick.integers(1, 40, 600)
+        left = n - (pick.integers(0, 40, 600) % (n // 4 + 1))
+        gram = np.sort(pick.integers(0, 90, 600))
+        rows = sorted(set(zip(gram.tolist(), n.tolist(), left.tolist(), strict=True)))
+        gram, n, left = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+        times = pick.integers(1, 3, len(rows))
+        batch = jaccard.pa.RecordBatch.from_arrays(
+            [jaccard.pa.array(x) for x in (gram, n, left, np.arange(len(rows)), times)], names=["gram", "n", "left", "node", "times"]
+        )
+        parts = [batch.slice(k, 7) for k in range(0, len(rows), 7)]
+        found = {(g, m, rest): first for out in jaccard._ties(75)(iter(parts)) for g, m, rest, first in zip(*(c.to_pylist() for c in out.columns), strict=True)}
+        fits = lambda a, b: 175 * min(rows[a][2], rows[b][2], rows[a][1] - (rows[a][1] == rows[b][1])) >= 75 * (rows[a][1] + rows[b][1])
+        first, changed = list(range(len(rows))), True
+        while changed:
+            changed = False
+            for a in range(len(rows)):
+                for b in range(a):
+                    if rows[a][0] == rows[b][0] and first[a] != first[b] and fits(a, b):
+                        first[a] = first[b] = min(first[a], first[b])
+                        changed = True
+        kept = {a for a in range(len(rows)) if first.count(first[a]) > 1 or times[a] > 1 and fits(a, a)}
+        assert found == {rows[a]: first[a] for a in kept}
+
+
 def test_near_duplicates_with_null_and_repeated_keys(frame):
     text = " ".join(WORDS)
     rows = [(None, text), (4, text), (4, text), (None, "alone in here"), (6, None), (6, None)]

@@ -8,9 +8,10 @@ the first ``n - ceil(t * n) + 1`` of each (its prefix), and only these columns e
 The order has rare n-grams first. For a fixed share of all n-grams (by their hash) the columns are formed
 and counted; an n-gram that occurs once cannot be shared, so it only takes up a place of the prefix. Those
 left follow by their counts, then the n-grams outside the share. A set with enough n-grams of its own has
-an empty prefix. Of the pairs left, those whose sizes and places in the prefix allow no such overlap are
-discarded, and for the others the overlap is added up exactly from the whole texts.
+an empty prefix.
 
+A column connects two of its classes only if their sizes and their places in it allow the overlap that they
+need: else a few common n-grams would chain nearly everything together, and the more so the larger the input.
 The classes that columns connect form blocks of rows; a class can be like those of its block only. The
 product is taken block by block: within a task the overlaps of its classes are added up from their whole
 sets, as a dense product for n-grams of many classes and pair by pair for the others. Pairs below the bound
@@ -49,6 +50,9 @@ COLUMN_ROWS = 4096
 BLOCK_ROWS = 1024
 # N-grams of so many classes of a task enter its dense product, so many at a time.
 DENSE_FROM = 12
+# Columns of more members than this are connected one by one, others many at a time.
+_FEW = 64
+_CELLS = 1 << 20
 _DENSE_COLUMNS = 512
 _SEEN = 100_000
 _LIMIT = np.uint64(int(SHARE * 2**32) << 32)
@@ -153,7 +157,10 @@ def _columns(sketch, percent: int):
 
 
 def _prefixes(entries: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(gram, node) of the columns that enter the product: the prefix of each class, without what occurs once."""
+    """The columns that enter the product: the prefix of each class, without what occurs once.
+
+    (gram, node, n, left): the size of the class, and how many of its n-grams there are from this one on, or more.
+    """
     column = Window.partitionBy("gram", "about")
     counted = entries.withColumn("lo", F.min("node").over(column)).withColumn("hi", F.max("node").over(column))
     counted = counted.withColumn("size", F.count(F.lit(1)).over(column)).where("lo <> hi or about > 0")
@@ -162,7 +169,8 @@ def _prefixes(entries: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     # order only has to be the same for everybody.
     counted = counted.distinct()
     late = (F.shiftrightunsigned("gram", 32) >= F.lit(int(_LIMIT) >> 32)).cast("int")
-    own_order = Window.partitionBy("node").orderBy(late, "size", "gram")
+    # The order of the n-grams outside the share is that of their hashes, unsigned, in which ``_columns`` has chosen them.
+    own_order = Window.partitionBy("node").orderBy(late, F.when(late == 0, F.col("size")), F.col("gram").bitwiseXOR(F.lit(-(2**63))))
     ranked = counted.withColumn("late", late).withColumn("rank", F.row_number().over(own_order) - 1)
     ranked = ranked.withColumn("early", F.sum(F.lit(1) - F.col("late")).over(Window.partitionBy("node")))
     sizes = sizes.withColumnRenamed("node", "_node")
@@ -170,7 +178,91 @@ def _prefixes(entries: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     # Before the shared n-grams of the share come those that occur once. Outside of it this is a lower bound.
     place = F.col("rank") + F.col("counted") - F.col("early")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return joined.where(place < prefix).select("gram", "node")
+    return joined.where(place < prefix).select("gram", "node", "n", (F.col("n") - place).alias("left"))
+
+
+def _connected(need: np.ndarray, may: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Of columns with as many members each: the first member that each member is connected with, or itself.
+
+    Two members fit if either's ``may`` reaches the other's ``need``, and, with equal needs, if they are ``same``.
+    """
+    fits = may[:, :, None] >= need[:, None, :]
+    fits &= fits.transpose(0, 2, 1)
+    fits &= (need[:, :, None] != need[:, None, :]) | same[:, :, None]
+    first = np.broadcast_to(np.arange(need.shape[1]), need.shape)
+    while True:
+        after = np.minimum(first, np.where(fits, first[:, None, :], need.shape[1]).min(2))
+        after = np.take_along_axis(after, after, 1)
+        if (after == first).all():
+            return after
+        first = after
+
+
+def _connected_one(need: np.ndarray, may: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """``_connected`` for one column of any length, without a matrix."""
+    first, rest = np.arange(len(need)), np.arange(len(need))
+    while len(rest):
+        seed, rest = rest[0], rest[1:]
+        todo = [seed]
+        while todo and len(rest):
+            x = todo.pop()
+            fits = (need[rest] <= may[x]) & (may[rest] >= need[x]) & ((need[rest] != need[x]) | same[x])
+            if fits.any():
+                first[rest[fits]] = seed
+                todo += rest[fits].tolist()
+                rest = rest[~fits]
+    return first
+
+
+def _ties(percent: int):
+    """Rows sorted by column and node, one for each size and place there: those that are connected, and the least node of their part."""
+
+    def found(gram, n, left, node, times) -> pa.RecordBatch:
+        need = percent * n
+        # The overlap is ``left`` at most, and it has to be ``percent`` / (100 + ``percent``) of both sizes together.
+        may = (100 + percent) * left - need
+        # Sets of one size that are not equal differ in an n-gram.
+        same = (100 + percent) * (n - 1) >= 2 * need
+        edges = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1], [True]]))
+        starts, sizes = edges[:-1], np.diff(edges)
+        first = np.arange(len(gram))
+        for size in np.unique(sizes[(sizes > 1) & (sizes <= _FEW)]).tolist():
+            own = starts[sizes == size]
+            step = max(1, _CELLS // size**2)
+            for at in range(0, len(own), step):
+                rows = own[at : at + step, None] + np.arange(size)
+                first[rows] = own[at : at + step, None] + _connected(need[rows], may[rows], same[rows])
+        for start, size in zip(starts[sizes > _FEW].tolist(), sizes[sizes > _FEW].tolist(), strict=True):
+            part = slice(start, start + size)
+            first[part] = start + _connected_one(need[part], may[part], same[part])
+        alone = (np.bincount(first, minlength=len(first)) == 1)[first]
+        rows = np.flatnonzero(~alone | (times > 1) & same & (may >= need))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (gram[rows], n[rows], left[rows], node[first[rows]])], names=["_gram", "_n", "_left", "first"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            more = [c.to_numpy() for c in batch.columns]
+            held = [np.concatenate(pair) for pair in zip(held, more, strict=True)] if held else more
+            # The last column may go on.
+            whole = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            if whole:
+                yield found(*[x[:whole] for x in held])
+                held = [x[whole:] for x in held]
+        if held and len(held[0]):
+            yield found(*held)
+
+    return run
+
+
+def _stars(entries: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect the classes of each column which may be alike by their sizes and places."""
+    # Members of one size and place fit the same others, so a task has one row for all of them.
+    kinds = entries.groupBy("gram", "n", "left").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("times"))
+    kinds = kinds.select("gram", "n", "left", "node", "times").repartition(partitions(entries), "gram").sortWithinPartitions("gram", "node")
+    ties = kinds.mapInArrow(released(_ties(percent)), "_gram bigint, _n bigint, _left bigint, first bigint")
+    star = entries.join(ties, (F.col("gram") == F.col("_gram")) & (F.col("n") == F.col("_n")) & (F.col("left") == F.col("_left")))
+    return star.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def _blobs(wanted: KeySet):
@@ -277,10 +369,7 @@ def _products(percent: int):
 
 def _links(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect the alike sets of the product's columns."""
-    first = entries.groupBy("gram").agg(F.min("node").alias("first"), F.max("node").alias("other")).where("first <> other")
-    star = entries.join(first.withColumnRenamed("gram", "_gram"), F.col("gram") == F.col("_gram"))
-    star = star.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    blocks = components(stage(star))
+    blocks = components(stage(_stars(entries, percent)))
     parts = blocks.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
     rows = blocks.join(parts, "comp").withColumn("own", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
